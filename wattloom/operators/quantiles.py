@@ -22,13 +22,18 @@ def running_counts(
 ) -> DataFrame:
     """Per distinct value: each measure, its sum below (`<m>_below`) and over the group (`<m>_all`)."""
     measures = dict(measures or {"n": F.count(F.lit(1))})
-    keyed = df.where(F.col(value).isNotNull())
     group = list(keys) or ["_all"]
+    keyed = df
+    # Explicit tests on value and keys: all uses of the counted table then share one exchange.
+    for c in (value, *keys):
+        keyed = keyed.where(F.col(c).isNotNull())
     if not keys:
         keyed = keyed.withColumn("_all", F.lit(0))
     combined = keyed.groupBy(*group, value).agg(*[c.alias(m) for m, c in measures.items()])
+    # Reading the measures here too lets the sketch share the exchange of the counted values.
+    held = F.when(F.greatest(*[F.col(m) for m in measures], F.lit(0)) >= 0, F.col(value))
     cuts = combined.groupBy(*group).agg(
-        F.percentile_approx(value, [i / slices for i in range(1, slices)], 1_000).alias("_cuts")
+        F.percentile_approx(held, [i / slices for i in range(1, slices)], 1_000).alias("_cuts")
     )
     sliced = attach(combined, cuts, group).withColumn(
         "_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))

@@ -118,13 +118,10 @@ def raw_daily_counts(df: DataFrame, keys: Sequence[str], ts: str, out: str = "n_
     return timed.groupBy(*keys, F.to_date(ts).alias("date")).agg(F.count(F.lit(1)).alias(out))
 
 
-def median_step(df: DataFrame, series: Series, default_s: float = 900.0) -> DataFrame:
-    """Median seconds between rows per key (`step_s`), the default where it is unknown or zero."""
+def median_step(df: DataFrame, series: Series) -> DataFrame:
+    """Median seconds between rows (`step_s`) of the keys that have one above zero."""
     gaps = row_gaps(df.select(*series.key, *series.order), series)
-    steps = percentiles(gaps, series.key, "dt_s", {"_step": 0.5})
-    keys = df.select(*series.key).distinct()
-    step = F.when(F.col("_step") > 0, F.col("_step")).otherwise(F.lit(default_s))
-    return keys.join(steps, list(series.key), "left").select(*series.key, step.alias("step_s"))
+    return percentiles(gaps, series.key, "dt_s", {"step_s": 0.5}).drop("n").where("step_s > 0")
 
 
 def sampling_profile(df: DataFrame, series: Series, default_s: float = 900.0) -> DataFrame:

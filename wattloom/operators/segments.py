@@ -10,6 +10,9 @@ from wattloom.operators.resample import median_step
 from wattloom.operators.series import Series, over_rows, runs, seconds_between
 
 
+DEFAULT_STEP_S = 900.0
+
+
 def on_periods(
     df: DataFrame,
     series: Series,
@@ -30,25 +33,27 @@ def on_periods(
     limit = F.col(threshold) if isinstance(threshold, str) else F.lit(float(threshold))
     clean = clean.select(*keys, *series.order, F.col(power).cast("double").alias("_w"), on_state(F.col(power), limit).alias("state"))
     step = median_step(clean, series) if step is None else step
-    on = runs(clean, series, "state", "_w", split_day=split_by_day, max_gap_s=max_gap_s).where("state = 1")
-    on = on.withColumn("date", F.to_date("start"))
-    spans = on.select(*keys, "date", "state", "start", "end", "n", "sum_v", "min_v", "max_v")
+    stats = ["n", "sum_v", "min_v", "max_v"]
+    both = runs(clean, series, "state", "_w", split_day=split_by_day, max_gap_s=max_gap_s)
+    both = both.withColumn("date", F.to_date("start"))
+    on = both.where("state = 1")
+    spans = on.select(*keys, "date", "state", "start", "end", *stats)
     if off_days:
-        days = clean.groupBy(*keys, F.to_date(series.ts).alias("date")).agg(
-            F.max("state").alias("state"),
-            F.min(series.ts).alias("start"),
-            F.max(series.ts).alias("end"),
-            F.count(F.lit(1)).alias("n"),
-            F.sum("_w").alias("sum_v"),
-            F.min("_w").alias("min_v"),
-            F.max("_w").alias("max_v"),
+        # Day-split runs already hold every row of a day; whole runs need the rows again.
+        parts = both if split_by_day else clean.select(
+            *keys, F.to_date(series.ts).alias("date"), "state", F.col(series.ts).alias("start"), F.col(series.ts).alias("end"),
+            F.lit(1).cast("long").alias("n"), F.col("_w").alias("sum_v"), F.col("_w").alias("min_v"), F.col("_w").alias("max_v"),
+        )
+        days = parts.groupBy(*keys, "date").agg(
+            F.max("state").alias("state"), F.min("start").alias("start"), F.max("end").alias("end"),
+            F.sum("n").alias("n"), F.sum("sum_v").alias("sum_v"), F.min("min_v").alias("min_v"), F.max("max_v").alias("max_v"),
         )
         if split_by_day:
             off = days.where("state = 0")
         else:
             off = days.join(on.select(*keys, "date").distinct(), [*keys, "date"], "left_anti")
         spans = spans.unionByName(off.withColumn("state", F.lit(0)))
-    sized = spans.join(step, keys)
+    sized = spans.join(step, keys, "left").withColumn("step_s", F.coalesce("step_s", F.lit(DEFAULT_STEP_S)))
     duration = (seconds_between(F.col("start"), F.col("end")) + F.col("step_s")) / 60.0
     return sized.select(
         *keys,

@@ -42,8 +42,12 @@ class Series:
         return [*self.key, "_chunk"]
 
     def with_chunk(self, df: DataFrame) -> DataFrame:
+        """Rows without key or time belong to no series. The explicit test keeps both sides of a
+        summary join on the same filters, so their exchange is shared."""
+        for c in (*self.key, self.ts):
+            df = df.where(F.col(c).isNotNull())
         chunk = F.lit(0).cast("long") if self.chunk_s is None else chunk_of(F.col(self.ts), self.chunk_s)
-        return df.withColumn("_chunk", chunk)
+        return df.withColumn("_chunk", chunk).where(F.col("_chunk").isNotNull())
 
     def chunk_window(self) -> WindowSpec:
         return Window.partitionBy(*self.chunk_key).orderBy(*self.order)
@@ -235,9 +239,9 @@ def runs(
 ) -> DataFrame:
     """Maximal runs of equal state, one row per run, with mergeable statistics of `value`.
 
-    Runs are cut inside chunks first; only the first and last fragment of a chunk can touch a
-    neighbour, so the merge works on the chunk summary and a run of any length is combined by its
-    start. With `split_day` midnight ends a run; with `max_gap_s` a longer silence ends it.
+    Runs are cut inside chunks first; only the first and last piece of a chunk can touch a
+    neighbour, so only those are compared across chunks, and a run of any length is combined by its
+    start from partial aggregates. With `split_day` midnight ends a run; with `max_gap_s` a longer silence ends it.
     """
     chunked = series.with_chunk(df.where(F.col(state).isNotNull()))
     w = series.chunk_window()
@@ -257,7 +261,8 @@ def runs(
         "_run", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))
     )
     place = F.struct(*series.order)
-    pieces = cut.groupBy(*series.chunk_key, "_run", state).agg(
+    pieces = cut.groupBy(*series.chunk_key, "_run").agg(
+        F.max(state).alias(state),
         F.min(place).alias("_first"),
         F.max(place).alias("_last"),
         F.count(F.lit(1)).alias("n"),
@@ -265,38 +270,32 @@ def runs(
         F.min(value).alias("min_v"),
         F.max(value).alias("max_v"),
     )
-    summary = pieces.groupBy(*series.chunk_key).agg(
-        F.count(F.lit(1)).alias("_pieces"),
-        F.min_by(state, "_run").alias("_head_state"),
-        F.min("_first").alias("_head_first"),
-        F.max_by(state, "_run").alias("_tail_state"),
-        F.max("_last").alias("_tail_last"),
-        F.max_by("_first", "_run").alias("_tail_first"),
+    # Pieces at a chunk border (two per chunk) share one lane per key; inner pieces stay in their chunk.
+    last_run = F.max("_run").over(Window.partitionBy(*series.chunk_key))
+    border = (F.col("_run") == 1) | (F.col("_run") == last_run)
+    laned = pieces.withColumn("_border", border).withColumn(
+        "_lane", F.when(F.col("_border"), F.lit(None).cast("long")).otherwise(F.col("_chunk"))
     )
-    chunks = series.across_chunks()
-    before_state, before_last = F.lag("_tail_state").over(chunks), F.lag("_tail_last").over(chunks)
-    joins = F.col("_head_state") == before_state
+    lane = Window.partitionBy(*series.key, "_lane").orderBy("_first")
+    before_state, before_last = F.lag(state).over(lane), F.lag(f"_last.{series.ts}").over(lane)
+    other_chunk = F.lag("_chunk").over(lane) != F.col("_chunk")
+    here = F.col(f"_first.{series.ts}")
+    joins = F.col("_border") & other_chunk & (F.col(state) == before_state)
     if split_day:
-        joins = joins & (
-            F.to_date(F.col(f"_head_first.{series.ts}")) == F.to_date(before_last[series.ts])
-        )
+        joins = joins & (F.to_date(here) == F.to_date(before_last))
     if max_gap_s is not None:
-        joins = joins & (seconds_between(before_last[series.ts], F.col(f"_head_first.{series.ts}")) <= max_gap_s)
-    summary = summary.withColumn("_joins", F.coalesce(joins, F.lit(False)))
-    own_start = F.when(~(F.col("_joins") & (F.col("_pieces") == 1)), F.col("_tail_first"))
-    summary = summary.withColumn(
-        "_open", F.last(own_start, True).over(chunks.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    carried = summary.select(
-        *series.chunk_key,
-        F.when(F.col("_joins"), F.lag("_open").over(chunks)).alias("_carried"),
-    )
-    placed = pieces.join(carried, series.chunk_key).withColumn(
-        "_run_start", F.coalesce(F.when(F.col("_run") == 1, F.col("_carried")), F.col("_first"))
+        joins = joins & (seconds_between(before_last, here) <= max_gap_s)
+    opened = laned.withColumn("_own", F.when(F.coalesce(joins, F.lit(False)), F.lit(None)).otherwise(F.col("_first")))
+    placed = opened.withColumn(
+        "_run_start",
+        F.when(F.col("_border"), F.last("_own", True).over(lane.rowsBetween(Window.unboundedPreceding, 0))).otherwise(
+            F.col("_first")
+        ),
     )
     return (
-        placed.groupBy(*series.key, "_run_start", state)
+        placed.groupBy(*series.key, "_run_start")
         .agg(
+            F.max(state).alias(state),
             F.min(f"_first.{series.ts}").alias("start"),
             F.max(f"_last.{series.ts}").alias("end"),
             F.sum("n").alias("n"),

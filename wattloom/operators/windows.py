@@ -149,42 +149,53 @@ def z_score(w: WindowSpec, column: str) -> dict[str, Column]:
     return {f"{column}_z_24h": F.coalesce(F.col(f"{column}_dev_24h") / F.greatest(deviation, F.lit(5.0)), F.lit(0.0))}
 
 
-def long_baselines(df: DataFrame, series: Series, column: str) -> DataFrame:
-    """Day / week deviation and z-score of one column (`pos` present)."""
-    steps = [
-        lambda w: prefix_sums(w, column),
-        _running,
-        lambda w: baseline_deviation(w, column),
-        lambda w: z_score(w, column),
-    ]
-    wide = over_rows(df, series, steps, before=WEEK_ROWS, after=1, block_rows=4 * WEEK_ROWS, numbered=True)
-    return wide.drop("_base", "_x", "_x2", "_cx", "_cx2", "_day_std")
-
-
-def past_means(df: DataFrame, series: Series, column: str, total: str = "_len") -> DataFrame:
-    """Mean of the 96 / 672 rows before each row (at least 4 / 16 of them).
-
-    Head rows take the first defined mean; a series too short to define one takes its median, which
-    is computed only for those series (at most 16 rows each). Needs `pos` and the series length.
-    """
-    frames = {"power_recent_24h_mean": (DAY_ROWS, 4), "power_recent_7d_mean": (WEEK_ROWS, 16)}
-
-    def means(w):
-        out = {}
-        for name, (rows, least) in frames.items():
-            n, s, _ = _frame(w, rows, ending=1)
-            out[name] = F.when(n >= least, F.col("_base") + s / n)
-        return out
-
-    def head(w):
-        return {name: F.coalesce(name, F.first(name, True).over(w.rowsBetween(0, least))) for name, (_, least) in frames.items()}
-
-    steps = [lambda w: prefix_sums(w, column), _running, means, head]
-    wide = over_rows(df, series, steps, before=WEEK_ROWS + 1, after=16, block_rows=4 * WEEK_ROWS, numbered=True)
-    wide = wide.drop("_base", "_x", "_x2", "_cx", "_cx2")
-    short = df.where(F.col(total) <= 16).groupBy(*series.key).agg(F.percentile(column, 0.5).alias("_median"))
-    filled = attach(wide, short, series.key)
-    return filled.withColumns({name: F.coalesce(name, "_median") for name in frames}).drop("_median")
+RECENT = {"power_recent_24h_mean": (DAY_ROWS, 4), "power_recent_7d_mean": (WEEK_ROWS, 16)}
+
+
+def past_means(w: WindowSpec) -> dict[str, Column]:
+    """Mean of the 96 / 672 rows before each row, once 4 / 16 of them exist."""
+    out = {}
+    for name, (rows, least) in RECENT.items():
+        n, s, _ = _frame(w, rows, ending=1)
+        out[name] = F.when(n >= least, F.col("_base") + s / n)
+    return out
+
+
+def head_fill(w: WindowSpec) -> dict[str, Column]:
+    """Head rows take the first defined mean."""
+    return {
+        name: F.coalesce(name, F.first(name, True).over(w.rowsBetween(0, least))) for name, (_, least) in RECENT.items()
+    }
+
+
+def long_steps(column: str, deviations: bool, means: bool) -> list:
+    """Window steps of the day / week families of one column; they share its running sums."""
+    steps = [lambda w: prefix_sums(w, column), _running]
+    if deviations:
+        steps += [lambda w: baseline_deviation(w, column), lambda w: z_score(w, column)]
+    if means:
+        steps += [past_means, head_fill]
+    return steps
+
+
+def long_families(df: DataFrame, series: Series, column: str, deviations: bool = True, means: bool = True) -> DataFrame:
+    """Day / week deviation, z-score and past means of one column."""
+    numbered = with_position(df, series, total="_len")
+    steps = long_steps(column, deviations, means)
+    wide = over_rows(numbered, series, steps, WEEK_ROWS + 1, 16, 8 * WEEK_ROWS, numbered=True)
+    if means:
+        wide = fill_short_series(wide, numbered, series, column)
+    return wide.drop(*HELPERS, "pos", "_len")
+
+
+HELPERS = ("_base", "_x", "_x2", "_cx", "_cx2", "_day_std")
+
+
+def fill_short_series(df: DataFrame, numbered: DataFrame, series: Series, column: str) -> DataFrame:
+    """A series too short to define a past mean takes its median; such a series has at most 16 rows."""
+    short = numbered.where(F.col("_len") <= 16).groupBy(*series.key).agg(F.percentile(column, 0.5).alias("_median"))
+    filled = attach(df, short, series.key)
+    return filled.withColumns({name: F.coalesce(name, "_median") for name in RECENT}).drop("_median")
 
 
 def decay(halflife: float) -> float:
