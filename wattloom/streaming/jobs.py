@@ -8,9 +8,8 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from wattloom.functions.timeparse import floor_to
 from wattloom.session import checkpoint_dir
 
 
@@ -33,72 +32,100 @@ def stream_daily_counts(readings: DataFrame, keys: Sequence[str], ts: str, delay
 
 
 GUARD_OUT = "key STRING, ts TIMESTAMP, last_startup TIMESTAMP, suppressed BOOLEAN"
-GUARD_STATE = "last_startup TIMESTAMP"
 
 
-def stream_guard(readings: DataFrame, key: str, ts: str, spike: str, threshold: float, max_on_h: float = 12.0, delay: str = "30 minutes") -> DataFrame:
-    """Per reading: was there a startup within the last hours? State is one timestamp per key.
-
-    Rows of a key arrive in bounded Arrow batches; they are sorted inside a batch and the latest
-    startup is carried on. The state expires with the watermark, `max_on_h` after the startup.
+class GuardProcessor(StatefulProcessor):
+    """State of a key: its latest startup. A timer drops it `max_on_h` after that startup."""
+
+    def __init__(self, max_on_h: float):
+        self.max_on_h = max_on_h
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last_startup", "at TIMESTAMP")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        stored = self.last.get()
+        last = pd.NaT if stored is None else pd.Timestamp(stored[0])
+        steps = pd.concat(list(rows)).sort_values("ts")
+        seen = steps["startup"].ffill()
+        seen = seen if pd.isna(last) else seen.fillna(last)
+        age = (steps["ts"] - seen).dt.total_seconds() / 3600.0
+        yield pd.DataFrame(
+            {"key": str(key[0]), "ts": steps["ts"], "last_startup": seen, "suppressed": (seen.isna() | (age > self.max_on_h)).astype(bool)}
+        )
+        newest = seen.iloc[-1]
+        if not pd.isna(newest) and newest is not last:
+            self.last.update((newest.to_pydatetime(),))
+            self.handle.registerTimer(int(newest.timestamp() * 1000) + int(self.max_on_h * 3_600_000))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        stored = self.last.get()
+        if stored is not None:
+            due = int(pd.Timestamp(stored[0]).timestamp() * 1000) + int(self.max_on_h * 3_600_000)
+            if due <= expiredTimerInfo.getExpiryTimeInMs():
+                self.last.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_guard(
+    readings: DataFrame, key: str, ts: str, spike: str, threshold: float, max_on_h: float = 12.0, minutes: int = 15, delay: str = "30 minutes"
+) -> DataFrame:
+    """Per step: is the latest startup, up to the end of the step, recent enough?
+
+    Readings are first reduced to one row per (key, step) by a windowed aggregate, so the keyed state
+    sees a series bounded by the clock, whatever a key's share of the readings.
     """
+    marked = readings.select(F.col(key).cast("string").alias("key"), F.col(ts).cast("timestamp").alias("at"), spike).withWatermark("at", delay)
+    startup = F.max(F.when(F.abs(spike) >= threshold, F.col("at"))).alias("startup")
+    steps = marked.groupBy("key", F.window("at", f"{minutes} minutes").alias("w")).agg(startup)
+    timed = steps.select("key", F.col("w.start").alias("ts"), "startup", F.window_time("w").alias("until"))
+    return timed.groupBy("key").transformWithStateInPandas(GuardProcessor(max_on_h), GUARD_OUT, "append", "eventTime")
 
-    def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = pd.Timestamp(state.get[0]) if state.exists else pd.NaT
-        if state.hasTimedOut:
-            state.remove()
-            return
-        parts = [b for b in batches]
-        for part in sorted(parts, key=lambda b: b[ts].min()):
-            part = part.sort_values(ts)
-            starts = part[ts].where(part[spike].abs() >= threshold)
-            seen = starts.ffill().fillna(last) if not pd.isna(last) else starts.ffill()
-            age = (part[ts] - seen).dt.total_seconds() / 3600.0
-            yield pd.DataFrame(
-                {"key": str(group[0]), "ts": part[ts], "last_startup": seen, "suppressed": (seen.isna() | (age > max_on_h)).astype(bool)}
-            )
-            if starts.notna().any():
-                last = starts.max()
-        if not pd.isna(last):
-            state.update((last.to_pydatetime(),))
-            expiry = int(last.timestamp() * 1000) + int(max_on_h * 3_600_000)
-            state.setTimeoutTimestamp(max(expiry, state.getCurrentWatermarkMs() + 1))
-
-    marked = readings.select(key, F.col(ts).cast("timestamp").alias(ts), spike).withWatermark(ts, delay)
-    return marked.groupBy(key).applyInPandasWithState(step, GUARD_OUT, GUARD_STATE, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-STATS_OUT = "key STRING, n_seen BIGINT, mean DOUBLE, std DOUBLE, mean_ema DOUBLE"
-STATS_STATE = "n BIGINT, mean DOUBLE, m2 DOUBLE, ema DOUBLE"
-
-
-def stream_running_stats(readings: DataFrame, key: str, value: str, alpha: float = 0.01) -> DataFrame:
-    """Running mean and deviation per key and the EMA of batch means; state is four numbers per key.
-
-    Moments are merged batch by batch, so no group is held as a whole.
-    """
 
-    def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n, mean, m2, ema = state.get if state.exists else (0, 0.0, 0.0, float("nan"))
-        batch_n, batch_sum = 0, 0.0
-        for part in batches:
-            x = part[value].dropna()
-            if x.empty:
-                continue
-            k, m, s = len(x), float(x.mean()), float(((x - x.mean()) ** 2).sum())
-            delta = m - mean
-            mean += delta * k / (n + k)
-            m2 += s + delta * delta * n * k / (n + k)
-            n += k
-            batch_n, batch_sum = batch_n + k, batch_sum + k * m
-        if batch_n:
-            fresh = batch_sum / batch_n
-            ema = fresh if ema != ema else (1 - alpha) * ema + alpha * fresh
-            state.update((n, mean, m2, ema))
-        std = (m2 / (n - 1)) ** 0.5 if n > 1 else 1.0
-        yield pd.DataFrame({"key": [str(group[0])], "n_seen": [n], "mean": [mean], "std": [std], "mean_ema": [ema]})
-
-    return readings.select(key, value).groupBy(key).applyInPandasWithState(step, STATS_OUT, STATS_STATE, "update", GroupStateTimeout.NoTimeout)
+STATS_OUT = "key STRING, day DATE, n_seen BIGINT, mean DOUBLE, std DOUBLE, mean_ema DOUBLE"
+
+
+class StatsProcessor(StatefulProcessor):
+    """State of a key: count, mean, squared distance and EMA of daily means."""
+
+    def __init__(self, alpha: float):
+        self.alpha = alpha
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.stats = handle.getValueState("stats", "n BIGINT, mean DOUBLE, m2 DOUBLE, ema DOUBLE")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        n, mean, m2, ema = self.stats.get() or (0, 0.0, 0.0, None)
+        out = []
+        for day in pd.concat(list(rows)).sort_values("day").itertuples(index=False):
+            delta, total = day.m - mean, n + day.n
+            m2 += day.v * day.n + delta * delta * n * day.n / total
+            mean += delta * day.n / total
+            n = total
+            ema = day.m if ema is None else (1 - self.alpha) * ema + self.alpha * day.m
+            out.append((str(key[0]), day.day, int(n), mean, (m2 / (n - 1)) ** 0.5 if n > 1 else 1.0, ema))
+        self.stats.update((int(n), float(mean), float(m2), float(ema)))
+        yield pd.DataFrame(out, columns=["key", "day", "n_seen", "mean", "std", "mean_ema"])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_running_stats(readings: DataFrame, key: str, ts: str, value: str, alpha: float = 0.01, delay: str = "1 hour") -> DataFrame:
+    """Running mean, deviation and EMA of daily means after each finished day.
+
+    A windowed aggregate reduces a day to its moments; the keyed state merges one row per day.
+    """
+    marked = readings.select(F.col(key).cast("string").alias("key"), F.col(ts).cast("timestamp").alias("at"), value).withWatermark("at", delay)
+    moments = marked.where(F.col(value).isNotNull()).groupBy("key", F.window("at", "1 day").alias("w")).agg(
+        F.count(value).alias("n"), F.avg(value).alias("m"), F.var_pop(value).alias("v")
+    )
+    days = moments.select("key", F.to_date("w.start").alias("day"), "n", "m", "v")
+    return days.groupBy("key").transformWithStateInPandas(StatsProcessor(alpha), STATS_OUT, "append", "none")
 
 
 def read_events_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,12 +134,20 @@ def read_events_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
+# Keyed processors keep their state on disk, not on the heap.
+STATE_STORE = (
+    "spark.sql.streaming.stateStore.providerClass",
+    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+)
+
+
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over all available input into a table in the shared folder and read it back.
 
     Update-mode rows carry their batch number (`_batch`), the later one replaces the earlier.
     """
     spark = stream.sparkSession
+    spark.conf.set(*STATE_STORE)
     base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     out, progress = f"{base}/out", f"{base}/progress"
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", progress).trigger(availableNow=True)
@@ -128,6 +163,3 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     written = spark.read.schema(stream.schema).option("basePath", out)
     return written.parquet(out) if mode == "append" else spark.read.option("basePath", out).parquet(f"{out}/_batch=*")
 
-
-def bin_of(ts: str, minutes: int = 15):
-    return floor_to(F.col(ts), minutes)
