@@ -64,7 +64,7 @@ def main() -> int:
             spark_result = QUERIES[name](spark, sf).toPandas()
             took = time.time() - started
             if name not in ORACLE:
-                print(f"rows  {name:32s} {len(spark_result):7d} rows {took:6.2f}s", flush=True)
+                print(f"\nrows  {name:32s} {len(spark_result):7d} rows {took:6.2f}s", flush=True)
                 failed += len(spark_result) == 0
                 continue
             began = time.time()
@@ -73,10 +73,10 @@ def main() -> int:
             if problem or len(spark_result) == 0:
                 failed += 1
             tag = "DIFF " if problem else ("EMPTY" if len(spark_result) == 0 else "ok   ")
-            print(f"{tag} {name:32s} {len(spark_result):7d} rows {took:6.2f}s sql {time.time() - began:5.2f}s {problem or ''}", flush=True)
+            print(f"\n{tag} {name:32s} {len(spark_result):7d} rows {took:6.2f}s sql {time.time() - began:5.2f}s {problem or ''}", flush=True)
         except Exception as error:
             failed += 1
-            print(f"ERROR {name}: {type(error).__name__} {str(error)[:900]}", flush=True)
+            print(f"\nERROR {name}: {type(error).__name__} {str(error)[:900]}", flush=True)
             if os.environ.get("TRACE"):
                 traceback.print_exc()
     print(f"{len(names) - failed} of {len(names)} good")

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from wattloom.catalog import periods, streams
+from wattloom.catalog import aligned, clean, periods, streams
 from wattloom.catalog.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "periods", "streams"]
+__all__ = ["ORACLE", "QUERIES", "aligned", "clean", "periods", "streams"]
