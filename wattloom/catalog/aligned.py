@@ -39,8 +39,8 @@ def site_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_QUARTER = f"""
   WITH h AS (SELECT *, lead(time) OVER w AS nt, lead(temperature_2m) OVER w AS nx FROM ({SQL_SITE_WEATHER}) WINDOW w AS (PARTITION BY site_id ORDER BY time)),
-  q AS (SELECT *, UNNEST(generate_series(time, COALESCE(nt - INTERVAL 15 MINUTE, time + INTERVAL 45 MINUTE), INTERVAL 15 MINUTE)) AS at FROM h)
-  SELECT site_id, at AS time, temperature_2m + COALESCE((nx - temperature_2m) * date_diff('second', time, at) / date_diff('second', time, nt), 0) AS temperature_2m FROM q"""
+  q AS (SELECT *, UNNEST(generate_series(time, COALESCE(nt - INTERVAL 15 MINUTE, time + INTERVAL 45 MINUTE), INTERVAL 15 MINUTE)) AS t15 FROM h)
+  SELECT site_id, t15 AS time, temperature_2m + COALESCE((nx - temperature_2m) * date_diff('second', time, t15) / date_diff('second', time, nt), 0) AS temperature_2m FROM q"""
 
 
 @query(f"SELECT site_id, time_bucket(INTERVAL 15 MINUTE, event_time) AS ts, ROUND(AVG(d73), 6) AS d73, ROUND(AVG(d74), 6) AS d74 FROM ({SQL_BUS}) GROUP BY 1, 2")
