@@ -206,7 +206,7 @@ def daily_value_as_of(spark: SparkSession, sf: str) -> DataFrame:
     """JOI-3: every row gets the latest known daily value, NULL before the first."""
     rows = bus(spark, sf)
     daily = rows.where(F.dayofmonth("event_time") % 3 == 0).groupBy("site_id", F.to_date("event_time").alias("date")).agg(F.max("d74").alias("top"))
-    return joins.daily_as_of(rows, daily, ["site_id"], ["site_id"], "event_time", ["top"]).select("event_id", "top")
+    return joins.daily_as_of(rows, rows, daily, ["site_id"], "event_time", ["top"]).select("event_id", "top")
 
 
 @query(

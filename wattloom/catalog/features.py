@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattloom.catalog.aligned import SQL_QUARTER, site_weather
 from wattloom.catalog.registry import query
-from wattloom.catalog.views import SITE_HOURS, SQL_DAY, SQL_HOURLY, day, hourly, rounded, table
+from wattloom.catalog.views import SITE_HOURS, SQL_DAY, SQL_HOURLY, day, hourly, rounded, settled, sql_round, table
 from wattloom.functions import scalars
 from wattloom.operators import windows as win
 from wattloom.operators.reports import label_correlation
@@ -15,6 +15,7 @@ from wattloom.operators.series import over_rows, with_position
 from wattloom.plans.features import build_features
 from wattloom.operators.drift import build_lut
 from wattloom.plans.align import with_weather
+from wattloom.session import cut_lineage
 from wattloom.sources.weather import quarter_hourly
 
 W = "(PARTITION BY site_id ORDER BY ts"
@@ -24,7 +25,7 @@ def sql_features(columns: dict[str, str], source: str = SQL_HOURLY, digits: int
     """SELECT with rounded columns over named frames f2 … f672 of the hourly series."""
     frames = ", ".join(f"f{n} AS {W} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in (2, 3, 4, 12, 24, 96, 672))
     past = ", ".join(f"p{n} AS {W} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)" for n in (96, 672))
-    picked = ", ".join(f'ROUND({sql}, {digits}) AS "{name}"' for name, sql in columns.items())
+    picked = ", ".join(f'{sql_round(sql, digits)} AS "{name}"' for name, sql in columns.items())
     return f"SELECT {keep}, {picked} FROM (SELECT *, row_number() OVER {W}) - 1 AS pos FROM ({source})) WINDOW w AS {W}), {frames}, {past}"
 
 
@@ -34,7 +35,7 @@ def shown(spark: SparkSession, sf: str, step, before: int, after: int = 0) -> Da
     numbered = with_position(base, SITE_HOURS)
     out = over_rows(numbered, SITE_HOURS, step, before, after, numbered=True).drop("pos")
     new = [c for c in out.columns if c not in base.columns]
-    return rounded(out.select("site_id", "ts", *new), 6, *new)
+    return settled(out.select("site_id", "ts", *new), 6, *new)
 
 
 COLS = ("w", "v")
@@ -154,7 +155,7 @@ def baseline_deviation(spark: SparkSession, sf: str) -> DataFrame:
     """WIN-12. The first row's deviation is 0, so its z-score is 0 under any borrowed deviation."""
     out = win.long_families(hourly(spark, sf), SITE_HOURS, "w", means=False)
     names = ["w_dev_24h", "w_dev_7d", "w_z_24h"]
-    return rounded(out.select("site_id", "ts", *names), 6, *names)
+    return settled(out.select("site_id", "ts", *names), 6, *names)
 
 
 SQL_PAST = f"""
@@ -167,8 +168,7 @@ SQL_PAST = f"""
 
 @query(
     SQL_PAST
-    + """ SELECT site_id, ts, ROUND(a, 6) AS power_recent_24h_mean, ROUND(b, 6) AS power_recent_7d_mean,
-          ROUND(LEAST(GREATEST(COALESCE(w / NULLIF(a, 0), 1), 0), 5), 6) AS power_deviation_24h, CAST(hour(ts) BETWEEN 9 AND 11 AS INT) AS is_morning_peak FROM f"""
+    + """ SELECT site_id, ts, """ + f"{sql_round('a', 6)} AS power_recent_24h_mean, {sql_round('b', 6)} AS power_recent_7d_mean, {sql_round('LEAST(GREATEST(COALESCE(w / NULLIF(a, 0), 1), 0), 5)', 6)} AS power_deviation_24h," + """ CAST(hour(ts) BETWEEN 9 AND 11 AS INT) AS is_morning_peak FROM f"""
 )
 def past_means(spark: SparkSession, sf: str) -> DataFrame:
     """WIN-13/14, SCL-2."""
@@ -176,7 +176,7 @@ def past_means(spark: SparkSession, sf: str) -> DataFrame:
     out = out.withColumn("power_deviation_24h", scalars.deviation_ratio(F.col("w"), F.col("power_recent_24h_mean")))
     out = out.withColumn("is_morning_peak", scalars.morning_peak(F.col("ts")))
     names = ["power_recent_24h_mean", "power_recent_7d_mean", "power_deviation_24h"]
-    return rounded(out.select("site_id", "ts", *names, "is_morning_peak"), 6, *names)
+    return settled(out.select("site_id", "ts", *names, "is_morning_peak"), 6, *names)
 
 
 SQL_SPIKE = {
@@ -246,9 +246,9 @@ def weather_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_custkey % 10 AS place, CAST(o_orderdate AS DATE) AS date, ROUND(AVG(o_totalprice) / 10000, 6) AS temp,
+    f"""SELECT o_custkey % 10 AS place, CAST(o_orderdate AS DATE) AS date, {sql_round('AVG(o_totalprice) / 10000', 6)} AS temp,
               CASE WHEN AVG(o_totalprice) / 10000 <= 12 THEN 'winter' WHEN AVG(o_totalprice) / 10000 >= 22 THEN 'summer' ELSE 'transition' END AS season,
-              ROUND(GREATEST(AVG(o_totalprice) / 10000 - 26, 0), 6) AS cooling_degree, ROUND(GREATEST(16 - AVG(o_totalprice) / 10000, 0), 6) AS heating_degree
+              {sql_round('GREATEST(AVG(o_totalprice) / 10000 - 26, 0)', 6)} AS cooling_degree, {sql_round('GREATEST(16 - AVG(o_totalprice) / 10000, 0)', 6)} AS heating_degree
        FROM orders GROUP BY 1, 2"""
 )
 def season_by_temperature(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,11 +256,11 @@ def season_by_temperature(spark: SparkSession, sf: str) -> DataFrame:
     daily = table(spark, sf, "orders").groupBy((F.col("o_custkey") % 10).alias("place"), F.to_date("o_orderdate").alias("date")).agg((F.avg("o_totalprice") / 10_000).alias("temp"))
     t = F.col("temp")
     out = daily.withColumn("season", scalars.season_by_temp(t)).withColumn("cooling_degree", scalars.cooling_degree(t)).withColumn("heating_degree", scalars.heating_degree(t))
-    return rounded(out, 6, "temp", "cooling_degree", "heating_degree")
+    return settled(out, 6, "temp", "cooling_degree", "heating_degree")
 
 
 @query(
-    f"""SELECT site_id, ts, ROUND(COALESCE(ABS(w) / GREATEST(ABS(v), 5), 1), 6) AS ratio_w_over_v, ROUND(COALESCE(ABS(d_max5) / GREATEST(ABS(w), 50), 0), 6) AS ratio_d87_over_main FROM ({SQL_HOURLY})"""
+    f"""SELECT site_id, ts, {sql_round('COALESCE(ABS(w) / GREATEST(ABS(v), 5), 1)', 6)} AS ratio_w_over_v, {sql_round('COALESCE(ABS(d_max5) / GREATEST(ABS(w), 50), 0)', 6)} AS ratio_d87_over_main FROM ({SQL_HOURLY})"""
 )
 def column_ratios(spark: SparkSession, sf: str) -> DataFrame:
     """SCL-10."""
@@ -270,7 +270,7 @@ def column_ratios(spark: SparkSession, sf: str) -> DataFrame:
         scalars.floored_ratio(F.col("w"), F.col("v"), 5.0, 1.0).alias("ratio_w_over_v"),
         scalars.floored_ratio(F.col("d_max5"), F.col("w"), 50.0, 0.0).alias("ratio_d87_over_main"),
     )
-    return rounded(out, 6, "ratio_w_over_v", "ratio_d87_over_main")
+    return settled(out, 6, "ratio_w_over_v", "ratio_d87_over_main")
 
 
 @query(
@@ -282,9 +282,9 @@ def label_correlations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Every family at once on the hourly series."""
-    rows = hourly(spark, sf)
-    weather = _weather15(spark, sf)
+    """Every family at once. Aligned rows and weather are written once, as every later step reads them."""
+    rows = cut_lineage(hourly(spark, sf))
+    weather = cut_lineage(_weather15(spark, sf))
     tempered = with_weather(rows, weather, ["site_id"], "ts")
     lut = build_lut(tempered.select("site_id", "temp_2m", "w"), ["site_id"], "temp_2m", "w")
     return build_features(rows, SITE_HOURS, ["w", "v"], spike="d", weather=weather, place=["site_id"], lut=lut, physics=True)

@@ -13,6 +13,7 @@ from wattloom.operators.joins import bins_per_key, hit_bins
 from wattloom.operators.quantiles import percentiles
 from wattloom.operators.series import DAY, Series, attach
 from wattloom.operators.windows import ema
+from wattloom.session import cut_lineage
 
 MIN_LUT_ROWS = 5
 MIN_DRIFT_ROWS = 10
@@ -46,9 +47,10 @@ def rows_in_bins(df: DataFrame, bins: DataFrame, keys: Sequence[str], temp: str)
 def build_lut(df: DataFrame, keys: Sequence[str], temp: str, signal: str, n_bins: int = 20) -> DataFrame:
     """Expected signal per temperature bin (median of at least five rows) and one global row per key.
 
-    Bins are renumbered by temperature; the global median has `bin_id` −1.
+    Bins are renumbered by temperature; the global median has `bin_id` −1. This is a fitting step: the
+    edges and the table (some twenty rows per key) are checkpointed, so later plans start from them.
     """
-    bins = temperature_bins(df, keys, temp, n_bins)
+    bins = cut_lineage(temperature_bins(df, keys, temp, n_bins))
     held = rows_in_bins(df.select(*keys, temp, signal), bins, keys, temp)
     group = [*keys, "bin_id"]
     stats = held.groupBy(*group).agg(F.avg(signal).alias("mean_signal"), F.stddev_pop(signal).alias("std_signal"))
@@ -69,7 +71,7 @@ def build_lut(df: DataFrame, keys: Sequence[str], temp: str, signal: str, n_bins
         "p75_signal",
     )
     overall = percentiles(df, keys, signal, {"expected_signal": 0.5}).drop("n").withColumn("bin_id", F.lit(-1))
-    return table.unionByName(overall, allowMissingColumns=True)
+    return cut_lineage(table.unionByName(overall, allowMissingColumns=True))
 
 
 def lut_actual_vs_expected(df: DataFrame, lut: DataFrame, keys: Sequence[str], temp: str, signal: str) -> DataFrame:

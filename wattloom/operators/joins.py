@@ -28,13 +28,14 @@ def on_bin(rows: DataFrame, readings: DataFrame, keys: Sequence[str], ts: str, r
 
 
 def daily_as_of(
-    rows: DataFrame, daily: DataFrame, row_keys: Sequence[str], place: Sequence[str], ts: str, columns: Sequence[str]
+    rows: DataFrame, dated: DataFrame, daily: DataFrame, place: Sequence[str], ts: str, columns: Sequence[str]
 ) -> DataFrame:
     """Latest daily value at or before each row's day; NULL before the first day.
 
-    The forward fill runs on the distinct days of a place, never on rows.
+    The forward fill runs on the distinct days of a place (taken from `dated`, a narrow table with
+    the same places and times), never on rows.
     """
-    days = rows.select(*place, F.to_date(ts).alias("date")).distinct()
+    days = dated.select(*place, F.to_date(ts).alias("date")).distinct()
     both = days.join(daily, [*place, "date"], "full")
     w = Window.partitionBy(*place).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     filled = both.select(*place, "date", *[F.last(c, True).over(w).alias(c) for c in columns])

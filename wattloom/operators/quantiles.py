@@ -62,23 +62,27 @@ def running_counts(
 def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float]) -> DataFrame:
     """Linear-interpolation percentiles per group, one column per point, plus the row count `n`."""
     counted = running_counts(df, keys, value)
-    position = {name: (F.col("n_all") - 1) * F.lit(float(q)) for name, q in points.items()}
 
-    def holds(rank: Column) -> Column:
-        return (F.col("n_below") <= rank) & (rank < F.col("n_below") + F.col("n"))
-
-    picked = counted.groupBy(*keys).agg(
+    # Built as SQL text: with twenty points, column objects would cost more than the query.
+    ranks = ", ".join(
+        f"named_struct('at', {2 * i + up}, 'rank', CAST({side}((n_all - 1) * {float(q)!r}D) AS BIGINT))"
+        for i, q in enumerate(points.values())
+        for up, side in enumerate(("FLOOR", "CEIL"))
+    )
+    held = F.expr(f"FILTER(ARRAY({ranks}), r -> r.rank >= n_below AND r.rank < n_below + n)")
+    # Only values that hold a wanted rank go on: at most two rows per point and group.
+    hits = counted.select(*keys, F.col(value).alias("_v"), "n_all", F.explode(held).alias("_hit"))
+    picked = hits.groupBy(*keys).agg(
         F.max("n_all").alias("n"),
-        *[F.max(F.when(holds(F.floor(p)), F.col(value))).alias(f"_lo_{name}") for name, p in position.items()],
-        *[F.max(F.when(holds(F.ceil(p)), F.col(value))).alias(f"_hi_{name}") for name, p in position.items()],
+        *[F.expr(f"MAX(CASE WHEN _hit.at = {i} THEN _v END)").alias(f"_p{i}") for i in range(2 * len(points))],
     )
-
-    def blend(name: str, q: float) -> Column:
-        at = (F.col("n") - 1) * F.lit(float(q))
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        return (low + (high - low) * (at - F.floor(at))).alias(name)
-
-    return picked.select(*keys, "n", *[blend(name, q) for name, q in points.items()])
+    blends = [
+        F.expr(
+            f"_p{2 * i} + (_p{2 * i + 1} - _p{2 * i}) * ((n - 1) * {float(q)!r}D - FLOOR((n - 1) * {float(q)!r}D))"
+        ).alias(name)
+        for i, (name, q) in enumerate(points.items())
+    ]
+    return picked.select(*keys, "n", *blends)
 
 
 def median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:

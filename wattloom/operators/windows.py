@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from wattloom.operators.series import Series, attach, over_rows, with_position
+from wattloom.operators.series import Series, over_rows, with_position
 
 DAY_ROWS = 96
 WEEK_ROWS = 672
@@ -161,10 +161,14 @@ def past_means(w: WindowSpec) -> dict[str, Column]:
     return out
 
 
-def head_fill(w: WindowSpec) -> dict[str, Column]:
-    """Head rows take the first defined mean."""
+def head_fill(w: WindowSpec, column: str, total: str = "_len") -> dict[str, Column]:
+    """Head rows take the first defined mean. A series too short for one takes its median: at most 16
+    rows, which all lie in its first block."""
+    block = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    median = F.percentile(F.when(F.col(total) <= 16, F.col(column)), 0.5).over(block)
     return {
-        name: F.coalesce(name, F.first(name, True).over(w.rowsBetween(0, least))) for name, (_, least) in RECENT.items()
+        name: F.coalesce(name, F.first(name, True).over(w.rowsBetween(0, least)), median)
+        for name, (_, least) in RECENT.items()
     }
 
 
@@ -174,7 +178,7 @@ def long_steps(column: str, deviations: bool, means: bool) -> list:
     if deviations:
         steps += [lambda w: baseline_deviation(w, column), lambda w: z_score(w, column)]
     if means:
-        steps += [past_means, head_fill]
+        steps += [past_means, lambda w: head_fill(w, column)]
     return steps
 
 
@@ -183,21 +187,12 @@ def long_families(df: DataFrame, series: Series, column: str, deviations: bool =
     numbered = with_position(df, series, total="_len")
     steps = long_steps(column, deviations, means)
     wide = over_rows(numbered, series, steps, WEEK_ROWS + 1, 16, 8 * WEEK_ROWS, numbered=True)
-    if means:
-        wide = fill_short_series(wide, numbered, series, column)
     return wide.drop(*HELPERS, "pos", "_len")
 
 
 HELPERS = ("_base", "_x", "_x2", "_cx", "_cx2", "_day_std")
 
 
-def fill_short_series(df: DataFrame, numbered: DataFrame, series: Series, column: str) -> DataFrame:
-    """A series too short to define a past mean takes its median; such a series has at most 16 rows."""
-    short = numbered.where(F.col("_len") <= 16).groupBy(*series.key).agg(F.percentile(column, 0.5).alias("_median"))
-    filled = attach(df, short, series.key)
-    return filled.withColumns({name: F.coalesce(name, "_median") for name in RECENT}).drop("_median")
-
-
 def decay(halflife: float) -> float:
     return 0.5 ** (1.0 / halflife)
 

@@ -84,14 +84,15 @@ def build_features(
     main = top[0]
     drift = lut is not None
     has_spike = f"{spike}_min5" in df.columns and f"{spike}_max5" in df.columns
-    wide = df
+    # Positions and decayed means come first, so their narrow second pass does not repeat the joins.
+    wide = win.ema_family(with_position(df, series, total="_len"), series, top[:3], numbered=True)
     if has_spike:
         wide = wide.withColumns(spike_features(F.col(f"{spike}_min5"), F.col(f"{spike}_max5")))
     wide = wide.withColumns(calendar(F.col(ts)))
     if weather is not None:
         wide = with_weather(wide, weather, place, ts)
         daily = daily_extremes(weather, place, "temperature_2m")
-        wide = daily_as_of(wide, daily, keys, place, ts, ["temp_day_max", "temp_day_min", "temp_day_mean"])
+        wide = daily_as_of(wide, df, daily, place, ts, ["temp_day_max", "temp_day_min", "temp_day_mean"])
         wide = wide.withColumns(
             {
                 "temp_diurnal_range": F.col("temp_day_max") - F.col("temp_day_min"),
@@ -100,8 +101,6 @@ def build_features(
                 "heating_degree": heating_degree(F.col("temp_2m")),
             }
         )
-    numbered = with_position(wide, series, total="_len")
-    numbered = win.ema_family(numbered, series, top[:3], numbered=True)
 
     def short(w):
         out = {
@@ -126,14 +125,13 @@ def build_features(
     if physics or drift:
         steps += win.long_steps(main, physics, drift)
         before, after, block = win.WEEK_ROWS + 1, 16, 8 * win.WEEK_ROWS
-    table = over_rows(numbered, series, steps, before, after, block, numbered=True)
+    table = over_rows(wide, series, steps, before, after, block, numbered=True)
     if physics:
         ratios = {f"ratio_{main}_over_{c}": floored_ratio(F.col(main), F.col(c), 5.0, 1.0) for c in top[1:3]}
         if spike in df.columns:
             ratios["ratio_d87_over_main"] = floored_ratio(F.col(spike), F.col(main), 50.0, 0.0)
         table = table.withColumns(ratios)
     if drift:
-        table = win.fill_short_series(table, numbered, series, main)
         table = table.withColumn("power_deviation_24h", deviation_ratio(F.col(main), F.col("power_recent_24h_mean")))
         table = table.withColumn("is_morning_peak", morning_peak(F.col(ts)))
         if weather is not None:
