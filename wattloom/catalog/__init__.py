@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from wattloom.catalog import aligned, clean, features, periods, streams
+from wattloom.catalog import aligned, clean, drifts, features, guards, periods, scores, streams
 from wattloom.catalog.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "aligned", "clean", "features", "periods", "streams"]
+__all__ = ["ORACLE", "QUERIES", "aligned", "clean", "drifts", "features", "guards", "periods", "scores", "streams"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.catalog.registry import query
-from wattloom.catalog.views import SITE_QUARTERS, SQL_BRANCH, SQL_BUS, SQL_PRED, as_counts, branch, bus, pred, rounded, site_events
+from wattloom.catalog.views import SITE_QUARTERS, SQL_BRANCH, SQL_BUS, SQL_PRED, as_counts, branch, bus, pred, rounded, site_events, user_events
 from wattloom.operators.resample import raw_daily_counts
 from wattloom.operators.segments import daily_summary, filter_short_runs, off_centres, on_edges, on_periods, post_filter
 
@@ -67,9 +67,10 @@ def on_periods_by_day(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(_periods(spark, sf))
 
 
-@query(_sql_periods(True) + SQL_PERIOD_COLUMNS.replace("FROM periods", "FROM periods WHERE state = 0"))
+@query((_sql_periods(True) + SQL_PERIOD_COLUMNS.replace("FROM periods", "FROM periods WHERE state = 0")).replace("site_id", "user_id").replace("event_type AS user_id, user_id,", "event_type AS site_id, user_id,"))
 def off_days(spark: SparkSession, sf: str) -> DataFrame:
-    return _shown(_periods(spark, sf).where("state = 0"))
+    """SEG-3 per user, whose sparse days often have no ON sample."""
+    return _shown(on_periods(bus(spark, sf), user_events(spark, sf), "d73", THRESHOLD).where("state = 0"))
 
 
 @query(
@@ -106,20 +107,20 @@ def daily_run_summary(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out, 5, "total_on_hours")
 
 
-def _sql_islands(source: str, state: str, out: str, value: int, limit: int) -> str:
+def sql_islands(source: str, state: str, out: str, value: int, limit: int, part: str = "site_id") -> str:
     """Flip runs of `value` shorter than `limit` by counting island rows."""
     return f"""
   SELECT * EXCLUDE (g, len), CASE WHEN {state} = {value} AND len < {limit} THEN 1 - {value} ELSE {state} END AS {out}
-  FROM (SELECT *, COUNT(*) OVER (PARTITION BY site_id, g) AS len
-        FROM (SELECT *, SUM(chg) OVER (PARTITION BY site_id ORDER BY time, event_id) AS g
-              FROM (SELECT *, CASE WHEN lag({state}) OVER (PARTITION BY site_id ORDER BY time, event_id) = {state} THEN 0 ELSE 1 END AS chg
+  FROM (SELECT *, COUNT(*) OVER (PARTITION BY {part}, g) AS len
+        FROM (SELECT *, SUM(chg) OVER (PARTITION BY {part} ORDER BY time, event_id) AS g
+              FROM (SELECT *, CASE WHEN lag({state}) OVER (PARTITION BY {part} ORDER BY time, event_id) = {state} THEN 0 ELSE 1 END AS chg
                     FROM ({source})) ) )"""
 
 
 def _sql_filtered(min_on: int, fill: int) -> str:
-    first = _sql_islands(SQL_PRED, "state_pred", "s1", 1, min_on)
+    first = sql_islands(SQL_PRED, "state_pred", "s1", 1, min_on)
     # The helper leaves `chg` behind; drop it before the second pass.
-    return _sql_islands(f"SELECT * EXCLUDE (chg) FROM ({first})", "s1", "s2", 0, fill + 1)
+    return sql_islands(f"SELECT * EXCLUDE (chg) FROM ({first})", "s1", "s2", 0, fill + 1)
 
 
 @query(

@@ -13,6 +13,7 @@ from wattloom.operators.joins import event_windows, startup_as_of
 from wattloom.operators.quantiles import percentiles
 from wattloom.operators.segments import off_centres, on_edges
 from wattloom.operators.series import Series, attach
+from wattloom.session import cut_lineage
 
 # Fixed values.
 ALLOW_RANGE, ALLOW_REF = (0.75, 0.90), 30
@@ -50,8 +51,9 @@ def calibrate(
     keys = list(series.key)
     edges = on_edges(branch, series, power, on_w).select(*keys, series.ts)
     centres = off_centres(branch, series, power, off_w)
-    on_win = event_windows(edges, bus, keys, series.ts, bus_ts, spike, 1_200, 600)
-    off_win = event_windows(centres, bus, keys, "centre_ts", bus_ts, spike, 900, 900)
+    # Two event tables, each read by several percentiles: written once.
+    on_win = cut_lineage(event_windows(edges, bus, keys, series.ts, bus_ts, spike, 1_200, 600))
+    off_win = cut_lineage(event_windows(centres, bus, keys, "centre_ts", bus_ts, spike, 900, 900))
     on_abs = percentiles(on_win, keys, "win_absmax", {"on_p10_abs": 0.10, "on_p50_abs": 0.50}).withColumnRenamed("n", "n_on_amax")
     off_abs = percentiles(off_win, keys, "win_absmax", {"off_p50_abs": 0.50, "off_p99_abs": 0.99}).withColumnRenamed("n", "n_off_amax")
     on_min = percentiles(on_win, keys, "win_min", {"train_on_p50": 0.50, "train_on_p90": 0.90}).drop("n")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattloom.operators.quantiles import percentiles, running_counts
 from wattloom.operators.series import attach
+from wattloom.session import cut_lineage
 
 
 def inverse_density(
@@ -16,7 +17,8 @@ def inverse_density(
 ) -> DataFrame:
     """One over the rows in a value's bin, capped at a quantile, floored, scaled to mean 1.
 
-    Everything after the bin counts happens on the (key, bin) table, at most `n_bins` rows per key.
+    Everything after the bin counts happens on the (key, bin) table, at most `n_bins` rows per key,
+    which is checkpointed because the steps read it repeatedly.
     """
     span = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     width = (F.col("_hi") + 1e-6 - F.col("_lo")) / n_bins
@@ -25,7 +27,7 @@ def inverse_density(
     )
     group = [*keys, "_bin"]
     table = binned.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("_hi") <= F.col("_lo")).alias("_flat"))
-    table = table.withColumn("_w", 1.0 / F.greatest(F.col("_n").cast("double"), F.lit(1e-3)))
+    table = cut_lineage(table.withColumn("_w", 1.0 / F.greatest(F.col("_n").cast("double"), F.lit(1e-3))))
     counted = running_counts(table, keys, "_w", {"n": F.sum("_n")}, slices=2)
     rank = (F.col("n_all") - 1) * F.lit(cap_quantile)
 
