@@ -23,11 +23,11 @@ def normal(df: pd.DataFrame) -> pd.DataFrame:
     for c in df.columns:
         s = df[c]
         if s.dtype == object:
-            df[c] = s.map(lambda v: None if v is None or (isinstance(v, float) and np.isnan(v)) else str(v))
+            df[c] = s.map(lambda v: None if v is None or v is pd.NA or (isinstance(v, float) and np.isnan(v)) else str(v)).astype(object)
         elif str(s.dtype).startswith(("datetime", "date")):
             df[c] = pd.to_datetime(s).astype("datetime64[us]").astype(str)
         elif s.dtype == bool or str(s.dtype) == "boolean":
-            df[c] = s.map(str)
+            df[c] = s.map(lambda v: None if v is pd.NA else str(v)).astype(object)
         else:
             df[c] = pd.to_numeric(s).astype(float) + 0.0
     df = df.sort_values(list(df.columns), na_position="first", kind="mergesort").reset_index(drop=True)

@@ -113,14 +113,11 @@ def with_default(df: DataFrame, lookup: DataFrame, keys: Sequence[str], column:
 
 
 def overlay(users: DataFrame, config: DataFrame, fields: Sequence[str], defaults: dict, key: str = "user_id") -> DataFrame:
-    """Field by field: the user's own value, else the `_default` row's, else the global default.
-
-    The `_default` row is a single row by construction (one per config), joined on a constant.
-    """
+    """Field by field: the user's own value, else the `_default` row's, else the global default."""
     own = config.where(F.col(key) != "_default").select(key, *fields)
-    fallback = config.where(F.col(key) == "_default").agg(*[F.max(F.struct(f))[f].alias(f"_d_{f}") for f in fields])
-    joined = users.join(own, key, "left").join(F.broadcast(fallback))
-    values = [F.coalesce(F.col(f), F.col(f"_d_{f}"), F.lit(defaults.get(f))).alias(f) for f in fields]
+    shared = config.where(F.col(key) == "_default")
+    joined = users.join(own, key, "left")
+    values = [F.coalesce(F.col(f), shared.agg(F.max(f)).scalar(), F.lit(defaults.get(f))).alias(f) for f in fields]
     return joined.select(key, *values)
 
 

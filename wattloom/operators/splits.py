@@ -45,22 +45,28 @@ def split_by_month(df: DataFrame, series: Series, ratios: Sequence[float] = DEFA
     return placed.withColumn("split", split).drop("pos", "_n", "_month")
 
 
-def day_quota(n: Column, ratios: tuple[float, float, float]) -> tuple[Column, Column]:
-    """Train and validation days out of n full days: train rounded first, the rest shared, one day each."""
+def day_quota(df: DataFrame, n: str, ratios: tuple[float, float, float]) -> DataFrame:
+    """Adds `_train` and `_val` days out of n full days: train rounded first, the rest shared, one day each.
+
+    Staged columns: as one nested expression the steps would repeat each other many times over.
+    """
     _, val, test = ratios
-    train = round_even(n * F.lit(ratios[0]))
-    rest = n - train
-    v = round_even(rest * F.lit(val) / F.lit(val + test))
-    t = rest - v
-    v_one = F.greatest(v, F.lit(1))
-    left = n - v_one - t
-    t_one = F.when(t >= 1, t).when(left > 1, F.lit(1)).when(v_one > 1, F.lit(1)).otherwise(t)
-    v_end = F.when((t < 1) & (left <= 1) & (v_one > 1), v_one - 1).otherwise(v_one)
-    over = F.greatest(v_end + t_one - (n - 1), F.lit(0))
-    cut_t = F.least(over, F.greatest(t_one - 1, F.lit(0)))
-    cut_v = F.least(over - cut_t, F.greatest(v_end - 1, F.lit(0)))
-    v_final, t_final = v_end - cut_v, t_one - cut_t
-    return n - v_final - t_final, v_final
+    one = F.lit(1).cast("long")
+    out = df.withColumn("_rest", F.col(n) - round_even(F.col(n) * F.lit(ratios[0])))
+    out = out.withColumn("_v", round_even(F.col("_rest") * F.lit(val) / F.lit(val + test)))
+    out = out.withColumn("_t", F.col("_rest") - F.col("_v")).withColumn("_v", F.greatest("_v", one))
+    out = out.withColumn("_left", F.col(n) - F.col("_v") - F.col("_t"))
+    # A test set without a day takes one from train, or from a validation set of several days.
+    out = out.withColumn("_give", (F.col("_t") < 1) & (F.col("_left") <= 1) & (F.col("_v") > 1))
+    out = out.withColumn("_t", F.when((F.col("_t") < 1) & ((F.col("_left") > 1) | F.col("_give")), one).otherwise(F.col("_t")))
+    out = out.withColumn("_v", F.when(F.col("_give"), F.col("_v") - 1).otherwise(F.col("_v")))
+    # Train keeps at least one day: first test, then validation gives way.
+    out = out.withColumn("_over", F.greatest(F.col("_v") + F.col("_t") - (F.col(n) - 1), F.lit(0)))
+    out = out.withColumn("_cut", F.least(F.col("_over"), F.greatest(F.col("_t") - 1, F.lit(0))))
+    out = out.withColumn("_t", F.col("_t") - F.col("_cut"))
+    out = out.withColumn("_val", F.col("_v") - F.least(F.col("_over") - F.col("_cut"), F.greatest(F.col("_v") - 1, F.lit(0))))
+    out = out.withColumn("_train", F.col(n) - F.col("_val") - F.col("_t"))
+    return out.drop("_rest", "_v", "_t", "_left", "_give", "_over", "_cut")
 
 
 def day_split_table(
@@ -80,11 +86,11 @@ def day_split_table(
     ranked = marked.withColumn("_rank", F.row_number().over(order)).withColumn(
         "_k", F.count(F.lit(1)).over(Window.partitionBy(*group, "_full")).cast("long")
     )
-    train, val = day_quota(F.col("_k"), ratios)
+    ranked = day_quota(ranked, "_k", ratios)
     split = (
         F.when(~F.col("_full") | (F.col("_k") < 3), "train")
-        .when(F.col("_rank") <= train, "train")
-        .when(F.col("_rank") <= train + val, "val")
+        .when(F.col("_rank") <= F.col("_train"), "train")
+        .when(F.col("_rank") <= F.col("_train") + F.col("_val"), "val")
         .otherwise("test")
     )
     return ranked.select(*keys, "date", "n", F.col("_full").alias("full_day"), split.alias("split"))

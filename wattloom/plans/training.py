@@ -77,8 +77,7 @@ def assemble(df: DataFrame, features: Sequence[str]) -> PipelineModel:
 def _classifier(settings: Settings, **options):
     return GBTClassifier(
         featuresCol="features", labelCol="state", maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.rate,
-        subsamplingRate=settings.sample, seed=settings.seed, probabilityCol="_prob", rawPredictionCol="_rawp",
-        predictionCol="_cls", checkpointInterval=10, cacheNodeIds=False, **options,
+        subsamplingRate=settings.sample, seed=settings.seed, checkpointInterval=10, **options,
     )
 
 
@@ -91,7 +90,7 @@ def _regressor(settings: Settings, label: str, trees: int | None = None, inputs:
 
 def probability_of(df: DataFrame, model: Transformer, out: str) -> DataFrame:
     scored = model.transform(df)
-    return scored.withColumn(out, vector_to_array("_prob")[1]).drop("_prob", "_rawp", "_cls")
+    return scored.withColumn(out, vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction")
 
 
 def expert_summary(df: DataFrame, season: str = "season", label: str = "y", state: str = "state") -> DataFrame:
@@ -119,7 +118,7 @@ def fit(
     if settings.ensemble:
         second = RandomForestClassifier(
             featuresCol="features", labelCol="state", numTrees=settings.forest_trees, maxDepth=settings.forest_depth,
-            seed=settings.seed, probabilityCol="_prob", rawPredictionCol="_rawp", predictionCol="_cls",
+            seed=settings.seed,
         ).fit(ready)
     on = ready.where("state = 1")
     fallback = _regressor(settings, "y", **weights).fit(on)
@@ -166,7 +165,7 @@ def fit_probability(df: DataFrame, method: str) -> Transformer:
     if method == "isotonic":
         return IsotonicRegression(featuresCol="p_on", labelCol="state", predictionCol="_cal").fit(df.withColumn("state", F.col("state").cast("double")))
     inputs = VectorAssembler(inputCols=["p_on"], outputCol="_pv").transform(df)
-    return LogisticRegression(featuresCol="_pv", labelCol="state", probabilityCol="_prob", rawPredictionCol="_rawp", predictionCol="_cls").fit(inputs)
+    return LogisticRegression(featuresCol="_pv", labelCol="state").fit(inputs)
 
 
 def calibrated_probability(df: DataFrame, probability: Transformer) -> DataFrame:
