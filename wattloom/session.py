@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,19 +38,23 @@ def local_session(cores: str = "*", memory: str = "8g", partitions: int = 8) ->
     return configure(builder.getOrCreate())
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="wattloom-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="wattloom-")
+        folder = _LOCAL[app]
     return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of any executor."""
-    spark = df.sparkSession
-    folder = checkpoint_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
     return df.checkpoint(eager=True)
