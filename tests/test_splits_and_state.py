@@ -36,10 +36,11 @@ def test_pinned_day_keeps_sizes(spark):
     assert {r["split"] for r in out.where("day = 1").select("split").distinct().collect()} == {"test"}
 
 
-def test_expelled_day_without_other_place_is_dropped(spark):
+def test_expelled_day_swaps_places(spark):
     out, sizes = run(spark, [("val", "exclude", "2026-06-08", "2026-06-08")])
-    assert out.where("day = 8 AND split = 'val'").count() == 0
-    assert sizes["train"] == 576 and sizes["test"] == 288
+    assert sizes == {"train": 576, "val": 288, "test": 288}
+    assert {r["split"] for r in out.where("day = 8").select("split").distinct().collect()} == {"train"}
+    assert {r["split"] for r in out.where("day = 1").select("split").distinct().collect()} == {"val"}
 
 
 def test_day_excluded_everywhere_is_dropped(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wattloom.functions.scalars import round_even
 from wattloom.operators.filters import hit
 from wattloom.operators.series import Series, attach, with_position
+from wattloom.session import cut_lineage
 
 DEFAULT_RATIOS = (0.60, 0.20, 0.20)
 FULL_DAY_ROWS = 80
@@ -139,11 +140,13 @@ def per_split_filter(df: DataFrame, ranges: DataFrame, series: Series, split: st
     A row excluded from all three splits is dropped. Splits above their old size hand their earliest
     unpinned rows, and expelled rows are handed out, to the splits below their old size in the order
     train, val, test. Rows are matched to free places by rank, which equals moving them one by one
-    wherever a moved row may enter the needy split it is due for; a row whose split excludes it is
-    passed to the next needy one, and dropped when there is none.
+    wherever a moved row may enter the split it is due for. An expelled row that may not swaps places:
+    it goes to the first split that takes it, and that split's earliest free row outside all exclude
+    ranges fills the place. Rows that find no place are dropped.
     """
     keys = list(series.key)
-    joined = attach(df, split_range_arrays(ranges, keys), keys)
+    slim = df.select(*keys, *series.order, split)
+    joined = attach(slim, split_range_arrays(ranges, keys), keys)
     ts = F.col(series.ts)
     out_of = {s: hit(ts, F.col(f"_{s}_exclude")) for s in NAMES}
     pinned = F.coalesce(*[F.when(hit(ts, F.col(f"_{s}_include")), F.lit(s)) for s in NAMES])
@@ -154,7 +157,8 @@ def per_split_filter(df: DataFrame, ranges: DataFrame, series: Series, split: st
     expelled = F.lit(False)
     for s in NAMES:
         expelled = expelled | ((start == s) & F.col(f"_no_{s}"))
-    placed = flagged.withColumn("_at", F.when(F.col("_lost"), "lost").when(expelled, "none").otherwise(start))
+    # Only keys, times and flags are carried; the two checkpoints keep the steps below from repeating.
+    placed = cut_lineage(flagged.withColumn("_at", F.when(F.col("_lost"), "lost").when(expelled, "none").otherwise(start)))
 
     counts = placed.groupBy(*keys).agg(
         *[F.count_if(F.col(split) == s).alias(f"_goal_{s}") for s in NAMES],
@@ -168,9 +172,7 @@ def per_split_filter(df: DataFrame, ranges: DataFrame, series: Series, split: st
     # Movable rows: unpinned rows of a split (candidates for its surplus), then the expelled rows.
     queue = F.when((F.col("_at") == "none"), F.lit("none")).when(F.col("_pin").isNull() & F.col("_at").isin(*NAMES), F.col("_at"))
     waiting = placed.withColumn("_queue", queue)
-    targets = [F.when(~F.col(f"_no_{s}"), F.lit(s)) for s in NAMES]
-    able = F.array_compact(F.array(*targets))
-    movable = waiting.where("_queue IS NOT NULL").withColumn("_able", F.array_join(able, ","))
+    movable = waiting.where("_queue IS NOT NULL")
     ranked = with_position(movable, series.renamed(key=(*keys, "_queue")), out="_rank")
     sized = attach(ranked, free, keys)
     over = F.lit(0)
@@ -197,13 +199,25 @@ def per_split_filter(df: DataFrame, ranges: DataFrame, series: Series, split: st
     choice = F.when(F.col("_due").isNull(), F.when(F.col("_queue") != "none", F.col("_queue"))).when(~blocked, F.col("_due")).otherwise(
         F.when(F.col("_queue") != "none", F.col("_queue"))
     )
-    moved = settled.select(*keys, *series.order, choice.alias("_new"))
-    done = placed.where(F.col("_at") != "lost").join(
-        moved.withColumn("_moved", F.lit(True)), [*keys, *series.order], "left"
-    )
+    # An expelled row due for a split that excludes it goes to another split, whose earliest free row goes there.
+    via = F.coalesce(*[F.when((F.col("_due") != s) & ~F.col(f"_no_{s}"), F.lit(s)) for s in NAMES])
+    swap = F.when((F.col("_queue") == "none") & blocked, via)
+    moved = settled.select(*keys, *series.order, choice.alias("_new"), "_due", swap.alias("_via"), F.lit(True).alias("_moved"))
+    done = placed.where(F.col("_at") != "lost").join(cut_lineage(moved), [*keys, *series.order], "left")
     final = F.when(F.col("_moved"), F.col("_new")).when(F.col("_at") != "none", F.col("_at"))
-    keep = [c for c in df.columns if c != split]
-    return done.withColumn(split, final).where(F.col(split).isNotNull()).select(*keep, split)
+    done = done.withColumn("_final", final)
+    ranked_via = series.renamed(key=(*keys, "_via"))
+    wanting = with_position(done.where("_final IS NULL AND _via IS NOT NULL").select(*keys, *series.order, "_via", "_due"), ranked_via, "_k")
+    stays = F.col("_final").isNotNull() & F.col("_pin").isNull() & F.col("_moved").isNull() & ~(F.col("_no_train") | F.col("_no_val") | F.col("_no_test"))
+    giving = with_position(done.where(stays).select(*keys, *series.order, F.col("_final").alias("_via")), ranked_via, "_k")
+    donors = giving.select(*keys, "_via", "_k", *[F.col(c).alias(f"_give_{c}") for c in series.order])
+    pairs = wanting.join(donors, [*keys, "_via", "_k"])
+    swaps = pairs.select(*keys, *series.order, F.col("_via").alias("_swapped")).unionByName(
+        pairs.select(*keys, *[F.col(f"_give_{c}").alias(c) for c in series.order], F.col("_due").alias("_swapped"))
+    )
+    settled_rows = done.join(swaps, [*keys, *series.order], "left").withColumn(split, F.coalesce("_swapped", "_final"))
+    chosen = settled_rows.where(F.col(split).isNotNull()).select(*keys, *series.order, split)
+    return df.drop(split).join(chosen, [*keys, *series.order])
 
 
 def quality_gates(
