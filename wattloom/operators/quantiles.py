@@ -35,9 +35,8 @@ def running_counts(
     cuts = combined.groupBy(*group).agg(
         F.percentile_approx(held, [i / slices for i in range(1, slices)], 1_000).alias("_cuts")
     )
-    sliced = attach(combined, cuts, group).withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
-    )
+    below = " + ".join(f"CAST(_cuts[{i}] < `{value}` AS INT)" for i in range(slices - 1))
+    sliced = attach(combined, cuts, group).withColumn("_slice", F.expr(below))
     sliced = sliced.drop("_cuts")
     totals = sliced.groupBy(*group, "_slice").agg(*[F.sum(m).alias(m) for m in measures])
     order = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -198,16 +198,19 @@ def events_around(
         F.max_by("_event", F.when(F.col("_event").isNotNull(), first_key)).alias("_last"),
         F.min_by("_event", F.when(F.col("_event").isNotNull(), first_key)).alias("_first"),
     )
-    chunks = series.across_chunks()
+    # Looking ahead means looking back in reversed order: a running frame costs one step per row,
+    # a frame that is open towards the end would be evaluated anew for every row.
+    backward = Window.partitionBy(*series.key).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
         *series.chunk_key,
-        F.last("_last", True).over(chunks.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_prev"),
-        F.first("_first", True).over(chunks.rowsBetween(1, Window.unboundedFollowing)).alias("_carry_next"),
+        F.last("_last", True).over(series.across_chunks().rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_prev"),
+        F.last("_first", True).over(backward).alias("_carry_next"),
     )
+    reverse = Window.partitionBy(*series.chunk_key).orderBy(*[F.desc(c) for c in order])
     local = tagged.withColumns(
         {
             "prev_event": F.last("_event", True).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
-            "next_event": F.first("_event", True).over(inside.rowsBetween(1, Window.unboundedFollowing)),
+            "next_event": F.last("_event", True).over(reverse.rowsBetween(Window.unboundedPreceding, -1)),
         }
     ).where("_tag = 1")
     return (
