@@ -9,7 +9,6 @@ from wattloom.catalog.registry import query
 from wattloom.catalog.views import SQL_BUS, SQL_DAY, SQL_PRED, USER_DAYS, as_counts, bus, day, pred, rounded, settled, site_events, sql_round, table
 from wattloom.operators import drift, splits
 from wattloom.operators.joins import lookup_bins
-from wattloom.operators.series import DAY, Series
 
 # Temperature of a reading: its score column turned to degrees. Training: the first 18 days.
 SQL_TEMPS = f"SELECT event_id, site_id, event_time, d73 AS w, d74 / 4.0 AS temp, dayofmonth(event_time) <= 18 AS train FROM ({SQL_BUS})"
@@ -246,16 +245,16 @@ def _pins(spark: SparkSession, sf: str, rows: list[tuple[str, str, str, str]]) -
 def split_pinned_day(spark: SparkSession, sf: str) -> DataFrame:
     """SPL-5: one test day pinned to train; the earliest free train rows take its place."""
     spans = _pins(spark, sf, [("train", "include", "2024-01-28 00:00:00", "2024-01-28 23:59:59")])
-    series = Series(("site_id",), "time", ("event_id",), DAY)
-    return splits.per_split_filter(pred(spark, sf).select("event_id", "site_id", "time", "split"), spans, series).select("event_id", "split")
+    rows = pred(spark, sf).select("event_id", "site_id", "time", "split")
+    return splits.per_split_filter(rows, spans, site_events(spark, sf, "time")).select("event_id", "split")
 
 
 @query(f"SELECT event_id, split FROM ({SQL_PRED}) WHERE NOT time BETWEEN '2024-01-05' AND '2024-01-05 23:59:59'")
 def split_dropped_day(spark: SparkSession, sf: str) -> DataFrame:
     """SPL-5: a day excluded from all three splits disappears."""
     spans = _pins(spark, sf, [(s, "exclude", "2024-01-05 00:00:00", "2024-01-05 23:59:59") for s in splits.NAMES])
-    series = Series(("site_id",), "time", ("event_id",), DAY)
-    return splits.per_split_filter(pred(spark, sf).select("event_id", "site_id", "time", "split"), spans, series).select("event_id", "split")
+    rows = pred(spark, sf).select("event_id", "site_id", "time", "split")
+    return splits.per_split_filter(rows, spans, site_events(spark, sf, "time")).select("event_id", "split")
 
 
 @query(

@@ -16,7 +16,7 @@ from wattloom.plans import training
 from wattloom.session import cut_lineage
 
 # Few, shallow trees: the point of these queries is the whole path over the whole table.
-SMALL = training.Settings(trees=8, depth=3, forest_trees=8, forest_depth=5, correction_trees=5, min_on=1, fill=1)
+SMALL = training.Settings(trees=4, depth=3, forest_trees=4, forest_depth=4, correction_trees=2, min_on=1, fill=1)
 INPUTS = ["w_lag1", "w_lag2", "v", "w_rm4", "w_ema_24", "hour", "sin_hour", "cos_hour", "temp_2m", "power_recent_24h_mean"]
 _LABELLED: dict[tuple[str, str], DataFrame] = {}
 _SCORED: dict[tuple[str, str], DataFrame] = {}
@@ -81,7 +81,7 @@ def feature_importances(spark: SparkSession, sf: str) -> DataFrame:
 def control_model(spark: SparkSession, sf: str) -> DataFrame:
     """ML-13, ML-14, ML-17: two averaged classifiers on the features without weather and drift, calibrated on validation days."""
     settings = training.Settings(
-        trees=4, forest_trees=4, forest_depth=4, correction_trees=2, ensemble=True, probability_calibration="isotonic", season_calibration="linear"
+        trees=2, forest_trees=2, forest_depth=3, correction_trees=1, ensemble=True, probability_calibration="isotonic", season_calibration="linear"
     )
     inputs = [c for c in INPUTS if c not in ("temp_2m", "power_recent_24h_mean")]
     rows = labelled(spark, sf)
