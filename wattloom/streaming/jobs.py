@@ -19,16 +19,16 @@ def stream_bins(readings: DataFrame, keys: Sequence[str], ts: str, columns: Sequ
     for c in spikes:
         aggs += [F.max(c).alias(f"{c}_max5"), F.min(c).alias(f"{c}_min5"), F.max(F.abs(c)).alias(f"{c}_absmax5")]
     marked = readings.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    binned = marked.groupBy(*keys, F.window(ts, f"{minutes} minutes").alias("w")).agg(*aggs)
-    names = [c for c in binned.columns if c not in (*keys, "w")]
-    return binned.select(*keys, F.col("w.start").cast("timestamp_ntz").alias("ts"), *names)
+    binned = marked.groupBy(*keys, F.window(ts, f"{minutes} minutes").alias("_win")).agg(*aggs)
+    names = [c for c in binned.columns if c not in (*keys, "_win")]
+    return binned.select(*keys, F.col("_win.start").cast("timestamp_ntz").alias("ts"), *names)
 
 
 def stream_daily_counts(readings: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 day") -> DataFrame:
     """Readings per day in update mode; a day's row grows until the watermark passes it."""
     marked = readings.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    counted = marked.groupBy(*keys, F.window(ts, "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n_raw"))
-    return counted.select(*keys, F.to_date("w.start").alias("date"), "n_raw")
+    counted = marked.groupBy(*keys, F.window(ts, "1 day").alias("_win")).agg(F.count(F.lit(1)).alias("n_raw"))
+    return counted.select(*keys, F.to_date("_win.start").alias("date"), "n_raw")
 
 
 GUARD_OUT = "key STRING, ts TIMESTAMP, last_startup TIMESTAMP, suppressed BOOLEAN"
@@ -81,8 +81,8 @@ def stream_guard(
     """
     marked = readings.select(F.col(key).cast("string").alias("key"), F.col(ts).cast("timestamp").alias("at"), spike).withWatermark("at", delay)
     startup = F.max(F.when(F.abs(spike) >= threshold, F.col("at"))).alias("startup")
-    steps = marked.groupBy("key", F.window("at", f"{minutes} minutes").alias("w")).agg(startup)
-    timed = steps.select("key", F.col("w.start").alias("ts"), "startup", F.window_time("w").alias("until"))
+    steps = marked.groupBy("key", F.window("at", f"{minutes} minutes").alias("_win")).agg(startup)
+    timed = steps.select("key", F.col("_win.start").alias("ts"), "startup", F.window_time("_win").alias("until"))
     return timed.groupBy("key").transformWithStateInPandas(GuardProcessor(max_on_h), GUARD_OUT, "append", "eventTime")
 
 
@@ -121,10 +121,10 @@ def stream_running_stats(readings: DataFrame, key: str, ts: str, value: str, alp
     A windowed aggregate reduces a day to its moments; the keyed state merges one row per day.
     """
     marked = readings.select(F.col(key).cast("string").alias("key"), F.col(ts).cast("timestamp").alias("at"), value).withWatermark("at", delay)
-    moments = marked.where(F.col(value).isNotNull()).groupBy("key", F.window("at", "1 day").alias("w")).agg(
+    moments = marked.where(F.col(value).isNotNull()).groupBy("key", F.window("at", "1 day").alias("_win")).agg(
         F.count(value).alias("n"), F.avg(value).alias("m"), F.var_pop(value).alias("v")
     )
-    days = moments.select("key", F.to_date("w.start").alias("day"), "n", "m", "v")
+    days = moments.select("key", F.to_date("_win.start").alias("day"), "n", "m", "v")
     return days.groupBy("key").transformWithStateInPandas(StatsProcessor(alpha), STATS_OUT, "append", "none")
 
 
