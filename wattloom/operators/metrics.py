@@ -183,7 +183,7 @@ def threshold_counts(df: DataFrame, keys: Sequence[str], score: str, true: str,
     per key in one pass instead of being copied once per threshold.
     """
     levels = F.array(*[F.lit(float(t)) for t in grid])
-    reached = F.size(F.filter(levels, lambda t: t <= F.col(score)))
+    reached = F.expr(" + ".join(f"CAST(`{score}` >= {float(t)!r}D AS INT)" for t in grid))
     cells = df.withColumn("_cell", reached).groupBy(*keys, "_cell").agg(
         F.count_if(F.col(true) == 1).alias("_p"), F.count_if(F.col(true) == 0).alias("_n")
     )

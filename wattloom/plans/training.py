@@ -196,7 +196,7 @@ def score_base(df: DataFrame, model: TwoStageModel, series: Series, settings: Se
     """Classifier, experts and short-run filters: state_pred, p_on, y_raw and its band."""
     first = stage_one(df, model)
     powered = route(first, model.experts, model.fallback).withColumn("_p50", F.greatest("_power", F.lit(0.0))).drop("_power")
-    banded = powered.join(F.broadcast(model.bands.limit(len(SEASONS))), "season", "left")
+    banded = powered.join(F.broadcast(model.bands.where(F.col("season").isin(*SEASONS))), "season", "left")
     states = banded.withColumn("_state", (F.col("p_on") >= model.threshold).cast("int")).drop("_raw", "features")
     filtered = filter_short_runs(states, series, "_state", "state_pred", settings.min_on, settings.fill)
     return filtered.withColumns(
@@ -264,7 +264,7 @@ def season_lines(df: DataFrame, season: str, x: str, y: str) -> DataFrame:
 
 def linear_calibration(df: DataFrame, lines: DataFrame, season: str, value: str, on: Column, out: str) -> DataFrame:
     """Straight-line correction of ON rows, floor 0; seasons with under 30 rows keep their value."""
-    joined = df.join(F.broadcast(lines.limit(len(SEASONS))), season, "left")
+    joined = df.join(F.broadcast(lines.where(F.col(season).isin(*SEASONS))), season, "left")
     line = F.greatest(F.col("intercept") + F.col("slope") * F.col(value), F.lit(0.0))
     return joined.withColumn(out, F.when(on & (F.col("n") >= MIN_CALIBRATION_ROWS), line).otherwise(F.col(value))).drop("n", "slope", "intercept")
 
