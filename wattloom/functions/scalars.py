@@ -22,6 +22,17 @@ TRUE_WORDS = ("true", "1", "yes", "y", "on")
 FALSE_WORDS = ("false", "0", "no", "n", "off")
 
 
+def over(a: Column, b: Column) -> Column:
+    """a / b, NULL where b is 0 (plain division by zero fails a job in ANSI mode)."""
+    return a / F.when(b != 0, b)
+
+
+def pearson(a: Column, b: Column) -> Column:
+    """Correlation of the rows that have both values; NULL when one side is constant."""
+    both_a, both_b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return over(F.covar_pop(a, b), F.stddev_pop(both_a) * F.stddev_pop(both_b))
+
+
 def clip(x: Column, low: float, high: float) -> Column:
     return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(float(low))), F.lit(float(high))))
 

@@ -177,7 +177,7 @@ def running_stats(df: DataFrame, keys: Sequence[str], batch: str, column: str, a
 
     Windows run over batches of a key, a series bounded by the calendar.
     """
-    per_batch = df.groupBy(*keys, batch).agg(
+    per_batch = df.where(F.col(column).isNotNull()).groupBy(*keys, batch).agg(
         F.count(column).alias("n"), F.avg(column).alias("_m"), F.var_pop(column).alias("_v")
     )
     w = Window.partitionBy(*keys).orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattloom.functions.scalars import over, pearson
 from wattloom.operators.quantiles import auc
 
 CLASSIFICATION = ("Accuracy", "Precision", "Recall", "F1", "AUC", "TN", "FP", "FN", "TP")
@@ -14,7 +15,7 @@ REGRESSION = ("MAE_W", "RMSE_W", "SAE", "NDE", "kWh_true", "kWh_pred", "kWh_err"
 
 
 def ratio(a: Column, b: Column) -> Column:
-    return F.coalesce(a / F.when(b != 0, b), F.lit(0.0))
+    return F.coalesce(over(a, b), F.lit(0.0))
 
 
 def confusion(true: Column, pred: Column) -> dict[str, Column]:
@@ -28,7 +29,7 @@ def confusion(true: Column, pred: Column) -> dict[str, Column]:
 
 def from_confusion(tn: Column, fp: Column, fn: Column, tp: Column) -> dict[str, Column]:
     return {
-        "Accuracy": (tp + tn) / (tn + fp + fn + tp),
+        "Accuracy": over(tp + tn, tn + fp + fn + tp),
         "Precision": ratio(tp, tp + fp),
         "Recall": ratio(tp, tp + fn),
         "F1": ratio(2.0 * tp, 2 * tp + fp + fn),
@@ -166,7 +167,7 @@ def model_consistency(df: DataFrame, keys: Sequence[str], main: str, baseline: s
     agree = ((F.col(main) >= on_w) == (F.col(baseline) >= on_w)).cast("double")
     return df.groupBy(*keys).agg(
         F.avg(F.abs(F.col(main) - F.col(baseline))).alias("MAE_vs_main_W"),
-        F.when(F.stddev_pop(baseline) > 0, F.corr(main, baseline)).alias("Pearson_vs_main"),
+        pearson(F.col(main), F.col(baseline)).alias("Pearson_vs_main"),
         F.avg(agree).alias("state_agree_rate"),
         F.count(F.lit(1)).alias("n_samples"),
     )

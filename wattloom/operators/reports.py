@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.functions.scalars import SEASONS, season_by_month
+from wattloom.functions.scalars import SEASONS, over, pearson, season_by_month
 from wattloom.operators.quantiles import percentiles
 from wattloom.operators.series import Series, attach, row_gaps, seconds_between
 
@@ -39,7 +39,7 @@ def column_profile(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
 
 def label_correlation(df: DataFrame, columns: Sequence[str], label: str, keys: Sequence[str] = ()) -> DataFrame:
     """|Pearson| of every column with the label, in one pass over the table."""
-    wide = df.groupBy(*keys).agg(*[F.abs(F.corr(F.col(c), F.col(label))).alias(c) for c in columns])
+    wide = df.groupBy(*keys).agg(*[F.abs(pearson(F.col(c).cast("double"), F.col(label).cast("double"))).alias(c) for c in columns])
     return wide.unpivot(list(keys), list(columns), "column", "abs_corr").where("abs_corr IS NOT NULL AND NOT isnan(abs_corr)")
 
 
@@ -55,7 +55,7 @@ def label_distribution(df: DataFrame, keys: Sequence[str], label: str, ts: str)
         F.count(F.lit(1)).alias("n_rows"),
         F.min(ts).alias("first_ts"),
         F.max(ts).alias("last_ts"),
-        (F.count_if(F.col(label) == 0) / F.count(label)).alias("zero_share"),
+        over(F.count_if(F.col(label) == 0), F.count(label)).alias("zero_share"),
         F.avg(F.when(positive, F.col(label))).alias("mean_positive"),
         F.max(label).alias("peak"),
     )
@@ -180,7 +180,7 @@ def missed_on(df: DataFrame, keys: Sequence[str], y_true: str, s_true: str, s_pr
         F.max(F.when(miss, F.col(y_true))).alias("fn_max_w"),
         F.min(F.when(miss, F.col(y_true))).alias("fn_min_w"),
         (lost * step_h / 1000).alias("lost_kwh"),
-        (lost / F.sum(F.when(on, F.col(y_true)))).alias("lost_share"),
+        over(lost, F.sum(F.when(on, F.col(y_true)))).alias("lost_share"),
     )
     middle = percentiles(df.where(miss), keys, y_true, {"fn_median_w": 0.5}).drop("n")
     return stats.join(middle, list(keys), "left") if keys else stats.withColumn("fn_median_w", middle.scalar())
@@ -191,7 +191,7 @@ def power_profile(df: DataFrame, keys: Sequence[str], power: str, on_w: float =
     stats = on.groupBy(*keys).agg(
         F.avg(power).alias("mean_w"), F.stddev_pop(power).alias("std_w"), F.min(power).alias("min_w"), F.max(power).alias("max_w")
     )
-    shares = df.groupBy(*keys).agg((F.count_if(F.col(power) >= on_w) / F.count(power)).alias("on_share"))
+    shares = df.groupBy(*keys).agg(over(F.count_if(F.col(power) >= on_w), F.count(power)).alias("on_share"))
     points = percentiles(on, keys, power, PROFILE_POINTS).withColumnRenamed("n", "n_on")
     return stats.join(points, list(keys)).join(shares, list(keys))
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattloom.functions.scalars import over
 from wattloom.functions.timeparse import floor_to
 from wattloom.operators.quantiles import percentiles
 from wattloom.operators.series import Series, attach, over_rows, row_gaps, seconds_between
@@ -130,7 +131,7 @@ def sampling_profile(df: DataFrame, series: Series, default_s: float = 900.0) ->
     steps = percentiles(gaps, series.key, "dt_s", {"_median": 0.5}).drop("n")
     step = F.when(F.col("_median") > 0, F.col("_median")).otherwise(F.lit(default_s))
     joined = attach(gaps, steps, series.key).withColumn("step_s", step)
-    cv = F.stddev_pop("dt_s") / F.avg("dt_s")
+    cv = over(F.stddev_pop("dt_s"), F.avg("dt_s"))
     return joined.groupBy(*series.key).agg(
         F.count(F.lit(1)).alias("n_steps"),
         F.first("step_s").alias("step_s"),

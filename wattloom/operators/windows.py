@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from wattloom.functions.scalars import over
 from wattloom.operators.series import Series, over_rows, with_position
 
 DAY_ROWS = 96
@@ -251,7 +252,7 @@ def ema_family(df: DataFrame, series: Series, columns: Sequence[str], numbered:
     """Fast (2 rows) and slow (24 rows) means and their ratio."""
     wanted = {f"{c}_ema_{h}": (c, float(h)) for c in columns for h in (2, 24)}
     out = ema(df, series, wanted, numbered)
-    return out.withColumns({f"{c}_ratio_ema": F.col(f"{c}_ema_2") / (F.col(f"{c}_ema_24") + 1.0) for c in columns})
+    return out.withColumns({f"{c}_ratio_ema": F.coalesce(over(F.col(f"{c}_ema_2"), F.col(f"{c}_ema_24") + 1.0), F.lit(1.0)) for c in columns})
 
 
 def temperature_changes(w: WindowSpec, temp: str = "temp_2m") -> dict[str, Column]:
