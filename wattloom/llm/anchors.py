@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import batch, chunks, partitions, words
-from wattloom.llm.exchange import HASHES, by_shard, pack, pack_sorted, shard_of, unpack, unpack_sorted, window_hashes
+from wattloom.llm.exchange import by_shard, pack, pack_sorted, shard_of, unpack, unpack_sorted, window_hashes, word_hashes
 
 # Every difference modulo 7 is the difference of two members of {0, 1, 3}.
 PERIOD, COVER = 7, (0, 1, 3)
@@ -23,10 +23,9 @@ INDEX = -1
 
 def block_words(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each word, the row it is in, and its position there."""
-    split = [words(t) for t in b.column("text").to_pylist()]
-    counts = np.array([len(s) for s in split], np.int64)
+    hashes, counts = word_hashes(b.column("text"))
     first = np.repeat(np.cumsum(counts) - counts, counts)
-    return HASHES.of([w for s in split for w in s]), np.repeat(np.arange(len(split)), counts), np.arange(int(counts.sum())) - first
+    return hashes, np.repeat(np.arange(len(counts)), counts), np.arange(len(hashes)) - first
 
 
 def asked(block: int, b: pa.RecordBatch, counts: np.ndarray, hashes: np.ndarray, places: np.ndarray, marks: np.ndarray, shards: int):

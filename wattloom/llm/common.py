@@ -77,7 +77,11 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"groups still grow after {most_rounds} rounds")
 
 
-def small(df: DataFrame, row_bytes: int, most: int = 16_000_000) -> DataFrame:
+# A table is only broadcast after its rows have been counted and found to take less than this.
+MOST_BROADCAST = 64_000_000
+
+
+def small(df: DataFrame, row_bytes: int, most: int = MOST_BROADCAST) -> DataFrame:
     """`df`, which must be cheap to count, marked for broadcast if its rows of about `row_bytes` stay below `most` bytes;
     otherwise as it is, and Spark shuffles the join."""
     return F.broadcast(df) if df.count() * row_bytes <= most else df

@@ -9,15 +9,17 @@ and mixes the estimates of all depths with the weights that training gave them.
 from __future__ import annotations
 
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import batch, partitions, remainder, staged
 from wattloom.llm.exchange import by_shard, pack, pack_sorted, unpack, unpack_sorted
+from wattloom.llm.wordcache import as_list, split_words
 
 DEPTH = 7
 TOP = 2  # contexts of TOP bytes and more lie whole in one shard; the nodes above them number 65,280 at most
@@ -28,9 +30,9 @@ GRAMS, NODES, ASKS = 0, 1, 2
 END = b"\n"
 
 
-def byte_stream(split: list[bytes]) -> bytes:
-    """What is scored: lower-case words, one space between them, and an end mark."""
-    return b" ".join(split) + END
+def byte_streams(texts: pa.Array) -> list[bytes]:
+    """What is scored: words with A-Z in lower case, one space between them, and an end mark."""
+    return [b" ".join(w.split()) + END for w in as_list(pc.ascii_lower(texts.fill_null("")))]
 
 
 def grams(streams: list[bytes]) -> np.ndarray:
@@ -219,20 +221,21 @@ def ask(sliced: DataFrame, shards: int) -> DataFrame:
 
     def run(t: pa.Table) -> pa.Table:
         number = t.column("slice")[0].as_py()
-        keys, counts, seen, some = [], [], Counter(), Counter()
+        keys, counts, seen = [], [], {}
         for part in t.to_batches():
             for lo in range(0, part.num_rows, 1000):
                 b = part.slice(lo, 1000)
-                streams = ([], [])
-                for learn, text in zip(b.column("learn").to_pylist(), b.column("text").to_pylist(), strict=True):
-                    split = lower_words(text)
-                    (seen if learn else some).update(split)
-                    streams[bool(learn)].append(byte_stream(split))
-                for learn in (False, True):
-                    if streams[learn]:
-                        got, n = np.unique(grams(streams[learn]), return_counts=True)
+                learn = b.column("learn").to_numpy(zero_copy_only=False).astype(bool)
+                distinct, at, sizes = split_words(b.column("text"), lower=True)
+                trained = np.bincount(at[np.repeat(learn, sizes)], minlength=len(distinct))
+                for w, n in zip(distinct, trained.tolist(), strict=True):
+                    seen[w] = seen.get(w, 0) + n
+                streams = byte_streams(b.column("text"))
+                for own, weight in ((learn, 1), (~learn, 0)):
+                    if own.any():
+                        got, n = np.unique(grams([streams[i] for i in np.flatnonzero(own).tolist()]), return_counts=True)
                         keys.append(got)
-                        counts.append(n if learn else np.zeros(len(got), np.int64))
+                        counts.append(n * weight)
                 if len(keys) > 8:
                     got, n = merge(keys, counts)
                     keys, counts = [got], [n]
@@ -240,13 +243,9 @@ def ask(sliced: DataFrame, shards: int) -> DataFrame:
         where = gram_shard(got, shards)
         order = np.argsort(where, kind="stable")
         got, n, cuts = got[order], n[order], np.searchsorted(where[order], np.arange(shards + 1))
-        for w in some.keys() - seen.keys():
-            seen[w] = 0
-        every = list(seen)
-        home = pd.util.hash_array(np.array([w.decode("latin-1") for w in every], object), categorize=False) % np.uint64(shards) if every else np.zeros(0, np.uint64)
         lists: list[list[bytes]] = [[] for _ in range(shards)]
-        for w, s in zip(every, home.tolist(), strict=True):
-            lists[s].append(w)
+        for w in seen:
+            lists[crc32(w) % shards].append(w)
         rows = []
         for s in range(shards):
             part = slice(cuts[s], cuts[s + 1])
@@ -256,11 +255,6 @@ def ask(sliced: DataFrame, shards: int) -> DataFrame:
     return sliced.groupBy("slice").applyInArrow(run, MODEL_SQL)
 
 
-def lower_words(text: str | None) -> list[bytes]:
-    """Words with A-Z, and nothing else, in lower case."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
-
-
 def answered(model: DataFrame, asks: DataFrame, top: Top, shards: int) -> DataFrame:
     """Per slice and shard: log10 of each requested key's probability and each word's training count."""
 
@@ -328,16 +322,19 @@ def language_scores(docs: DataFrame, modulus: int = 10, held: int = 0, slice_byt
         for whole in left.to_batches():
             for lo in range(0, whole.num_rows, 1000):
                 b = whole.slice(lo, 1000)
-                split = [lower_words(t) for t in b.column("text").to_pylist()]
-                streams = [byte_stream(s) for s in split]
+                streams = byte_streams(b.column("text"))
                 own = logs[np.searchsorted(keys, grams(streams))]
-                first = np.cumsum([0, *map(len, streams)])[:-1]
-                scores = np.add.reduceat(own, first)
-                counts = np.fromiter((c for s in split for c in (*map(seen.__getitem__, s), ends)), np.int64)
-                begin = np.cumsum([0, *[len(s) + 1 for s in split]])
+                sizes = np.fromiter(map(len, streams), np.int64, len(streams))
+                scores = np.add.reduceat(own, np.cumsum(sizes) - sizes)
+                own_words, at, tokens_in = split_words(b.column("text"), lower=True)
+                # The end token follows the words of each text.
+                begin = np.concatenate([[0], np.cumsum(tokens_in + 1)])
+                counts = np.full(begin[-1], ends)
+                inner = np.ones(begin[-1], bool)
+                inner[begin[1:] - 1] = False
+                counts[inner] = np.fromiter(map(seen.__getitem__, own_words), np.int64, len(own_words))[at]
                 base = np.add.reduceat(np.log10(counts + 0.1) - spread, begin[:-1])
                 known = np.add.reduceat((counts > 0).astype(np.int64), begin[:-1])
-                sizes = np.array([len(s) for s in streams])
                 n = np.diff(begin)
                 out.append(batch(SCORES, b.column("doc_id"), b.column("held_out"), n, known, np.full(len(n), tokens), base, scores, sizes, -scores / np.log10(2) / sizes))
         return pa.Table.from_batches(out, SCORES)

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import batch, chunks, components, small, staged
-from wattloom.llm.exchange import HASHES, pack, pack_sorted, unpack, unpack_sorted, window_hashes
-from wattloom.llm.tiling import tokens
+from wattloom.llm.exchange import pack, pack_sorted, unpack, unpack_sorted, window_hashes
+from wattloom.llm.tiling import token_hashes
 
 ROWS, BANDS = 6, 40
 COORDINATES = ROWS * BANDS
@@ -25,12 +25,10 @@ def mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def weighted_shingles(split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, shingle hash, weight) sorted by text and hash: runs of SHINGLE words with their number of
-    occurrences; a shorter text is one shingle, one without words has none."""
-    counts = np.array([len(s) for s in split], np.int64)
-    flat = HASHES.of([w for s in split for w in s])
-    row = np.repeat(np.arange(len(split)), counts)
+def weighted_shingles(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, shingle hash, weight) sorted by text and hash, from the token hashes and the number of tokens of each
+    text: runs of SHINGLE words with their number of occurrences; a shorter text is one shingle, one without words has none."""
+    row = np.repeat(np.arange(len(counts)), counts)
     got = window_hashes(flat, SHINGLE)
     own = row[: len(got)] == row[SHINGLE - 1 :] if len(got) else np.zeros(0, bool)
     keys, rows = got[own], row[: len(got)][own]
@@ -92,18 +90,23 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 SIGNED = pa.schema([("doc_id", pa.int64()), ("content", pa.int64()), ("content2", pa.int64()), ("signature", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
 
+def content_of(hashes: np.ndarray) -> np.ndarray:
+    """128 bits that stand for the tokens of a text."""
+    return np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64)
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """Documents with an id and a word: 128 bits of the normalised words, the signature and its band keys."""
+    """Documents with an id and a token: 128 bits of the tokens, the signature and its band keys."""
 
     def run(batches):
         for b in chunks(batches, 4_000_000):
-            split = [tokens(t) for t in b.column("text").to_pylist()]
-            got = signatures(*weighted_shingles(split), len(split))
+            flat, counts = token_hashes(b.column("text"))
+            got = signatures(*weighted_shingles(flat, counts), len(counts))
             keys = band_keys(got)
             out = []
-            for i, (doc_id, s) in enumerate(zip(b.column("doc_id").to_pylist(), split, strict=True)):
-                if doc_id is not None and s:
-                    digest = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(s)), np.int64)
+            for i, (doc_id, own) in enumerate(zip(b.column("doc_id").to_pylist(), np.split(flat, np.cumsum(counts)[:-1]), strict=True)):
+                if doc_id is not None and len(own):
+                    digest = content_of(own)
                     out.append((doc_id, int(digest[0]), int(digest[1]), got[i].tobytes(), keys[i]))
             if out:
                 yield batch(SIGNED, *zip(*out, strict=True))
@@ -134,13 +137,13 @@ def verified(pairs: DataFrame, docs: DataFrame, one: DataFrame, similarity: floa
 
     def emit(batches):
         for b in chunks(batches, 4_000_000):
-            split = [tokens(t) for t in b.column("text").to_pylist()]
-            rows, keys, weights = weighted_shingles(split)
-            cuts = np.searchsorted(rows, np.arange(len(split) + 1))
-            for i, (doc_id, s) in enumerate(zip(b.column("doc_id").to_pylist(), split, strict=True)):
+            flat, counts = token_hashes(b.column("text"))
+            rows, keys, weights = weighted_shingles(flat, counts)
+            cuts = np.searchsorted(rows, np.arange(len(counts) + 1))
+            for i, (doc_id, own) in enumerate(zip(b.column("doc_id").to_pylist(), np.split(flat, np.cumsum(counts)[:-1]), strict=True)):
                 part = slice(cuts[i], cuts[i + 1])
-                if s:
-                    digest = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(s)), np.int64)
+                if len(own):
+                    digest = content_of(own)
                     yield batch(shingles, [doc_id], [int(digest[0])], [pack_sorted(keys[part])], [pack(weights[part])])
 
     read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(asked, "doc_id", "left_semi")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 
-MOST_HASHES = 2_000_000
+from wattloom.llm.wordcache import split_words
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -35,22 +37,14 @@ def unpack_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(unpack(raw).astype(np.uint64), dtype=np.uint64)
 
 
-class WordHashes:
-    """64-bit hashes of words, kept per word; beyond MOST_HASHES words the cache starts anew."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def of(self, every: list[bytes]) -> np.ndarray:
-        new = set(every) - self.known.keys()
-        if len(self.known) + len(new) > MOST_HASHES:
-            self.known = {}
-            new = set(every)
-        self.known.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-        return np.fromiter(map(self.known.__getitem__, every), np.uint64, len(every))
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-HASHES = WordHashes()
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of the texts in order, and the number of words of each text."""
+    distinct, at, counts = split_words(texts)
+    return hashes_of(distinct)[at], counts
 
 
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:

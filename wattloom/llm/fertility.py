@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import batch, chunks, staged
-from wattloom.llm.wordcache import WordCache
+from wattloom.llm.wordcache import WordCache, split_words
 
 # First code points of script ranges and the script of each range.
 RANGES = [
@@ -84,9 +84,10 @@ def text_measures(docs: DataFrame, vocabulary: str) -> DataFrame:
         cache = piece_ids(vocabulary)
         for b in chunks(batches, 4_000_000):
             texts = [t or "" for t in b.column("text").to_pylist()]
-            split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-            at, ids, starts = cache.encode([w for s in split for w in s])
-            cuts = np.cumsum([0, *map(len, split)]).tolist()
+            distinct, at, counts = split_words(b.column("text"))
+            at = cache.numbers(distinct, at)
+            ids, starts = cache.gathered(at)
+            cuts = np.cumsum([0, *counts]).tolist()
             out = []
             for doc_id, text, a, z in zip(b.column("doc_id").to_pylist(), texts, cuts[:-1], cuts[1:], strict=True):
                 lines = [x for x in text.split("\n") if x.strip(SPACES)]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import batch, chunks, partitions, staged
-from wattloom.llm.wordcache import WordCache, lowered
+from wattloom.llm.wordcache import WordCache, split_words
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 class WordIds(WordCache):
@@ -26,6 +26,19 @@ class WordIds(WordCache):
         self.tokenizer.encode_special_tokens = True
         self.ends = np.array([t.endswith("</w>") for t, _ in sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])])
 
+    def learn(self, new: list[bytes]) -> None:
+        """A word that ends with one comma or full stop after letters has the ids of the rest, then that of the mark."""
+        marked = {w for w in new if w[-1] in b",." and w[:-1].decode("utf-8", "replace").isalpha()}
+        rest = [w for w in new if w not in marked]
+        stems = set(rest)
+        super().learn(rest + [w for w in {*(w[:-1] for w in marked), *(w[-1:] for w in marked)} if w not in self.index and w not in stems])
+        if marked:
+            order = list(marked)
+            stem = np.fromiter((self.index[w[:-1]] for w in order), np.int64, len(order))
+            mark = np.fromiter((self.index[w[-1:]] for w in order), np.int64, len(order))
+            ids, ends = self.gathered(np.stack([stem, mark], 1).ravel())
+            self._keep(order, ids, self.count[stem] + self.count[mark])
+
     def ids_of(self, new: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         texts = [w.decode("utf-8", "replace") for w in new]
         plain = [i for i, t in enumerate(texts) if t.isalpha()]
@@ -67,9 +80,9 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int =
         encoder = word_ids(vocabulary)
         for b in chunks(batches, 4_000_000):
             out = []
-            texts = [lowered(t) for t in b.column("text").to_pylist()]
-            _, ids_all, ends = encoder.encode([w for t in texts for w in t])
-            cuts = ends[np.cumsum([0, *map(len, texts)])].tolist()
+            distinct, at, counts = split_words(b.column("text"), lower=True, spare_marks=True)
+            ids_all, ends = encoder.gathered(encoder.numbers(distinct, at))
+            cuts = ends[np.concatenate([[0], np.cumsum(counts)])].tolist()
             for doc_id, a, z in zip(b.column("doc_id").to_pylist(), cuts[:-1], cuts[1:], strict=True):
                 ids = np.append(ids_all[a:z], end_id).astype("<u4")
                 for i, at in enumerate(range(0, len(ids), capacity)):

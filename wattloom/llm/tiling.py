@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import batch, chunks
-from wattloom.llm.exchange import HASHES, window_hashes
+from wattloom.llm.exchange import hashes_of, window_hashes
+from wattloom.llm.wordcache import split_words
 
 # ASCII punctuation parts words as white space does.
 _PARTS = bytes(32 if chr(i) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else i for i in range(128)) + bytes(range(128, 256))
@@ -18,8 +19,21 @@ VERDICT = pa.schema([("n_items", pa.int64()), ("item_id", pa.int64()), ("coverag
 VERDICT_SQL = "n_items:bigint,item_id:bigint,coverage:double,items:array<bigint>,contaminated:boolean"
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8", "surrogatepass").translate(_PARTS).split() if text else []
+def tokens_of(word: bytes) -> list[bytes]:
+    return word.decode("utf-8", "replace").lower().encode().translate(_PARTS).split()
+
+
+def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each token of the texts in order, and the number of tokens of each text. Tokens are
+    lower-case, parted by white space and ASCII punctuation; each distinct word is taken apart once."""
+    distinct, at, counts = split_words(texts)
+    parts = [tokens_of(w) for w in distinct]
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    hashes = hashes_of([t for p in parts for t in p])
+    first, own = np.cumsum(sizes) - sizes, sizes[at]
+    ends = np.concatenate([[0], np.cumsum(own)])
+    got = hashes[np.repeat(first[at] - ends[:-1], own) + np.arange(ends[-1])]
+    return got, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
 
 
 def diagonals(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -65,7 +79,7 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], least: int):
         self.least = least
-        got = [(i, HASHES.of(tokens(t))) for i, t in rows]
+        got = [(i, token_hashes(pa.array([t]))[0]) for i, t in rows]
         got = [(i, h) for i, h in got if len(h) >= least]
         self.ids, self.hashes = [i for i, _ in got], [h for _, h in got]
         seeds = [window_hashes(h, least) for h in self.hashes]
@@ -76,13 +90,12 @@ class Items:
         self.bits = np.zeros(1 << 20, bool)
         self.bits[(self.seeds & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
-    def verdicts(self, split: list[list[bytes]], threshold: float):
+    def verdicts(self, texts: pa.Array, threshold: float):
         """(items that share a seed, best item, its coverage, items at or over the threshold) for each text."""
-        counts = np.array([len(s) for s in split], np.int64)
+        hashes, counts = token_hashes(texts)
         first = np.cumsum(counts) - counts
-        hashes = HASHES.of([w for s in split for w in s])
         got = window_hashes(hashes, self.least)
-        row = np.repeat(np.arange(len(split)), counts)
+        row = np.repeat(np.arange(len(counts)), counts)
         n = len(got)
         hit = np.flatnonzero(self.bits[(got & np.uint64((1 << 20) - 1)).astype(np.int64)] & (row[:n] == row[self.least - 1 :])) if n else np.zeros(0, np.int64)
         low, high = np.searchsorted(self.seeds, got[hit], "left"), np.searchsorted(self.seeds, got[hit], "right")
@@ -90,7 +103,7 @@ class Items:
         for r, a, b in zip(row[hit].tolist(), low.tolist(), high.tolist(), strict=True):
             if b > a:
                 pairs.setdefault(r, set()).update(self.owner[a:b].tolist())
-        for r in range(len(split)):
+        for r in range(len(counts)):
             doc = hashes[first[r] : first[r] + counts[r]]
             covered = sorted((-sum(t[0] for t in tiles(self.hashes[k], doc, self.least)) / len(self.hashes[k]), self.ids[k]) for k in pairs.get(r, ()))
             yield (len(covered), covered[0][1] if covered else None, -covered[0][0] if covered else 0.0, sorted(i for c, i in covered if -c >= threshold))
@@ -127,7 +140,7 @@ def judged(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: flo
     def run(batches):
         own = Items(known.value, least)
         for b in chunks(batches, 4_000_000):
-            got = list(own.verdicts([tokens(t) for t in b.column("text").to_pylist()], threshold))
+            got = list(own.verdicts(b.column("text"), threshold))
             parts = batch(VERDICT, *zip(*[(*v, bool(v[3])) for v in got], strict=True))
             struct = pa.StructArray.from_arrays(parts.columns, fields=list(VERDICT))
             yield pa.RecordBatch.from_arrays([*b.columns, struct], names=[*b.schema.names, "_tiling"])
@@ -141,8 +154,9 @@ def _joined(docs: DataFrame, items: DataFrame, least: int, threshold: float) ->
 
     def emit(batches):
         for b in batches:
-            for key, text in zip(b.column("key").to_pylist(), b.column("text").to_pylist(), strict=True):
-                got = np.unique(window_hashes(HASHES.of(tokens(text)), least)).view(np.int64)
+            hashes, counts = token_hashes(b.column("text"))
+            for key, own in zip(b.column("key").to_pylist(), np.split(hashes, np.cumsum(counts)[:-1]), strict=True):
+                got = np.unique(window_hashes(own, least)).view(np.int64)
                 if len(got):
                     yield batch(seeds, got, np.full(len(got), key))
 
@@ -160,8 +174,8 @@ def _joined(docs: DataFrame, items: DataFrame, least: int, threshold: float) ->
         for b in batches:
             share = []
             for text, item in zip(b.column("text").to_pylist(), b.column("item").to_pylist(), strict=True):
-                p = HASHES.of(tokens(item)).copy()
-                share.append(sum(t[0] for t in tiles(p, HASHES.of(tokens(text)), least)) / len(p))
+                p = token_hashes(pa.array([item]))[0]
+                share.append(sum(t[0] for t in tiles(p, token_hashes(pa.array([text]))[0], least)) / len(p))
             yield batch(covered, b.column("key"), b.column("item_id"), share)
 
     found = both.select("key", "item_id", "text", "item").mapInArrow(cover, "key bigint, item_id bigint, coverage double")
