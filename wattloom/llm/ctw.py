@@ -26,7 +26,8 @@ TOP = 2  # contexts of TOP bytes and more lie whole in one shard; the nodes abov
 HALF = np.log(0.5)
 MODEL = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("slice", pa.int64()), ("keys", pa.binary()), ("values", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
 MODEL_SQL = "shard int, kind int, slice bigint, keys binary, values binary, words binary, counts binary"
-GRAMS, NODES, ASKS = 0, 1, 2
+NODES, ASKS, TEXTS = 0, 1, 2
+MOST_KEYS = 1_000_000
 END = b"\n"
 
 
@@ -83,16 +84,17 @@ class Level:
     """Counts and weights of the nodes of one depth, from distinct (context, byte) keys and their counts."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        """The keys rise, so the keys of a node follow one another whatever the number of known bits."""
         self.keys, self.node, self.zeros, self.ones, self.first = keys, [], [], [], []
-        symbol, context = keys & np.uint64(255), keys >> np.uint64(8)
+        symbol = keys & np.uint64(255)
         for i in range(8):
-            at = np.uint64(1 << i) | (symbol >> np.uint64(8 - i))
-            ids, first, node = np.unique(context << np.uint64(8) | at, return_index=True, return_inverse=True)
-            bit = (symbol >> np.uint64(7 - i)) & np.uint64(1)
-            total, one = np.bincount(node, counts, len(ids)), np.bincount(node, counts * bit, len(ids))
-            self.node.append(node)
-            self.zeros.append(total - one)
-            self.ones.append(one)
+            # Context and known bits of the byte, as one number.
+            start = np.r_[True, np.diff(keys >> np.uint64(8 - i)) != 0] if len(keys) else np.zeros(0, bool)
+            first, bit = np.flatnonzero(start), ((symbol >> np.uint64(7 - i)) & np.uint64(1)).astype(np.int64)
+            total, one = np.add.reduceat(counts, first), np.add.reduceat(counts * bit, first)
+            self.node.append((np.cumsum(start) - 1).astype(np.int32))
+            self.zeros.append((total - one).astype(np.float64))
+            self.ones.append(one.astype(np.float64))
             self.first.append(first)
         self.kt = [log_kt(a, b) for a, b in zip(self.zeros, self.ones, strict=True)]
 
@@ -120,8 +122,8 @@ def subtree(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, Level]:
         # The farthest context byte stands next to the symbol and goes.
         short = (upper.keys >> np.uint64(16) << np.uint64(8)) | (upper.keys & np.uint64(255))
         own, back = np.unique(short, return_inverse=True)
-        level = Level(own, np.bincount(back, counts, len(own)))
-        counts = np.bincount(back, counts, len(own))
+        counts = np.bincount(back, counts, len(own)).astype(np.int64)
+        level = Level(own, counts)
         levels.append(level)
         maps.append(back)
     levels[0].weigh(None)
@@ -173,72 +175,113 @@ class Top:
         return total
 
 
-def learned(asks: DataFrame, shards: int) -> DataFrame:
-    """From the slices' requests: per shard its keys with mixed bit probabilities, its words with counts, and sums for the top."""
-
-    def finish(shard: int, held: list) -> list:
-        keys, counts = merge([unpack_sorted(r[0]) for r in held], [unpack(r[1]) for r in held])
-        seen: Counter = Counter()
-        for r in held:
-            own = dict(zip(r[2].split(), unpack(r[3]).tolist(), strict=True)) if r[2] else {}
-            for w, n in own.items():
-                seen[w] += n
-        seen = {w: n for w, n in seen.items() if n}
-        rows = []
-        if len(keys):
-            mixed, top = subtree(keys, counts)
-            contexts, data = top.keys >> np.uint64(8), []
-            for i in range(8):
-                first = top.first[i]
-                node = (contexts[first] >> np.uint64(8 * (TOP - 1))).astype(np.int64) * 256 + (1 << i) + ((top.keys[first] & np.uint64(255)) >> np.uint64(8 - i)).astype(np.int64)
-                data.append(np.array([node, top.zeros[i], top.ones[i], top.block[i]]))
-            node, zeros, ones, below = np.concatenate(data, 1)
-            ids, back = np.unique(node.astype(np.int64), return_inverse=True)
-            sums = np.array([np.bincount(back, x) for x in (zeros, ones, below)])
-            rows.append((shard, NODES, None, pack(ids), sums.tobytes(), None, None))
-        else:
-            mixed = np.zeros((8, 0))
-        rows.append((shard, GRAMS, None, pack_sorted(keys), mixed.astype(np.float32).tobytes(), b" ".join(seen), pack(np.fromiter(seen.values(), np.int64, len(seen)))))
-        return rows
+def rows_of(b: pa.RecordBatch):
+    return zip(*[b.column(c).to_pylist() for c in MODEL.names], strict=True)
+
+
+def by_group(batches, at: int):
+    """(value, rows) for each run of equal values in column `at`; rows are packed arrays, a shard's or slice's at a time."""
+    value, held = None, []
+    for b in batches:
+        for row in rows_of(b):
+            if held and row[at] != value:
+                yield value, held
+                held = []
+            value = row[at]
+            held.append(row)
+    if held:
+        yield value, held
+
+
+def counted(held: list) -> tuple[np.ndarray, np.ndarray]:
+    return merge([unpack_sorted(r[3]) for r in held], [unpack(r[4]) for r in held])
+
+
+def top_sums(asks: DataFrame, shards: int) -> DataFrame:
+    """What each shard adds to the nodes above depth TOP, and the number of its trained words and their tokens."""
 
     def run(batches):
-        shard, held = None, []
-        for b in batches:
-            for at, *raw in zip(*[b.column(c).to_pylist() for c in ("shard", "keys", "values", "words", "counts")], strict=True):
-                if at != shard and held:
-                    yield batch(MODEL, *zip(*finish(shard, held), strict=True))
-                    held = []
-                shard = at
-                held.append(raw)
-        if held:
-            yield batch(MODEL, *zip(*finish(shard, held), strict=True))
+        for shard, held in by_group(batches, 0):
+            keys, counts = counted(held)
+            seen: Counter = Counter()
+            for r in held:
+                for w, n in zip(r[5].split(), unpack(r[6]).tolist(), strict=True):
+                    seen[w] += n
+            known = [n for n in seen.values() if n]
+            ids, sums = np.zeros(0, np.int64), np.zeros((3, 0))
+            if len(keys):
+                top = subtree(keys, counts)[1]
+                data = []
+                for i in range(8):
+                    at = top.keys[top.first[i]]
+                    node = (at >> np.uint64(8 * TOP)).astype(np.int64) * 256 + (1 << i) + ((at & np.uint64(255)) >> np.uint64(8 - i)).astype(np.int64)
+                    data.append(np.array([node, top.zeros[i], top.ones[i], top.block[i]]))
+                node, *sums = np.concatenate(data, 1)
+                ids, back = np.unique(node.astype(np.int64), return_inverse=True)
+                sums = np.array([np.bincount(back, x) for x in sums])
+            yield batch(MODEL, [shard], [NODES], [None], [pack(ids)], [sums.tobytes()], [None], [pack(np.array([len(known), sum(known)], np.int64))])
 
     return by_shard(asks, shards, "slice").mapInArrow(run, MODEL_SQL)
 
 
-def ask(sliced: DataFrame, shards: int) -> DataFrame:
+def packed(rows: DataFrame) -> DataFrame:
+    """Texts with their flags, those of a batch and slice together as one compressed value."""
+
+    def run(batches):
+        for b in batches:
+            number = b.column("slice").to_numpy(zero_copy_only=False)
+            order = np.argsort(number, kind="stable")
+            some, start = np.unique(number[order], return_index=True)
+            for s, part in zip(some.tolist(), np.split(order, start[1:]), strict=True):
+                sink = pa.BufferOutputStream()
+                own = b.select(["doc_id", "held_out", "learn", "text"]).take(pa.array(part))
+                with pa.ipc.new_stream(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(own)
+                yield batch(MODEL, [-1], [TEXTS], [s], [sink.getvalue().to_pybytes()], [None], [None], [None])
+
+    return rows.mapInArrow(run, MODEL_SQL)
+
+
+def unpacked(raw: bytes, rows: int = 1000):
+    for b in pa.ipc.open_stream(raw):
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
+def by_slice(df: DataFrame, parts: int) -> DataFrame:
+    return df.repartition(parts, "slice").sortWithinPartitions("slice", "kind", "shard")
+
+
+def ask(texts: DataFrame, shards: int) -> DataFrame:
     """Per slice and shard: distinct keys and words with their training counts, which may be 0."""
 
-    def run(t: pa.Table) -> pa.Table:
-        number = t.column("slice")[0].as_py()
-        keys, counts, seen = [], [], {}
-        for part in t.to_batches():
-            for lo in range(0, part.num_rows, 1000):
-                b = part.slice(lo, 1000)
-                learn = b.column("learn").to_numpy(zero_copy_only=False).astype(bool)
-                distinct, at, sizes = split_words(b.column("text"), lower=True)
-                trained = np.bincount(at[np.repeat(learn, sizes)], minlength=len(distinct))
-                for w, n in zip(distinct, trained.tolist(), strict=True):
-                    seen[w] = seen.get(w, 0) + n
-                streams = byte_streams(b.column("text"))
-                for own, weight in ((learn, 1), (~learn, 0)):
-                    if own.any():
-                        got, n = np.unique(grams([streams[i] for i in np.flatnonzero(own).tolist()]), return_counts=True)
-                        keys.append(got)
-                        counts.append(n * weight)
-                if len(keys) > 8:
-                    got, n = merge(keys, counts)
-                    keys, counts = [got], [n]
+    def run(batches):
+        keys, counts, seen, number = [], [], {}, None
+        for b in batches:
+            for row in rows_of(b):
+                if number is not None and row[2] != number:
+                    yield from finish(number, keys, counts, seen)
+                    keys, counts, seen = [], [], {}
+                number = row[2]
+                for part in unpacked(row[3]):
+                    learn = part.column("learn").to_numpy(zero_copy_only=False).astype(bool)
+                    distinct, at, sizes = split_words(part.column("text"), lower=True)
+                    trained = np.bincount(at[np.repeat(learn, sizes)], minlength=len(distinct))
+                    for w, n in zip(distinct, trained.tolist(), strict=True):
+                        seen[w] = seen.get(w, 0) + n
+                    streams = byte_streams(part.column("text"))
+                    for own, weight in ((learn, 1), (~learn, 0)):
+                        if own.any():
+                            got, n = np.unique(grams([streams[i] for i in np.flatnonzero(own).tolist()]), return_counts=True)
+                            keys.append(got)
+                            counts.append(n * weight)
+                    if sum(map(len, keys[1:])) > 2 * MOST_KEYS:
+                        got, n = merge(keys, counts)
+                        keys, counts = [got], [n]
+        if number is not None:
+            yield from finish(number, keys, counts, seen)
+
+    def finish(number, keys, counts, seen):
         got, n = merge(keys, counts)
         where = gram_shard(got, shards)
         order = np.argsort(where, kind="stable")
@@ -246,41 +289,37 @@ def ask(sliced: DataFrame, shards: int) -> DataFrame:
         lists: list[list[bytes]] = [[] for _ in range(shards)]
         for w in seen:
             lists[crc32(w) % shards].append(w)
-        rows = []
         for s in range(shards):
             part = slice(cuts[s], cuts[s + 1])
-            rows.append((s, ASKS, number, pack_sorted(got[part]), pack(n[part]), b" ".join(lists[s]), pack(np.array([seen[w] for w in lists[s]], np.int64))))
-        return pa.Table.from_batches([batch(MODEL, *zip(*rows, strict=True))], MODEL)
+            yield batch(MODEL, [s], [ASKS], [number], [pack_sorted(got[part])], [pack(n[part])], [b" ".join(lists[s])], [pack(np.array([seen[w] for w in lists[s]], np.int64))])
 
-    return sliced.groupBy("slice").applyInArrow(run, MODEL_SQL)
+    return by_slice(texts, partitions(texts.sparkSession)).mapInArrow(run, MODEL_SQL)
 
 
-def answered(model: DataFrame, asks: DataFrame, top: Top, shards: int) -> DataFrame:
+def answered(asks: DataFrame, top: Top, shards: int) -> DataFrame:
     """Per slice and shard: log10 of each requested key's probability and each word's training count."""
 
     def run(batches):
-        keys = logs = seen = None
-        for b in batches:
-            for shard, kind, number, *raw in zip(*[b.column(c).to_pylist() for c in MODEL.names], strict=True):
-                if kind == GRAMS:
-                    keys = unpack_sorted(raw[0])
-                    logs = top.log10(keys, np.frombuffer(raw[1], np.float32).reshape(8, -1).astype(np.float64))
-                    seen = dict(zip(raw[2].split(), unpack(raw[3]).tolist(), strict=True))
-                    continue
-                asked = unpack_sorted(raw[0])
-                wanted = raw[2].split()
-                got = logs[np.searchsorted(keys, asked)].astype(np.float32)
-                yield batch(MODEL, [shard], [ASKS], [number], [raw[0]], [pack(got)], [raw[2]], [pack(np.array([seen.get(w, 0) for w in wanted], np.int64))])
+        for shard, held in by_group(batches, 0):
+            keys, counts = counted(held)
+            logs = top.log10(keys, subtree(keys, counts)[0]).astype(np.float32) if len(keys) else np.zeros(0, np.float32)
+            seen: Counter = Counter()
+            for r in held:
+                for w, n in zip(r[5].split(), unpack(r[6]).tolist(), strict=True):
+                    seen[w] += n
+            for r in held:
+                asked = unpack_sorted(r[3])
+                known = np.array([seen[w] for w in r[5].split()], np.int64)
+                yield batch(MODEL, [shard], [ASKS], [r[2]], [r[3]], [pack(logs[np.searchsorted(keys, asked)])], [r[5]], [pack(known)])
 
-    both = model.where(F.col("kind") == GRAMS).unionByName(asks)
-    return by_shard(both, shards, "kind", "slice").mapInArrow(run, MODEL_SQL)
+    return by_shard(asks, shards, "slice").mapInArrow(run, MODEL_SQL)
 
 
 SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()), ("bits_per_byte", pa.float64())])
 SCORES_SQL = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint, bits_per_byte double"
 
 
-def language_scores(docs: DataFrame, modulus: int = 10, held: int = 0, slice_bytes: int = 16_000_000) -> DataFrame:
+def language_scores(docs: DataFrame, modulus: int = 10, held: int = 0, slice_bytes: int = 64_000_000) -> DataFrame:
     """Scores of every text under a byte model learned from the rows that are not held out.
 
     Texts are normalised to lower-case words with one space between them and an end mark. Slices of about
@@ -297,65 +336,68 @@ def language_scores(docs: DataFrame, modulus: int = 10, held: int = 0, slice_byt
     if not size[2]:
         return docs.sparkSession.createDataFrame([], SCORES_SQL)
     slices = -(-(size[0] or 1) // slice_bytes)
-    sliced = rows.withColumn("slice", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(slices)))
-    asks = staged(ask(sliced, shards))
-    model = staged(learned(asks, shards))
-    # At most 65,280 nodes: every (last byte, bits known).
-    nodes = merged_nodes(model)
+    texts = packed(rows.withColumn("slice", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(slices))))
+    asks = staged(ask(texts, shards))
+    # At most 65,280 nodes above depth TOP: every last byte with the bits known.
+    sums = staged(top_sums(asks, shards))
+    top = merged_nodes(sums)
     ends = int(size[1] or 0)
-    sums = model.where(F.col("kind") == GRAMS).select("words", "counts").mapInArrow(word_sums, "words bigint, tokens bigint").agg(F.sum("words"), F.sum("tokens")).first()
-    distinct, tokens = (sums[0] or 0) + (ends > 0), (sums[1] or 0) + ends
-    replies = answered(model, asks, nodes, shards)
-
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return pa.Table.from_batches([], SCORES)
-        parts = [(unpack_sorted(k), unpack(v)) for k, v in zip(right.column("keys").to_pylist(), right.column("values").to_pylist(), strict=True)]
-        keys, logs = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        order = np.argsort(keys)
-        keys, logs = keys[order], logs[order].astype(np.float64)
-        seen: dict[bytes, int] = {}
-        for w, c in zip(right.column("words").to_pylist(), right.column("counts").to_pylist(), strict=True):
-            seen.update(zip(w.split(), unpack(c).tolist(), strict=True))
-        spread = np.log10(tokens + 0.1 * (distinct + 1))
-        out = []
-        for whole in left.to_batches():
-            for lo in range(0, whole.num_rows, 1000):
-                b = whole.slice(lo, 1000)
-                streams = byte_streams(b.column("text"))
-                own = logs[np.searchsorted(keys, grams(streams))]
-                sizes = np.fromiter(map(len, streams), np.int64, len(streams))
-                scores = np.add.reduceat(own, np.cumsum(sizes) - sizes)
-                own_words, at, tokens_in = split_words(b.column("text"), lower=True)
-                # The end token follows the words of each text.
-                begin = np.concatenate([[0], np.cumsum(tokens_in + 1)])
-                counts = np.full(begin[-1], ends)
-                inner = np.ones(begin[-1], bool)
-                inner[begin[1:] - 1] = False
-                counts[inner] = np.fromiter(map(seen.__getitem__, own_words), np.int64, len(own_words))[at]
-                base = np.add.reduceat(np.log10(counts + 0.1) - spread, begin[:-1])
-                known = np.add.reduceat((counts > 0).astype(np.int64), begin[:-1])
-                n = np.diff(begin)
-                out.append(batch(SCORES, b.column("doc_id"), b.column("held_out"), n, known, np.full(len(n), tokens), base, scores, sizes, -scores / np.log10(2) / sizes))
-        return pa.Table.from_batches(out, SCORES)
-
-    return sliced.groupBy("slice").cogroup(replies.groupBy("slice")).applyInArrow(score, SCORES_SQL)
+    words = sums.select("counts").mapInArrow(word_sums, "words bigint, tokens bigint").agg(F.sum("words"), F.sum("tokens")).first()
+    distinct, tokens = (words[0] or 0) + (ends > 0), (words[1] or 0) + ends
+    spread = np.log10(tokens + 0.1 * (distinct + 1))
+
+    def run(batches):
+        number, held, keys, logs, seen = None, [], None, None, {}
+        for b in batches:
+            for row in rows_of(b):
+                if row[2] != number:
+                    number, held, keys = row[2], [], None
+                if row[1] == ASKS:
+                    held.append(row)
+                    continue
+                if keys is None:
+                    keys, logs = np.concatenate([unpack_sorted(r[3]) for r in held]), np.concatenate([unpack(r[4]) for r in held])
+                    order = np.argsort(keys)
+                    keys, logs = keys[order], logs[order].astype(np.float64)
+                    seen = {w: n for r in held for w, n in zip(r[5].split(), unpack(r[6]).tolist(), strict=True)}
+                    held = []
+                for part in unpacked(row[3]):
+                    yield scored(part, keys, logs, seen)
+
+    def scored(b: pa.RecordBatch, keys: np.ndarray, logs: np.ndarray, seen: dict) -> pa.RecordBatch:
+        streams = byte_streams(b.column("text"))
+        own = logs[np.searchsorted(keys, grams(streams))]
+        sizes = np.fromiter(map(len, streams), np.int64, len(streams))
+        scores = np.add.reduceat(own, np.cumsum(sizes) - sizes)
+        own_words, at, tokens_in = split_words(b.column("text"), lower=True)
+        # The end token follows the words of each text.
+        begin = np.concatenate([[0], np.cumsum(tokens_in + 1)])
+        counts = np.full(begin[-1], ends)
+        inner = np.ones(begin[-1], bool)
+        inner[begin[1:] - 1] = False
+        counts[inner] = np.fromiter(map(seen.__getitem__, own_words), np.int64, len(own_words))[at]
+        base = np.add.reduceat(np.log10(counts + 0.1) - spread, begin[:-1])
+        known = np.add.reduceat((counts > 0).astype(np.int64), begin[:-1])
+        n = np.diff(begin)
+        return batch(SCORES, b.column("doc_id"), b.column("held_out"), n, known, np.full(len(n), tokens), base, scores, sizes, -scores / np.log10(2) / sizes)
+
+    return by_slice(answered(asks, top, shards).unionByName(texts), shards).mapInArrow(run, SCORES_SQL)
 
 
 def word_sums(batches):
     schema = pa.schema([("words", pa.int64()), ("tokens", pa.int64())])
     for b in batches:
-        counts = [unpack(c) for c in b.column("counts").to_pylist()]
-        yield batch(schema, [len(c) for c in counts], [int(c.sum()) for c in counts])
+        for c in b.column("counts").to_pylist():
+            yield batch(schema, *[[x] for x in unpack(c).tolist()])
 
 
-def merged_nodes(model: DataFrame) -> Top:
+def merged_nodes(sums: DataFrame) -> Top:
     def spread(batches):
         schema = pa.schema([("node", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("below", pa.float64())])
         for b in batches:
             for k, v in zip(b.column("keys").to_pylist(), b.column("values").to_pylist(), strict=True):
                 yield batch(schema, unpack(k).astype(np.int64), *np.frombuffer(v, np.float64).reshape(3, -1))
 
-    rows = model.where(F.col("kind") == NODES).select("keys", "values").mapInArrow(spread, "node bigint, zeros double, ones double, below double")
+    rows = sums.select("keys", "values").mapInArrow(spread, "node bigint, zeros double, ones double, below double")
     got = rows.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]).toPandas()
     return Top(got["node"].to_numpy(np.int64), *[got[c].to_numpy(np.float64) for c in ("zeros", "ones", "below")])
