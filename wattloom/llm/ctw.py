@@ -21,7 +21,7 @@ from wattloom.llm.common import batch, partitions, remainder, staged
 from wattloom.llm.exchange import by_shard, pack, pack_sorted, unpack, unpack_sorted
 from wattloom.llm.wordcache import as_list, split_words
 
-DEPTH = 7
+DEPTH = 7  # with the byte itself a context fills 64 bits
 TOP = 2  # contexts of TOP bytes and more lie whole in one shard; the nodes above them number 65,280 at most
 HALF = np.log(0.5)
 MODEL = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("slice", pa.int64()), ("keys", pa.binary()), ("values", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
@@ -38,10 +38,10 @@ def byte_streams(texts: pa.Array) -> list[bytes]:
 
 def grams(streams: list[bytes]) -> np.ndarray:
     """For each byte of each stream the key (last byte, the one before, ..., the byte itself); zeros stand before a stream."""
-    raw = np.frombuffer(bytes(DEPTH) + bytes(DEPTH).join(streams), np.uint8)
-    keys = raw[DEPTH:].astype(np.uint64)
-    for back in range(1, DEPTH + 1):
-        keys |= raw[DEPTH - back : len(raw) - back].astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - back))
+    raw = bytes(DEPTH) + bytes(DEPTH).join(streams)
+    # Eight bytes from each place on, the byte itself highest; turned by a byte it is lowest and the last byte highest.
+    keys = np.ndarray((len(raw) - DEPTH,), "<u8", raw, strides=(1,)).copy()
+    keys = (keys << np.uint64(8)) | (keys >> np.uint64(56))
     sizes = np.array([len(s) for s in streams], np.int64)
     starts = np.cumsum(sizes + DEPTH) - sizes - DEPTH
     own = np.ones(len(keys), bool)
@@ -366,7 +366,13 @@ def language_scores(docs: DataFrame, modulus: int = 10, held: int = 0, slice_byt
 
     def scored(b: pa.RecordBatch, keys: np.ndarray, logs: np.ndarray, seen: dict) -> pa.RecordBatch:
         streams = byte_streams(b.column("text"))
-        own = logs[np.searchsorted(keys, grams(streams))]
+        # Looked up in rising order: the places then lie next to each other in memory.
+        wanted = grams(streams)
+        order = np.argsort(wanted)
+        own = np.empty(len(wanted))
+        wanted = wanted[order]
+        start = np.flatnonzero(np.diff(wanted, prepend=~wanted[:1]))
+        own[order] = np.repeat(logs[np.searchsorted(keys, wanted[start])], np.diff(start, append=len(wanted)))
         sizes = np.fromiter(map(len, streams), np.int64, len(streams))
         scores = np.add.reduceat(own, np.cumsum(sizes) - sizes)
         own_words, at, tokens_in = split_words(b.column("text"), lower=True)
