@@ -54,33 +54,19 @@ def test_pins_prefer_train(spark):
     assert {(r["day"], r["split"]) for r in out.where("day IN (10, 11)").select("day", "split").distinct().collect()} == {(10, "train"), (11, "test")}
 
 
-def quota(n, ratios):
-    train = round(n * ratios[0])
-    left = n - train
-    val = round(left * ratios[1] / (ratios[1] + ratios[2]))
-    test = left - val
-    if val < 1:
-        val, train = 1, n - 1 - test
-    if test < 1:
-        if train > 1:
-            test, train = 1, train - 1
-        elif val > 1:
-            test, val = 1, val - 1
-    while val + test >= n:
-        if test > 1:
-            test -= 1
-        elif val > 1:
-            val -= 1
-        else:
-            break
-    return n - val - test, val
-
-
 @pytest.mark.parametrize("ratios", [(0.6, 0.2, 0.2), (0.7, 0.15, 0.15), (0.98, 0.01, 0.01), (0.05, 0.9, 0.05)])
 def test_day_quotas(spark, ratios):
-    df = day_quota(spark.range(3, 40).withColumnRenamed("id", "n"), "n", check_ratios(ratios))
-    for r in df.collect():
-        assert (r._train, r._val) == quota(r.n, ratios), r
+    """Every split has a day from three days on; train is the half-even rounding where no split had to be given one."""
+    for r in day_quota(spark.range(3, 40).withColumnRenamed("id", "n"), "n", check_ratios(ratios)).collect():
+        test = r.n - r._train - r._val
+        assert min(r._train, r._val, test) >= 1, r
+        if min(r._val, test) > 1 and r._train > 1:
+            assert r._train == round(r.n * ratios[0]), r
+
+
+def test_day_quotas_by_hand(spark):
+    got = day_quota(spark.createDataFrame([(3,), (10,), (20,)], "n long"), "n", check_ratios((0.7, 0.15, 0.15)))
+    assert {r.n: (r._train, r._val, r.n - r._train - r._val) for r in got.collect()} == {3: (1, 1, 1), 10: (7, 2, 1), 20: (14, 3, 3)}
 
 
 @pytest.mark.parametrize("strategy", ["stratified_day", "global_stratified", "time", "stratified"])

@@ -134,12 +134,15 @@ def range_specs(spark: SparkSession, sf: str) -> DataFrame:
 
 # File names made from orders: bus and label files of customers in both stage folders.
 SQL_FILES = """SELECT CASE WHEN o_orderkey % 4 < 2 THEN 'trains' ELSE 'infers' END AS stage, o_custkey || '_' || (o_custkey % 100) AS user_id, o_orderkey % 2 AS bus, o_orderkey % 3 + 1 AS ch,
-  o_custkey % 100 AS meter, strftime(o_orderdate, '%y%m%d') AS s, strftime(o_orderdate + INTERVAL 30 DAY, '%y%m%d') AS e, o_orderdate, o_orderkey FROM orders WHERE o_custkey % 9 <> 0 OR o_orderkey % 4 >= 2"""
+  o_custkey % 100 AS meter, strftime(d, '%y%m%d') AS s, strftime(d + 30, '%y%m%d') AS e, d, o_orderkey
+  FROM (SELECT *, CAST(o_orderdate + INTERVAL 10 YEAR AS DATE) AS d FROM orders) WHERE o_custkey % 9 <> 0 OR o_orderkey % 4 >= 2"""
 SQL_NAMED = f"""SELECT *, CASE WHEN bus = 1 THEN 'e241_' || o_orderkey || '_' || meter || '-Ch' || ch || '-' || s || '-' || e || '.csv' ELSE meter || '-' || s || '-' || e || '.csv' END AS file FROM ({SQL_FILES})"""
 
 
 def file_list(spark: SparkSession, sf: str) -> DataFrame:
     key, cust, date = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+    # Two-digit years of names are those of the 2000s, so the orders count as ten years younger.
+    date = date + F.expr("INTERVAL 10 YEARS")
     span = F.concat_ws("-", F.date_format(date, "yyMMdd"), F.date_format(date + F.expr("INTERVAL 30 DAYS"), "yyMMdd"))
     meter = (cust % 100).cast("string")
     bus_name = F.concat(F.lit("e241_"), key.cast("string"), F.lit("_"), meter, F.lit("-Ch"), (key % 3 + 1).cast("string"), F.lit("-"), span, F.lit(".csv"))
@@ -151,12 +154,12 @@ def file_list(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""SELECT 'data/' || stage || '/' || user_id || '/' || file AS path, file, stage, user_id, CASE WHEN bus = 1 THEN 'bus' ELSE 'branch' END AS kind, CASE WHEN bus = 1 THEN CAST(o_orderkey AS VARCHAR) END AS device,
-               CAST(meter AS VARCHAR) AS meter, CASE WHEN bus = 1 THEN CAST(ch AS INT) END AS channel, CAST(o_orderdate AS DATE) AS start, CAST(o_orderdate AS DATE) + 30 AS "end"
-        FROM ({SQL_NAMED}) WHERE o_orderdate >= '2000-01-01'"""
+               CAST(meter AS VARCHAR) AS meter, CASE WHEN bus = 1 THEN CAST(ch AS INT) END AS channel, d AS start, d + 30 AS "end"
+        FROM ({SQL_NAMED})"""
 )
 def parsed_files(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-10: names to stage, user, kind, device, channel and period."""
-    return discovery.parse_files(file_list(spark, sf)).where(F.year("start").between(2000, 2010))
+    return discovery.parse_files(file_list(spark, sf))
 
 
 SQL_USERS = f"""SELECT user_id, MIN(file) FILTER (WHERE stage = 'trains' AND bus = 1) AS train_bus, MIN(file) FILTER (WHERE stage = 'trains' AND bus = 0) AS train_branch,

@@ -63,7 +63,7 @@ def temp_residual(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_ACTUAL = (
     SQL_LUT
-    + """, inf AS (SELECT * FROM t WHERE NOT train AND temp < 20),
+    + """, inf AS (SELECT * FROM t WHERE NOT train),
   a AS (SELECT lut.site_id, lut.bin_id, COUNT(inf.w) AS n, quantile_cont(inf.w, 0.5) AS med_i, AVG(inf.w) AS avg_i, quantile_cont(inf.w, 0.25) AS p25_i, quantile_cont(inf.w, 0.75) AS p75_i
         FROM lut LEFT JOIN inf ON inf.site_id = lut.site_id AND inf.temp BETWEEN temp_lo AND temp_hi GROUP BY 1, 2),
   r AS (SELECT lut.site_id, lut.bin_id, temp_lo, temp_hi, expected_signal, n, med_i, avg_i, p25_i, p75_i, med_i - expected_signal AS res,
@@ -71,8 +71,12 @@ SQL_ACTUAL = (
 )
 
 
+# The view in which the warm bins have no data.
+SQL_COLD = SQL_ACTUAL.replace("WHERE NOT train", "WHERE NOT train AND temp < 20")
+
+
 def _infer(spark: SparkSession, sf: str) -> DataFrame:
-    return temps(spark, sf).where("NOT train AND temp < 20")
+    return temps(spark, sf).where("NOT train")
 
 
 ACTUAL = ["temp_lo", "temp_hi", "expected_signal", "infer_mean_signal", "infer_p25_signal", "infer_median_signal", "infer_p75_signal", "abs_residual", "rel_drift"]
@@ -88,11 +92,26 @@ ACTUAL = ["temp_lo", "temp_hi", "expected_signal", "infer_mean_signal", "infer_p
     + ", CASE WHEN rel IS NULL THEN 'NO_DATA' WHEN ABS(rel) >= 0.3 THEN 'ALERT' WHEN ABS(rel) >= 0.15 THEN 'WARN' ELSE 'OK' END AS drift_flag FROM r"
 )
 def lut_drift(spark: SparkSession, sf: str) -> DataFrame:
-    """AGG-5: scored rows stay below 20 degrees, so the warm bins have no data."""
+    """AGG-5."""
     out = drift.lut_actual_vs_expected(_infer(spark, sf), _lut(spark, sf), ["site_id"], "temp", "w")
     return settled(as_counts(out, "bin_id"), 5, *ACTUAL)
 
 
+@query(
+    SQL_COLD
+    + " SELECT site_id, bin_id, n AS infer_n_samples, "
+    + ", ".join(
+        f"{sql_round(c, 5)} AS {n}"
+        for n, c in zip(ACTUAL, ["temp_lo", "temp_hi", "expected_signal", "avg_i", "p25_i", "med_i", "p75_i", "res", "rel"], strict=True)
+    )
+    + ", CASE WHEN rel IS NULL THEN 'NO_DATA' WHEN ABS(rel) >= 0.3 THEN 'ALERT' WHEN ABS(rel) >= 0.15 THEN 'WARN' ELSE 'OK' END AS drift_flag FROM r"
+)
+def lut_drift_cold(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-5 where scored rows stay below 20 degrees, so the warm bins have no data."""
+    out = drift.lut_actual_vs_expected(_infer(spark, sf).where("temp < 20"), _lut(spark, sf), ["site_id"], "temp", "w")
+    return settled(as_counts(out, "bin_id"), 5, *ACTUAL)
+
+
 SQL_REPORT = (
     SQL_ACTUAL
     + """, cb AS (SELECT site_id, bin_id, n, ROUND(expected_signal, 1) AS train_ref, ROUND(med_i, 1) AS infer_obs, ROUND(ABS(res) / GREATEST(expected_signal, 1e-6), 4) AS dr FROM r WHERE n >= 10),

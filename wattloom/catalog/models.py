@@ -92,13 +92,13 @@ def control_model(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH s AS (SELECT UNNEST(['summer', 'transition', 'winter']) AS season),
-        g AS (SELECT season, COUNT(*) AS n_on, AVG(y_true) AS m, STDDEV_POP(y_true) AS sd, quantile_cont(y_true, 0.5) AS med FROM ({SQL_LONG}) WHERE state_true = 1 AND season <> 'winter' GROUP BY 1)
+        g AS (SELECT season, COUNT(*) AS n_on, AVG(y_true) AS m, STDDEV_POP(y_true) AS sd, quantile_cont(y_true, 0.5) AS med FROM ({SQL_LONG}) WHERE state_true = 1 GROUP BY 1)
         SELECT season, COALESCE(n_on, 0) AS n_on, {sql_round('m', 5)} AS y_mean, {sql_round('sd', 5)} AS y_std, {sql_round('med', 5)} AS y_median, CASE WHEN COALESCE(n_on, 0) >= 50 THEN 'trained' ELSE 'fallback' END AS status
         FROM s LEFT JOIN g USING (season)"""
 )
 def expert_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """ML-7, without winter rows."""
-    rows = long_scores(spark, sf).where("season <> 'winter'")
+    """ML-7."""
+    rows = long_scores(spark, sf)
     return settled(training.expert_summary(rows, "season", "y_true", "state_true"), 5, "y_mean", "y_std", "y_median")
 
 

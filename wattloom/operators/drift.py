@@ -158,10 +158,10 @@ def switch_decision(report: DataFrame, keys: Sequence[str], calibrated: bool = F
 
 
 def blend(df: DataFrame, decisions: DataFrame, keys: Sequence[str], main: str, fallback: str, out: str) -> DataFrame:
-    """w·main + (1−w)·fallback with each key's weight (1 where no decision exists)."""
+    """w·main + (1−w)·fallback with each key's weight (1 where no decision exists); a side without weight may be NULL."""
     joined = attach(df, decisions.select(*keys, F.col("main_weight").alias("_w")), keys)
     w = F.coalesce("_w", F.lit(1.0))
-    return joined.withColumn(out, w * F.col(main) + (1 - w) * F.col(fallback)).drop("_w")
+    return joined.withColumn(out, F.when(w >= 1, F.col(main)).when(w <= 0, F.col(fallback)).otherwise(w * F.col(main) + (1 - w) * F.col(fallback))).drop("_w")
 
 
 def batch_moments(df: DataFrame, keys: Sequence[str], batch: str, columns: Sequence[str]) -> DataFrame:

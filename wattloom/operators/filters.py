@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.functions.timeparse import day_text, parse_timestamp
+from wattloom.functions.timeparse import parse_timestamp
 from wattloom.operators.series import attach
 
 Range = tuple[str, str]
@@ -170,11 +170,3 @@ def leak_labels(df: DataFrame, train_dates: DataFrame, ts: str, keys: Sequence[s
     days = train_dates.select(*keys, F.col("date").alias("_date")).distinct().withColumn("_seen", F.lit(True))
     flagged = df.withColumn("_date", F.to_date(ts)).join(days, [*keys, "_date"], "left")
     return flagged.withColumn("dataset", F.when(F.col("_seen"), "used_leak").otherwise("used_ood")).drop("_date", "_seen")
-
-
-def date_column(df: DataFrame, ts: str, out: str = "date") -> DataFrame:
-    return df.withColumn(out, F.to_date(ts))
-
-
-def day_label_column(df: DataFrame, ts: str, out: str = "date") -> DataFrame:
-    return df.withColumn(out, day_text(F.col(ts)))

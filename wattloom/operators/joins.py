@@ -107,11 +107,6 @@ def event_windows(
     )
 
 
-def with_default(df: DataFrame, lookup: DataFrame, keys: Sequence[str], column: str, default=0) -> DataFrame:
-    """Left lookup, absent keys get the default."""
-    return df.join(lookup, list(keys), "left").withColumn(column, F.coalesce(column, F.lit(default)))
-
-
 def overlay(users: DataFrame, config: DataFrame, fields: Sequence[str], defaults: dict, key: str = "user_id") -> DataFrame:
     """Field by field: the user's own value, else the `_default` row's, else the global default."""
     own = config.where(F.col(key) != "_default").select(key, *fields)
@@ -119,7 +114,3 @@ def overlay(users: DataFrame, config: DataFrame, fields: Sequence[str], defaults
     joined = users.join(own, key, "left")
     values = [F.coalesce(F.col(f), shared.agg(F.max(f)).scalar(), F.lit(defaults.get(f))).alias(f) for f in fields]
     return joined.select(key, *values)
-
-
-def without(users: DataFrame, done: DataFrame, key: str = "user_id") -> DataFrame:
-    return users.join(done.select(key), key, "left_anti")

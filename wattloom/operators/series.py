@@ -107,8 +107,12 @@ def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "l
 
 
 def with_position(df: DataFrame, series: Series, out: str = "pos", total: str | None = None) -> DataFrame:
-    """Zero-based row position inside each series, optionally with the series length."""
+    """Zero-based row position inside each series, optionally with the series length.
+
+    Rows without key or time belong to no series and leave, whole or cut into chunks alike.
+    """
     if series.chunk_s is None:
+        df = series.with_chunk(df).drop("_chunk")
         whole = Window.partitionBy(*series.key)
         df = df.withColumn(out, F.row_number().over(whole.orderBy(*series.order)).cast("long") - 1)
         return df.withColumn(total, F.count(F.lit(1)).over(whole)) if total else df

@@ -107,28 +107,27 @@ def event_memory(w: WindowSpec, flag: str, rows: int = 3) -> dict[str, Column]:
 def prefix_sums(w: WindowSpec, column: str) -> dict[str, Column]:
     """Running sums inside a block, relative to its first value so long frames keep their precision."""
     frame = w.rowsBetween(Window.unboundedPreceding, 0)
-    base = F.first(column).over(frame)
+    base = F.first(column, True).over(frame)
     shifted = F.col(column) - base
     return {"_base": base, "_x": shifted, "_x2": shifted * shifted}
 
 
 def _running(w: WindowSpec) -> dict[str, Column]:
     frame = w.rowsBetween(Window.unboundedPreceding, 0)
-    return {"_cx": F.sum("_x").over(frame), "_cx2": F.sum("_x2").over(frame)}
+    return {"_cn": F.count("_x").over(frame), "_cx": F.coalesce(F.sum("_x").over(frame), F.lit(0.0)), "_cx2": F.coalesce(F.sum("_x2").over(frame), F.lit(0.0))}
 
 
 def _frame(w: WindowSpec, rows: int, ending: int = 0) -> tuple[Column, Column, Column]:
-    """Row count, sum and square sum of the frame of `rows` rows that ends `ending` rows back.
+    """Count of values, sum and square sum of the frame of `rows` rows that ends `ending` rows back.
 
     A difference of two running sums: the cost per row does not depend on the frame length.
     """
-    n = F.least(F.col("pos") + 1 - ending, F.lit(rows))
-
     def part(c: str) -> Column:
         upper = F.col(c) if ending == 0 else F.lag(c, ending).over(w)
         return upper - F.coalesce(F.lag(c, rows + ending).over(w), F.lit(0.0))
 
-    return n, part("_cx"), part("_cx2")
+    n = part("_cn")
+    return F.when(n > 0, n), part("_cx"), part("_cx2")
 
 
 def baseline_deviation(w: WindowSpec, column: str) -> dict[str, Column]:
@@ -191,7 +190,7 @@ def long_families(df: DataFrame, series: Series, column: str, deviations: bool =
     return wide.drop(*HELPERS, "pos", "_len")
 
 
-HELPERS = ("_base", "_x", "_x2", "_cx", "_cx2", "_day_std")
+HELPERS = ("_base", "_x", "_x2", "_cn", "_cx", "_cx2", "_day_std")
 
 
 def decay(halflife: float) -> float:

@@ -40,7 +40,7 @@ class Settings:
     correction_trees: int = 50
     seed: int = 42
     min_on: int = 1
-    fill: int = 1
+    fill: int = 3
     beta: float = 0.5
     ensemble: bool = False
     probability_calibration: str = "none"
@@ -185,7 +185,8 @@ def choose_threshold(val: DataFrame, series: Series, settings: Settings) -> floa
 def route(df: DataFrame, experts: Mapping[str, Transformer], fallback: Transformer) -> DataFrame:
     """Power from the season's expert, from the pooled model where a season has none."""
     known = list(experts)
-    rest = df.where(~F.col("season").isin(known)) if known else df
+    # A row without a season takes the pooled model too.
+    rest = df.where(~F.coalesce(F.col("season").isin(known), F.lit(False))) if known else df
     out = fallback.transform(rest)
     for s, expert in experts.items():
         out = out.unionByName(expert.transform(df.where(F.col("season") == s)))
@@ -271,7 +272,7 @@ def linear_calibration(df: DataFrame, lines: DataFrame, season: str, value: str,
 
 def season_mapped(df: DataFrame, maps: Mapping[str, Transformer | tuple[float, float]], value: str = "y_raw", out: str = "y_season") -> DataFrame:
     known = list(maps)
-    apply = (F.col("state_pred") == 1) & F.col("season").isin(known) if known else F.lit(False)
+    apply = F.coalesce((F.col("state_pred") == 1) & F.col("season").isin(known), F.lit(False)) if known else F.lit(False)
     result = df.where(~apply).withColumn(out, F.col(value))
     for s, m in maps.items():
         mine = df.where((F.col("state_pred") == 1) & (F.col("season") == s))

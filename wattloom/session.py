@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from pathlib import Path
 
@@ -44,9 +45,11 @@ _LOCAL: dict[str, str] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder the cluster names. Only a session on one machine may do without and gets a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL:
             _LOCAL[app] = tempfile.mkdtemp(prefix="wattloom-")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wattloom.functions.scalars import TARGET_PATTERN, normal_target, parse_number, sentinel_to_null
 from wattloom.functions.timeparse import format_short, format_timestamp, parse_timestamp, require_parsed
@@ -207,5 +206,3 @@ def rank_columns(df: DataFrame, keys: Sequence[str], by: str, k: int) -> DataFra
     w = Window.partitionBy(*keys).orderBy(F.desc(by), "column")
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
-
-STRING_LIST = T.ArrayType(T.ArrayType(T.StringType()))
