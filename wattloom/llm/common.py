@@ -30,6 +30,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free(name: str, columns: list[str]) -> str:
+    """A column name that the input does not use."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text; a null id counts as remainder -1, which is neither held out nor learned from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus, F.lit(-1))

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import batch, chunks, remainder, staged
+from wattloom.llm.common import batch, chunks, free, remainder, staged
 
 FEATURES = [
     "log_words", "log_lines", "word_length", "long_words", "short_words", "distinct_words", "top_word", "repeat_neighbours", "dup_lines",
@@ -140,8 +140,8 @@ def classifier(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int =
     return lambda x: net.odds(np.clip((x - mean) / spread, -8, 8))
 
 
-def scored(docs: DataFrame, odds) -> DataFrame:
-    """All columns of `docs` and a last column _score, the probability of label 1."""
+def scored(docs: DataFrame, odds, name: str = "_score") -> DataFrame:
+    """All columns of `docs` and a last column, the probability of label 1."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches):
@@ -149,9 +149,9 @@ def scored(docs: DataFrame, odds) -> DataFrame:
             x = np.array([features(t) for t in b.column("text").to_pylist()], np.float64)
             # Features as the learner saw them, in single precision.
             got = 1 / (1 + np.exp(-np.clip(odds(x.astype(np.float32).astype(np.float64)), -40, 40)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=[*b.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=[*b.schema.names, name])
 
-    return docs.mapInArrow(run, f"{kinds}, _score double")
+    return docs.mapInArrow(run, f"{kinds}, {name} double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2, threshold: float = 0.7, **options) -> DataFrame:
@@ -166,4 +166,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: i
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """The rows, with all their columns, whose score reaches the threshold; a row that scores below it goes."""
-    return scored(docs, classifier(docs, labels, **options)).where(F.col("_score") >= threshold).select(*[f"`{c}`" for c in docs.columns])
+    name = free("_score", docs.columns)
+    return scored(docs, classifier(docs, labels, **options), name).where(F.col(name) >= threshold).select(*[f"`{c}`" for c in docs.columns])

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import batch, chunks
+from wattloom.llm.common import batch, chunks, free
 from wattloom.llm.exchange import hashes_of, window_hashes
 from wattloom.llm.wordcache import split_words
 
@@ -116,11 +116,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows that are not contaminated, with all their columns."""
-    return judged(docs, benchmark, **options).where("NOT _tiling.contaminated").select(*[f"`{c}`" for c in docs.columns])
+    name = free("_tiling", docs.columns)
+    return judged(docs, benchmark, name=name, **options).where(~F.col(f"{name}.contaminated")).select(*[f"`{c}`" for c in docs.columns])
 
 
-def judged(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.6, most_bytes: int = 32_000_000) -> DataFrame:
-    """All columns of `docs` and a struct _tiling: n_items, item_id, coverage, items, contaminated.
+def judged(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.6, most_bytes: int = 32_000_000, name: str = "_tiling") -> DataFrame:
+    """All columns of `docs` and a struct `name`: n_items, item_id, coverage, items, contaminated.
 
     Documents and items meet by a shared run of `least` words (case and punctuation aside). Greedy string
     tiling then covers the item with non-overlapping matches, wherever they stand in the document, so
@@ -133,7 +134,7 @@ def judged(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: flo
     """
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
     if (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > most_bytes:
-        return _joined(docs, items, least, threshold)
+        return _joined(docs, items, least, threshold, name)
     known = docs.sparkSession.sparkContext.broadcast(sorted((r.item_id, r.text) for r in items.collect()))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
@@ -143,12 +144,12 @@ def judged(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: flo
             got = list(own.verdicts(b.column("text"), threshold))
             parts = batch(VERDICT, *zip(*[(*v, bool(v[3])) for v in got], strict=True))
             struct = pa.StructArray.from_arrays(parts.columns, fields=list(VERDICT))
-            yield pa.RecordBatch.from_arrays([*b.columns, struct], names=[*b.schema.names, "_tiling"])
+            yield pa.RecordBatch.from_arrays([*b.columns, struct], names=[*b.schema.names, name])
 
-    return docs.mapInArrow(run, f"{kinds}, _tiling struct<{VERDICT_SQL}>")
+    return docs.mapInArrow(run, f"{kinds}, {name} struct<{VERDICT_SQL}>")
 
 
-def _joined(docs: DataFrame, items: DataFrame, least: int, threshold: float) -> DataFrame:
+def _joined(docs: DataFrame, items: DataFrame, least: int, threshold: float, name: str) -> DataFrame:
     """The same for a benchmark of any size: seeds are joined by a shuffle, then each pair meets once."""
     seeds = pa.schema([("seed", pa.int64()), ("key", pa.int64())])
 
@@ -161,8 +162,9 @@ def _joined(docs: DataFrame, items: DataFrame, least: int, threshold: float) ->
                     yield batch(seeds, got, np.full(len(got), key))
 
     # Equal texts share a key; the key stands for the text in the join.
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    texts = keyed.where("text IS NOT NULL").select(F.col("_key").alias("key"), "text").dropDuplicates(["key"])
+    own, found_as = free("_key", docs.columns), free("_best", docs.columns)
+    keyed = docs.withColumn(own, F.xxhash64("text"))
+    texts = keyed.where("text IS NOT NULL").select(F.col(own).alias("key"), "text").dropDuplicates(["key"])
     named = items.withColumn("key", F.xxhash64("item_id", "text"))
     left = texts.mapInArrow(emit, "seed bigint, key bigint")
     right = named.select("key", "text").mapInArrow(emit, "seed bigint, key bigint").withColumnRenamed("key", "item_key")
@@ -180,12 +182,12 @@ def _joined(docs: DataFrame, items: DataFrame, least: int, threshold: float) ->
 
     found = both.select("key", "item_id", "text", "item").mapInArrow(cover, "key bigint, item_id bigint, coverage double")
     at = F.col("coverage") >= threshold
-    best = found.groupBy(F.col("key").alias("_key")).agg(
+    best = found.groupBy(F.col("key").alias(own)).agg(
         F.count("*").alias("n"), F.min(F.struct((-F.col("coverage")).alias("less"), "item_id")).alias("best"), F.sort_array(F.collect_list(F.when(at, F.col("item_id")))).alias("all")
     )
     verdict = F.struct(
-        F.coalesce("_best.n", F.lit(0)).cast("bigint").alias("n_items"), F.col("_best.best.item_id").alias("item_id"), F.coalesce(-F.col("_best.best.less"), F.lit(0.0)).alias("coverage"),
-        F.coalesce("_best.all", F.array().cast("array<bigint>")).alias("items"), F.coalesce(F.size("_best.all") > 0, F.lit(False)).alias("contaminated"),
+        F.coalesce(F.col(f"{found_as}.n"), F.lit(0)).cast("bigint").alias("n_items"), F.col(f"{found_as}.best.item_id").alias("item_id"), F.coalesce(-F.col(f"{found_as}.best.less"), F.lit(0.0)).alias("coverage"),
+        F.coalesce(F.col(f"{found_as}.all"), F.array().cast("array<bigint>")).alias("items"), F.coalesce(F.size(f"{found_as}.all") > 0, F.lit(False)).alias("contaminated"),
     )
-    got = keyed.join(best.select("_key", F.struct("n", "best", "all").alias("_best")), "_key", "left")
-    return got.select(*[f"`{c}`" for c in docs.columns], verdict.alias("_tiling"))
+    got = keyed.join(best.select(own, F.struct("n", "best", "all").alias(found_as)), own, "left")
+    return got.select(*[f"`{c}`" for c in docs.columns], verdict.alias(name))
