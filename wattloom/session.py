@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Python workers get texts in pieces of this size, whatever their lengths.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
