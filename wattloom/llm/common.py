@@ -86,7 +86,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 # A table is only broadcast after its rows have been counted and found to take less than this.
-MOST_BROADCAST = 64_000_000
+MOST_BROADCAST = 32_000_000
 
 
 def small(df: DataFrame, row_bytes: int, most: int = MOST_BROADCAST) -> DataFrame:
