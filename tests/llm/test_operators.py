@@ -298,3 +298,10 @@ def test_empty_tables(none, items):
     assert anchors.remove_repeats(none).count() == 0
     assert packing.pack(packing.pieces(none, vocabulary)).count() == 0
     assert tiling.decontaminate(none, items).count() == 0
+
+
+def test_lane_width_leaves_the_simhash_alone(spark):
+    lines = [" ".join(f"w{i * k % 97}" for i in range(n)) for n in (3, 40, 97) for k in (1, 5)]
+    places = spark.createDataFrame([(i, 0, 0, t) for i, t in enumerate(lines)], "doc bigint, version bigint, pos int, line string")
+    narrow, wide = ({x.doc: x.sim for x in fuzzylines.majority(places, 3, lane).collect()} for lane in (fuzzylines.NARROW, fuzzylines.WIDE))
+    assert narrow == wide and len(narrow) == len(lines)
