@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import batch, chunks, partitions, staged
+from wattloom.llm.common import batch, chunks, partitions, small, staged
 
 # Element names by their part in a page, and words that name side matter in class, id and role.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -207,12 +207,15 @@ def main_text(pages: DataFrame, mirror: float = 0.8) -> DataFrame:
     an empty text. Other columns are not read.
     """
     rows = staged(parsed(pages).withColumn("row", F.monotonically_increasing_id()))
-    bare = rows.where("hashes IS NOT NULL AND host <> ''")
+    asks = F.coalesce(F.col("hashes").isNotNull() & (F.col("host") != ""), F.lit(False))
+    bare = rows.where(asks)
     # Only pages without a marked article ask for a partner, but any page of the host can be one.
     keys = rows.where("host <> ''").groupBy("host", "path").agg(F.min("row").alias("row"))
-    near = bare.select("row", "host", "path").join(nearest(keys), ["host", "path"]).select("row", "partner")
+    near = small(staged(bare.select("row", "host", "path").join(nearest(keys), ["host", "path"]).select("row", "partner")), 16)
     lines = rows.select(F.col("row").alias("partner"), F.coalesce("hashes", F.transform("lines", lambda x: F.lit(None).cast("bigint"))).alias("other"))
-    paired = rows.join(near.join(lines, "partner").select("row", "other"), "row", "left")
+    # Pages that ask for no partner stay out of the join.
+    paired = bare.join(lines.join(near, "partner").select("row", "other"), "row", "left").select("page_id", "url", "lines", "other")
+    paired = paired.unionByName(rows.where(~asks).select("page_id", "url", "lines", F.lit(None).cast("array<bigint>").alias("other")))
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches):
@@ -221,4 +224,4 @@ def main_text(pages: DataFrame, mirror: float = 0.8) -> DataFrame:
             texts = [" ".join(main_lines(g, o, mirror)) for g, o in zip(own, b.column("other").to_pylist(), strict=True)]
             yield batch(schema, b.column("page_id"), b.column("url"), texts, list(map(len, texts)))
 
-    return paired.select("page_id", "url", "lines", "other").mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
+    return paired.mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
