@@ -305,3 +305,57 @@ def test_lane_width_leaves_the_simhash_alone(spark):
     places = spark.createDataFrame([(i, 0, 0, t) for i, t in enumerate(lines)], "doc bigint, version bigint, pos int, line string")
     narrow, wide = ({x.doc: x.sim for x in fuzzylines.majority(places, 3, lane).collect()} for lane in (fuzzylines.NARROW, fuzzylines.WIDE))
     assert narrow == wide and len(narrow) == len(lines)
+
+
+def brute_lines(table, least=3):
+    """(id, text) to the texts that stay, by edit similarity of all pairs of lines."""
+    place = {}
+    for i, text in table:
+        for at, line in enumerate(text.split("\n")):
+            form = " ".join(fuzzylines_normal(line).split(" "))
+            if len(form.split(" ")) >= least:
+                place.setdefault(form, []).append((i, at))
+
+    def alike(a, b):
+        a, b = a.split(" "), b.split(" ")
+        if abs(len(a) - len(b)) > 0.2 * max(len(a), len(b)) + 1e-9:
+            return False
+        row = list(range(len(b) + 1))
+        for x in a:
+            new = [row[0] + 1]
+            for j, y in enumerate(b):
+                new.append(min(new[-1] + 1, row[j + 1] + 1, row[j] + (x != y)))
+            row = new
+        return row[-1] <= 0.2 * max(len(a), len(b)) + 1e-9
+
+    groups = brute_groups({f: f for f in place}, alike)
+    kept = {}
+    for form, root in groups.items():
+        kept.setdefault(root, []).extend(place[form])
+    gone = {p for places in kept.values() for p in places if p != min(places)}
+    return {i: "\n".join(line for at, line in enumerate(text.split("\n")) if (i, at) not in gone) for i, text in table}, len(gone)
+
+
+def fuzzylines_normal(line):
+    return "".join(c for c in line.lower().replace("\t", " ").replace("\r", " ") if not 33 <= ord(c) <= 126 or c.isalnum()).strip(" ")
+
+
+@pytest.mark.parametrize("crowd", [1, 64])
+def test_lines_equal_brute_force(spark, crowd):
+    rng = np.random.default_rng(3)
+    common, texts = [f"c{i}" for i in range(12)], []
+    for n in [4, 5, 6, 7, 9, 10, 14, 15, 19, 20, 24, 33, 60, 120] * 3:
+        base = [str(rng.choice(common)) if rng.random() < 0.4 else f"w{rng.integers(0, 3000)}" for _ in range(n)]
+        texts.append(base)
+        for edits in {1, 2, n // 5, n // 5 + 1}:
+            line = list(base)
+            for at in rng.choice(n, min(edits, n), replace=False):
+                how = rng.integers(0, 3)
+                line[at] = "" if how == 0 else f"new{rng.integers(0, 10**6)}" if how == 1 else f"{line[at]} add{rng.integers(0, 10**6)}"
+            texts.append(" ".join(w for w in line if w).split())
+    lines = [" ".join(t) for t in texts]
+    order = rng.permutation(len(lines))
+    table = [(i, "\n".join(lines[j] for j in order[at : at + 3])) for i, at in enumerate(range(0, len(lines), 3))]
+    want, n_gone = brute_lines(table)
+    got = fuzzylines.dedup_lines(spark.createDataFrame(table, "doc_id bigint, text string"), crowd=crowd).collect()
+    assert {x.doc_id: x.text for x in got} == want and n_gone > 60
