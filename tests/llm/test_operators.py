@@ -359,3 +359,10 @@ def test_lines_equal_brute_force(spark, crowd):
     want, n_gone = brute_lines(table)
     got = fuzzylines.dedup_lines(spark.createDataFrame(table, "doc_id bigint, text string"), crowd=crowd).collect()
     assert {x.doc_id: x.text for x in got} == want and n_gone > 60
+
+
+def test_marked_pages_are_differenced(spark):
+    page = "<div>All topics</div><article><p>Same greeting</p><p>Teaser {0}</p></article><div><p>Body {0} outside</p><p>Imprint</p></div>"
+    pages = [(i, f"http://d.org/x/{i}", PAGE.replace("{}", page.format(i))) for i in (1, 2)] + [(3, "http://e.org/x", PAGE.replace("{}", page.format(3)))]
+    got = {x.page_id: x.text for x in pagediff.main_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert got == {1: "Same greeting Teaser 1 Body 1 outside", 2: "Same greeting Teaser 2 Body 2 outside", 3: "Same greeting Teaser 3"}

@@ -137,25 +137,25 @@ def common(a: list[int], b: list[int]) -> set[int]:
 
 
 def main_lines(lines: list[tuple[str, bool]], partner: list[int] | None, mirror: float) -> list[str]:
-    """Lines of the main element where the page marks one; else the lines that the partner does not share.
+    """Lines that the partner does not share, and those inside a main element.
 
-    A repeated sentence inside a marked article is its author's, so differencing acts on unmarked
-    lines. A partner that shares the share `mirror` of all lines or more shows the same article, not the same template.
+    A repeated sentence inside a marked article is its author's, so the mark keeps shared lines; lines outside
+    of it stay if the partner lacks them. A partner that shares the share `mirror` of all lines or more shows the same article,
+    not the same template. Without a partner that tells, a page that marks a main element keeps just that.
     """
-    if any(inside for _, inside in lines):
-        return [t for t, inside in lines if inside]
     if partner:
         shared = common([xxhash.xxh3_64_intdigest(t) - (1 << 63) for t, _ in lines], partner)
         if len(shared) < mirror * len(lines):
-            return [t for i, (t, _) in enumerate(lines) if i not in shared]
-    return [t for t, _ in lines]
+            return [t for i, (t, inside) in enumerate(lines) if inside or i not in shared]
+    marked = any(inside for _, inside in lines)
+    return [t for t, inside in lines if inside or not marked]
 
 
 LINES = "array<struct<line:string,inside:boolean>>"
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, row, host, path, lines and the hashes of the lines outside a main element."""
+    """page_id, url, row, host, path, lines and the hashes of the lines."""
     host = F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://)?([^/?#]+)", 1))
     path = F.regexp_replace(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://)?[^/?#]+([^?#]*)", 1), r"(?:/index)?(?:\.[a-zA-Z]{3,5})?/*$", "")
     kinds = [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string())]
@@ -165,7 +165,7 @@ def parsed(pages: DataFrame) -> DataFrame:
     def run(batches):
         for b in chunks(batches, text="html"):
             got = [lines_of(t) for t in b.column("html").to_pylist()]
-            hashes = [None if any(x for _, x in g) else [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t, _ in g] for g in got]
+            hashes = [[xxhash.xxh3_64_intdigest(t) - (1 << 63) for t, _ in g] for g in got]
             yield batch(schema, *[b.column(k) for k, _ in kinds], [[{"line": t, "inside": x} for t, x in g] for g in got], hashes)
 
     read = pages.select(F.col("page_id").cast("bigint"), "url", host.alias("host"), path.alias("path"), "html")
@@ -202,17 +202,16 @@ def main_text(pages: DataFrame, mirror: float = 0.8) -> DataFrame:
     Menus, headers, footers, notices, adverts, forms, comments and scripts go by element and by the words
     of class, id and role. Pages are paired with the nearest URL path of their host; query, fragment,
     extension and trailing slash do not count, so copies of one address are no pair. Lines that a longest common
-    subsequence finds on both are deleted, on pages that mark no article (see main_lines). Null html or
+    subsequence finds on both are deleted unless they stand in a marked article (see main_lines). Null html or
     url, hosts with one path and repeated rows are allowed: such a page is left undifferenced; null html gives
     an empty text. Other columns are not read.
     """
     rows = staged(parsed(pages).withColumn("row", F.monotonically_increasing_id()))
-    asks = F.coalesce(F.col("hashes").isNotNull() & (F.col("host") != ""), F.lit(False))
+    asks = F.coalesce(F.col("host") != "", F.lit(False))
     bare = rows.where(asks)
-    # Only pages without a marked article ask for a partner, but any page of the host can be one.
     keys = rows.where("host <> ''").groupBy("host", "path").agg(F.min("row").alias("row"))
     near = small(staged(bare.select("row", "host", "path").join(nearest(keys), ["host", "path"]).select("row", "partner")), 16)
-    lines = rows.select(F.col("row").alias("partner"), F.coalesce("hashes", F.transform("lines", lambda x: F.lit(None).cast("bigint"))).alias("other"))
+    lines = rows.select(F.col("row").alias("partner"), F.col("hashes").alias("other"))
     # Pages that ask for no partner stay out of the join.
     paired = bare.join(lines.join(near, "partner").select("row", "other"), "row", "left").select("page_id", "url", "lines", "other")
     paired = paired.unionByName(rows.where(~asks).select("page_id", "url", "lines", F.lit(None).cast("array<bigint>").alias("other")))
