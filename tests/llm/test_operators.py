@@ -366,3 +366,9 @@ def test_marked_pages_are_differenced(spark):
     pages = [(i, f"http://d.org/x/{i}", PAGE.replace("{}", page.format(i))) for i in (1, 2)] + [(3, "http://e.org/x", PAGE.replace("{}", page.format(3)))]
     got = {x.page_id: x.text for x in pagediff.main_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
     assert got == {1: "Same greeting Teaser 1 Body 1 outside", 2: "Same greeting Teaser 2 Body 2 outside", 3: "Same greeting Teaser 3"}
+
+
+def test_short_repeats_go(spark):
+    table = [(1, "Home\n\u597d\u597d\u5b66\u4e60\n...\nHome page"), (2, "home!\n\u597d\u597d\u5b66\u4e60\n...\nHome paged")]
+    got = fuzzylines.dedup_lines(spark.createDataFrame(table, "doc_id bigint, text string"), short_repeats=True).collect()
+    assert {x.doc_id: x.text for x in got} == {1: table[0][1], 2: "...\nHome paged"}

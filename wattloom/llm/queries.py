@@ -55,7 +55,7 @@ def op8_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = fuzzylines.dedup_lines(table(configure(spark), sf_dir, "documents").select("doc_id", "text"))
+    got = fuzzylines.dedup_lines(table(configure(spark), sf_dir, "documents").select("doc_id", "text"), short_repeats=True)
     return got.select("doc_id", "n_lines", "n_removed", "text")
 
 
