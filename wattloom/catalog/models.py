@@ -13,6 +13,7 @@ from wattloom.catalog.views import SITE_HOURS, SQL_BUS, SQL_PRED, bus, pred, rou
 from wattloom.operators.metrics import all_metrics, metric_rows
 from wattloom.operators.splits import split_by_day
 from wattloom.plans import training
+from wattloom.plans.bands import GRID, grid_points, leaf_table, leaf_union
 from wattloom.session import cut_lineage
 
 # Few, shallow trees: the point of these queries is the whole path over the whole table.
@@ -155,3 +156,41 @@ def score_checks(spark: SparkSession, sf: str) -> DataFrame:
     out = training.sanity(pred(spark, sf), ["site_id"], "y_true", "y_pred", "state_true", "state_pred")
     out = out.withColumn("failed", F.array_join("failed", ","))
     return settled(rounded(out, 6, "F1"), 6, "MAE_W").withColumns({c: F.col(c).cast("int") for c in ("n_bad_state", "n_bad_power")})
+
+
+# Leaves of three fixed partitions of the given scores stand for trees.
+SQL_LEAVES = f"SELECT event_id, y_true - y_pred AS res, [CAST(FLOOR(p_on * 5) AS INTEGER), CAST(hour(time) // 4 AS INTEGER), CAST(state_pred AS INTEGER)] AS leaves FROM ({SQL_PRED})"
+SQL_GRID = ", ".join(repr(q) for q in grid_points())
+
+
+@query(
+    f"""WITH r AS ({SQL_LEAVES}), l AS (SELECT res, UNNEST(leaves) AS leaf, UNNEST([0, 1, 2]) AS tree FROM r),
+        t AS (SELECT tree, leaf, COUNT(*) AS n, quantile_cont(res, [{SQL_GRID}]) AS grid FROM l GROUP BY 1, 2),
+        x AS (SELECT tree, leaf, n, UNNEST(grid) AS v, UNNEST(range({GRID})) AS place FROM t)
+        SELECT tree, leaf, n, place, {sql_round('v', 6)} AS value FROM x"""
+)
+def leaf_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """ML-4: residual percentiles per tree and leaf."""
+    table = leaf_table(fixed_leaves(spark, sf), "leaves", "res")
+    return settled(table.select("tree", "leaf", "n", F.posexplode("grid").alias("place", "value")), 6, "value")
+
+
+def fixed_leaves(spark: SparkSession, sf: str) -> DataFrame:
+    p = pred(spark, sf)
+    leaves = F.array(F.floor(F.col("p_on") * 5).cast("int"), F.floor(F.hour("time") / 4).cast("int"), F.col("state_pred").cast("int"))
+    return p.select("event_id", (F.col("y_true") - F.col("y_pred")).alias("res"), leaves.alias("leaves"))
+
+
+@query(
+    f"""WITH r AS ({SQL_LEAVES}), l AS (SELECT res, UNNEST(leaves) AS leaf, UNNEST([0, 1, 2]) AS tree FROM r),
+        t AS (SELECT tree, leaf, quantile_cont(res, [{SQL_GRID}]) AS grid FROM l GROUP BY 1, 2),
+        d AS (SELECT DISTINCT leaves FROM r),
+        u AS (SELECT d.leaves, UNNEST(t.grid) AS v FROM d JOIN t ON t.leaf = d.leaves[t.tree + 1]),
+        q AS (SELECT leaves, quantile_cont(v, 0.1) AS lo, quantile_cont(v, 0.5) AS mid, quantile_cont(v, 0.9) AS hi FROM u GROUP BY 1)
+        SELECT event_id, {sql_round('lo', 6)} AS low, {sql_round('mid', 6)} AS middle, {sql_round('hi', 6)} AS high FROM r JOIN q USING (leaves)"""
+)
+def leaf_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """ML-4: P10, P50 and P90 of the united leaves of every row."""
+    rows = fixed_leaves(spark, sf)
+    got = leaf_union(rows, "leaves", leaf_table(rows, "leaves", "res"), {"low": 0.10, "middle": 0.50, "high": 0.90})
+    return settled(got.select("event_id", "low", "middle", "high"), 6, "low", "middle", "high")

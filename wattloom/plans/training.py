@@ -22,7 +22,10 @@ from wattloom.operators.metrics import best_threshold, threshold_curve
 from wattloom.operators.quantiles import percentiles
 from wattloom.operators.segments import filter_short_runs
 from wattloom.operators.series import Series
+from wattloom.plans.bands import LeafBands, banded, fit_leaf_bands
+from wattloom.session import cut_lineage
 
+BAND_INPUTS = ("features", "_power", "_season_id")
 MIN_EXPERT_ROWS = 50
 MIN_CALIBRATION_ROWS = 30
 CORRECTION_CAP_W = 150.0
@@ -38,6 +41,8 @@ class Settings:
     forest_trees: int = 300
     forest_depth: int = 8
     correction_trees: int = 50
+    band_trees: int = 50
+    band_depth: int = 5
     seed: int = 42
     min_on: int = 1
     fill: int = 3
@@ -59,7 +64,7 @@ class TwoStageModel:
     threshold: float
     experts: dict[str, Transformer]
     fallback: Transformer
-    bands: DataFrame
+    bands: LeafBands
     forest: Transformer | None
     naive_mean: float
     correction: Transformer | None = None
@@ -130,8 +135,8 @@ def fit(
     }
     trained_means = [summary[s]["y_mean"] for s in experts]
     naive = sum(trained_means) / len(trained_means) if trained_means else NAIVE_MEAN_W
-    residuals = route(on, experts, fallback).withColumn("_res", F.col("y") - F.col("_power"))
-    bands = percentiles(residuals, ["season"], "_res", {"_low": 0.10, "_high": 0.90}).drop("n")
+    residuals = route(on, experts, fallback).withColumns({"_res": F.col("y") - F.col("_power"), "_season_id": season_id()})
+    bands = fit_leaf_bands(cut_lineage(residuals.select(*BAND_INPUTS, "_res")), "_res", BAND_INPUTS, settings.band_trees, settings.band_depth, seed=settings.seed)
     forest = RandomForestRegressor(
         featuresCol="features", labelCol="y", numTrees=settings.forest_trees, maxDepth=settings.forest_depth, seed=settings.seed, predictionCol="_power",
     ).fit(ready)
@@ -196,9 +201,9 @@ def route(df: DataFrame, experts: Mapping[str, Transformer], fallback: Transform
 def score_base(df: DataFrame, model: TwoStageModel, series: Series, settings: Settings) -> DataFrame:
     """Classifier, experts and short-run filters: state_pred, p_on, y_raw and its band."""
     first = stage_one(df, model)
-    powered = route(first, model.experts, model.fallback).withColumn("_p50", F.greatest("_power", F.lit(0.0))).drop("_power")
-    banded = powered.join(F.broadcast(model.bands.where(F.col("season").isin(*SEASONS))), "season", "left")
-    states = banded.withColumn("_state", (F.col("p_on") >= model.threshold).cast("int")).drop("_raw", "features")
+    powered = route(first, model.experts, model.fallback).withColumns({"_p50": F.greatest("_power", F.lit(0.0)), "_season_id": season_id()})
+    ranged = banded(powered, model.bands, {"_low": 0.10, "_high": 0.90})
+    states = ranged.withColumn("_state", (F.col("p_on") >= model.threshold).cast("int")).drop("_raw", "features", "_power", "_season_id")
     filtered = filter_short_runs(states, series, "_state", "state_pred", settings.min_on, settings.fill)
     return filtered.withColumns(
         {
@@ -209,14 +214,14 @@ def score_base(df: DataFrame, model: TwoStageModel, series: Series, settings: Se
     ).drop("_state", "_p50", "_low", "_high")
 
 
-CORRECTION_INPUTS = ("temp_2m", "hour", "recent", "season_id", "y_raw")
+def season_id(season: str = "season") -> Column:
+    return F.when(F.col(season) == "summer", 0.0).when(F.col(season) == "winter", 2.0).otherwise(1.0)
 
 
 def correction_inputs(df: DataFrame, recent: str = "power_recent_24h_mean") -> DataFrame:
-    season_id = F.when(F.col("season") == "summer", 0.0).when(F.col("season") == "winter", 2.0).otherwise(1.0)
     temp = F.coalesce(F.col("temp_2m"), F.lit(20.0)) if "temp_2m" in df.columns else F.lit(20.0)
     near = F.coalesce(F.col(recent), F.lit(0.0)) if recent in df.columns else F.lit(0.0)
-    wide = df.withColumns({"_temp": temp, "_recent": near, "_season_id": season_id})
+    wide = df.withColumns({"_temp": temp, "_recent": near, "_season_id": season_id()})
     inputs = VectorAssembler(inputCols=["_temp", "hour", "_recent", "_season_id", "y_raw"], outputCol="_five")
     return inputs.transform(wide).drop("_temp", "_recent", "_season_id")
 
