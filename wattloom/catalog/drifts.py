@@ -276,6 +276,35 @@ def split_dropped_day(spark: SparkSession, sf: str) -> DataFrame:
     return splits.per_split_filter(rows, spans, site_events(spark, sf, "time")).select("event_id", "split")
 
 
+@query(
+    f"""WITH p AS (SELECT event_id, site_id, time, split, split = 'val' AND CAST(time AS DATE) = '2024-01-20' AS gone FROM ({SQL_PRED})),
+        c AS (SELECT site_id, COUNT(*) FILTER (WHERE gone) AS n FROM p GROUP BY 1),
+        r AS (SELECT p.*, row_number() OVER (PARTITION BY site_id, split, gone ORDER BY time, event_id) AS rn FROM p)
+        SELECT event_id, CASE WHEN gone THEN 'train' WHEN split = 'train' AND rn <= n THEN 'val' ELSE split END AS split FROM r JOIN c USING (site_id)"""
+)
+def split_swapped_day(spark: SparkSession, sf: str) -> DataFrame:
+    """SPL-5: a validation day that validation excludes changes places with the earliest training rows."""
+    spans = _pins(spark, sf, [("val", "exclude", "2024-01-20 00:00:00", "2024-01-20 23:59:59")])
+    rows = pred(spark, sf).select("event_id", "site_id", "time", "split")
+    return splits.per_split_filter(rows, spans, site_events(spark, sf, "time")).select("event_id", "split")
+
+
+@query(
+    f"""WITH p AS (SELECT event_id, site_id, time, split, CAST(time AS DATE) IN ('2024-01-20', '2024-01-27') AS pin, dayofmonth(time) <= 2 AS early FROM ({SQL_PRED})),
+        c AS (SELECT site_id, COUNT(*) FILTER (WHERE pin AND split = 'val') AS a, COUNT(*) FILTER (WHERE pin AND split = 'test') AS b FROM p GROUP BY 1),
+        f AS (SELECT p.*, row_number() OVER (PARTITION BY site_id, split, early ORDER BY time, event_id) AS rn FROM p),
+        v AS (SELECT f.*, split = 'train' AND NOT early AND rn <= a AS to_val, b FROM f JOIN c USING (site_id)),
+        t AS (SELECT v.*, row_number() OVER (PARTITION BY site_id, split, to_val ORDER BY time, event_id) AS k FROM v)
+        SELECT event_id, CASE WHEN pin THEN 'train' WHEN to_val THEN 'val' WHEN split = 'train' AND k <= b THEN 'test' ELSE split END AS split FROM t"""
+)
+def split_two_short(spark: SparkSession, sf: str) -> DataFrame:
+    """SPL-5: training takes a day of validation and one of test; validation refuses the first two days, test does not."""
+    days = [("train", "include", f"2024-01-{d} 00:00:00", f"2024-01-{d} 23:59:59") for d in (20, 27)]
+    spans = _pins(spark, sf, [*days, ("val", "exclude", "2024-01-01 00:00:00", "2024-01-02 23:59:59")])
+    rows = pred(spark, sf).select("event_id", "site_id", "time", "split")
+    return splits.per_split_filter(rows, spans, site_events(spark, sf, "time")).select("event_id", "split")
+
+
 @query(
     f"""WITH g AS (SELECT user_id, COUNT(*) AS n_rows, CAST(SUM(state_true) AS BIGINT) AS n_on, COUNT(*) FILTER (WHERE split = 'train') AS n_train, COUNT(*) FILTER (WHERE split = 'val') AS n_val,
                      COUNT(*) FILTER (WHERE split = 'test') AS n_test FROM ({SQL_PRED}) WHERE user_id % 10 <> 1 OR dayofmonth(time) <= 24 GROUP BY 1)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wattloom.functions.scalars import clip, soft_max, soft_max_weight, sqrt_interp
 from wattloom.functions.timeparse import floor_to
 from wattloom.operators.joins import event_windows, startup_as_of
-from wattloom.operators.quantiles import percentiles
+from wattloom.operators.quantiles import column_percentiles, percentiles
 from wattloom.operators.segments import off_centres, on_edges
 from wattloom.operators.series import Series, attach
 from wattloom.session import cut_lineage
@@ -54,14 +54,14 @@ def calibrate(
     # Two event tables, each read by several percentiles: written once.
     on_win = cut_lineage(event_windows(edges, bus, keys, series.ts, bus_ts, spike, 1_200, 600))
     off_win = cut_lineage(event_windows(centres, bus, keys, "centre_ts", bus_ts, spike, 900, 900))
-    on_abs = percentiles(on_win, keys, "win_absmax", {"on_p10_abs": 0.10, "on_p50_abs": 0.50}).withColumnRenamed("n", "n_on_amax")
-    off_abs = percentiles(off_win, keys, "win_absmax", {"off_p50_abs": 0.50, "off_p99_abs": 0.99}).withColumnRenamed("n", "n_off_amax")
-    on_min = percentiles(on_win, keys, "win_min", {"train_on_p50": 0.50, "train_on_p90": 0.90}).drop("n")
-    off_min = percentiles(off_win, keys, "win_min", {"train_off_p1": 0.01, "train_off_p5": 0.05, "train_off_p50": 0.50}).drop("n")
+    on_points = {"win_absmax": {"on_p10_abs": 0.10, "on_p50_abs": 0.50}, "win_min": {"train_on_p50": 0.50, "train_on_p90": 0.90}}
+    off_points = {"win_absmax": {"off_p50_abs": 0.50, "off_p99_abs": 0.99}, "win_min": {"train_off_p1": 0.01, "train_off_p5": 0.05, "train_off_p50": 0.50}}
+    on_seen = column_percentiles(on_win, keys, on_points).withColumnRenamed("n_win_absmax", "n_on_amax").drop("n_win_min")
+    off_seen = column_percentiles(off_win, keys, off_points).withColumnRenamed("n_win_absmax", "n_off_amax").drop("n_win_min")
     anchor = percentiles(bus, keys, main, {"train_d73_p95": 0.95}).drop("n")
     users = branch.select(*keys).distinct()
     joined = users
-    for part in (on_abs, off_abs, on_min, off_min, anchor):
+    for part in (on_seen, off_seen, anchor):
         joined = joined.join(part, keys, "left")
     zero = {c: 0.0 for c in ("on_p10_abs", "on_p50_abs", "off_p50_abs", "off_p99_abs", "train_on_p50", "train_on_p90", "train_off_p1", "train_off_p5", "train_off_p50")}
     # Without any event the percentile of a single 0 is used, so the count is 1.

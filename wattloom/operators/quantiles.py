@@ -1,43 +1,44 @@
 """Exact order statistics without sorting a whole group in one task.
 
-Values are first combined to (group, value) counts. Value ranges cut from a bounded quantile sketch
-then split each group into slices; running counts work inside a slice and the slice totals supply
-the offsets. The sketch only places the cuts: every result is exact.
+Percentiles descend by digits. The values of a group are counted by the leading digits of a monotone image, so only
+a histogram is shuffled; the ranks that are wanted then pick their buckets, and a second pass counts the values of
+those buckets alone. A bucket that still holds many rows is divided again before that. Each bucket knows its own
+smallest and largest value, and one that holds a single value needs no further pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from wattloom.operators.series import attach
+from wattloom.session import cut_lineage
 
-SLICES = 32
+# Buckets of the first histogram per factor e of the value; parts of a crowded bucket; rows that make one crowded.
+FINE, PARTS, CROWDED = 256, 4_096, 1_000_000
+_BEYOND = 1 << 62
 
 
-def running_counts(
-    df: DataFrame, keys: Sequence[str], value: str, measures: Mapping[str, Column] | None = None, slices: int = SLICES
-) -> DataFrame:
+def bucket_of(value: Column, fine: int = FINE) -> Column:
+    """The leading digits of a number: rises with the value, since log1p never falls. NaN is above everything."""
+    x = value.cast("double")
+    # An infinite image has no floor.
+    image = F.greatest(F.lit(-1e15), F.least(F.lit(1e15), F.signum(x) * F.log1p(F.abs(x)) * fine))
+    return F.when(F.isnan(x), _BEYOND).otherwise(F.floor(image)).cast("long")
+
+
+def running_counts(df: DataFrame, keys: Sequence[str], value: str, measures: Mapping[str, Column] | None = None) -> DataFrame:
     """Per distinct value: each measure, its sum below (`<m>_below`) and over the group (`<m>_all`)."""
     measures = dict(measures or {"n": F.count(F.lit(1))})
     group = list(keys) or ["_all"]
-    keyed = df
-    # Explicit tests on value and keys: all uses of the counted table then share one exchange.
-    for c in (value, *keys):
-        keyed = keyed.where(F.col(c).isNotNull())
+    keyed = known(df, keys, value)
     if not keys:
         keyed = keyed.withColumn("_all", F.lit(0))
-    combined = keyed.groupBy(*group, value).agg(*[c.alias(m) for m, c in measures.items()])
-    # Reading the measures here too lets the sketch share the exchange of the counted values.
-    held = F.when(F.greatest(*[F.col(m) for m in measures], F.lit(0)) >= 0, F.col(value))
-    cuts = combined.groupBy(*group).agg(
-        F.percentile_approx(held, [i / slices for i in range(1, slices)], 1_000).alias("_cuts")
-    )
-    below = " + ".join(f"CAST(_cuts[{i}] < `{value}` AS INT)" for i in range(slices - 1))
-    sliced = attach(combined, cuts, group).withColumn("_slice", F.expr(below))
-    sliced = sliced.drop("_cuts")
+    sliced = keyed.groupBy(*group, value).agg(*[c.alias(m) for m, c in measures.items()]).withColumn("_slice", bucket_of(F.col(value)))
     totals = sliced.groupBy(*group, "_slice").agg(*[F.sum(m).alias(m) for m in measures])
     order = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -58,30 +59,106 @@ def running_counts(
     )
 
 
+def known(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows with a value and all keys. Explicit tests: all uses of the table then share one exchange."""
+    for c in (value, *keys):
+        df = df.where(F.col(c).isNotNull())
+    return df
+
+
 def percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float]) -> DataFrame:
     """Linear-interpolation percentiles per group, one column per point, plus the row count `n`."""
-    counted = running_counts(df, keys, value)
+    return column_percentiles(df, keys, {value: points}).withColumnRenamed(f"n_{value}", "n")
+
+
+def column_percentiles(df: DataFrame, keys: Sequence[str], wanted: Mapping[str, Mapping[str, float]], fine: int = FINE, parts: int = PARTS, crowded: int = CROWDED) -> DataFrame:
+    """Percentiles of several value columns in the same passes: `wanted` maps a column to its named points.
+
+    One row per group that has a value in any of the columns: the keys, `n_<column>` (rows with a value), and the
+    points, NULL where a column has no value. Rows with a null key are left out. Values keep their own type up to the
+    interpolation; NaN counts as the largest. The histogram of a group and a pass over the rows are all that grows
+    with the data; nothing is sampled.
+    """
+    columns = list(wanted)
+    group = [*keys, "_c"]
+    one_type = reduce(lambda a, b: a if a == b else DoubleType(), [df.schema[c].dataType for c in columns])
+    stacked = F.array(*(F.struct(F.lit(i).alias("_c"), F.col(c).cast(one_type).alias("_v")) for i, c in enumerate(columns)))
+    long = df.select(*keys, F.inline(stacked)) if len(columns) > 1 else df.select(*keys, F.lit(0).alias("_c"), F.col(columns[0]).alias("_v"))
+    long = known(long, keys, "_v")
+
+    spans = F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("n"))
+    buckets = long.groupBy(*group, bucket_of(F.col("_v"), fine).alias("_b")).agg(spans.alias("_s")).select(*group, "_b", "_s.*")
+    order = Window.partitionBy(*group).orderBy("_b")
+    counted = buckets.withColumns({"_below": F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), "_all": F.sum("n").over(Window.partitionBy(*group))})
+    hits = F.expr("FILTER(_ranks, r -> r.rank >= _below AND r.rank < _below + n)")
+    counted = counted.withColumn("_below", F.coalesce("_below", F.lit(0))).withColumn("_ranks", rank_list(list(wanted.values())))
+    found = counted.withColumn("hits", hits).where(F.size("hits") > 0)
+    here = F.transform("hits", lambda r: F.struct(r["at"].alias("at"), (r["rank"] - F.col("_below")).alias("rank")))
+    found = cut_lineage(found.select(*group, "_all", "lo", "hi", "n", here.alias("hits")))
+    done, rounds = [], 0
+    while True:
+        open_ = found.where(~F.col("lo").eqNullSafe(F.col("hi")))
+        state = open_.agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("most")).first()
+        done.append(found.where(F.col("lo").eqNullSafe(F.col("hi"))).select(*group, "_all", F.col("lo").alias("_v"), F.explode("hits").alias("hit")))
+        if not state["rows"]:
+            break
+        inside = values_inside(long, open_, group)
+        rounds += 1
+        # Five divisions tell any two doubles apart.
+        if state["most"] <= crowded or rounds > 5:
+            done.append(picked(inside, group))
+            break
+        found = cut_lineage(divided(inside, group, parts))
+    every = reduce(DataFrame.unionByName, done)
+    flat = [(f"p{c}_{i}", c, i, q, name) for c, points in enumerate(wanted.values()) for i, (name, q) in enumerate(points.items())]
+    totals = [F.expr(f"MAX(CASE WHEN _c = {c} THEN _all END)").alias(f"_n{c}") for c in range(len(columns))]
+    ends = [F.expr(f"MAX(CASE WHEN _c = {c} AND hit.at = {2 * i + up} THEN _v END)").alias(f"_{p}_{up}") for p, c, i, _, _ in flat for up in (0, 1)]
+    got = every.groupBy(*keys).agg(*totals, *ends) if keys else every.agg(*totals, *ends).where(" OR ".join(f"_n{c} IS NOT NULL" for c in range(len(columns))))
+    blends = [F.expr(f"_{p}_0 + (_{p}_1 - _{p}_0) * ((_n{c} - 1) * {float(q)!r}D - FLOOR((_n{c} - 1) * {float(q)!r}D))").alias(name) for p, c, _, q, name in flat]
+    return got.select(*keys, *[(F.coalesce(f"_n{c}", F.lit(0)) if len(columns) > 1 else F.col("_n0")).alias(f"n_{name}") for c, name in enumerate(columns)], *blends)
 
+
+def rank_list(points: Sequence[Mapping[str, float]]) -> Column:
+    """Per column number `_c`: the ranks below and above every wanted point among `_all` values."""
     # Built as SQL text: with twenty points, column objects would cost more than the query.
-    ranks = ", ".join(
-        f"named_struct('at', {2 * i + up}, 'rank', CAST({side}((n_all - 1) * {float(q)!r}D) AS BIGINT))"
-        for i, q in enumerate(points.values())
-        for up, side in enumerate(("FLOOR", "CEIL"))
-    )
-    held = F.expr(f"FILTER(ARRAY({ranks}), r -> r.rank >= n_below AND r.rank < n_below + n)")
-    # Only values that hold a wanted rank go on: at most two rows per point and group.
-    hits = counted.select(*keys, F.col(value).alias("_v"), "n_all", F.explode(held).alias("_hit"))
-    picked = hits.groupBy(*keys).agg(
-        F.max("n_all").alias("n"),
-        *[F.expr(f"MAX(CASE WHEN _hit.at = {i} THEN _v END)").alias(f"_p{i}") for i in range(2 * len(points))],
-    )
-    blends = [
-        F.expr(
-            f"_p{2 * i} + (_p{2 * i + 1} - _p{2 * i}) * ((n - 1) * {float(q)!r}D - FLOOR((n - 1) * {float(q)!r}D))"
-        ).alias(name)
-        for i, (name, q) in enumerate(points.items())
+    lists = [
+        ", ".join(
+            f"named_struct('at', {2 * i + up}, 'rank', CAST({side}((_all - 1) * {float(q)!r}D) AS BIGINT))"
+            for i, q in enumerate(own.values())
+            for up, side in enumerate(("FLOOR", "CEIL"))
+        )
+        for own in points
     ]
-    return picked.select(*keys, "n", *blends)
+    return F.expr("CASE " + " ".join(f"WHEN _c = {c} THEN ARRAY({text})" for c, text in enumerate(lists)) + " END")
+
+
+def values_inside(long: DataFrame, spans: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The values that lie in an open span of their group, with the span. Spans of a group do not overlap."""
+    met = attach(long, spans.groupBy(*group).agg(F.collect_list(F.struct("lo", "hi", "_all", "hits")).alias("_spans")), group, how="inner")
+    span = F.filter("_spans", lambda s: (F.col("_v") >= s["lo"]) & (F.col("_v") <= s["hi"]))
+    return met.withColumn("_span", F.try_element_at(span, F.lit(1))).where(F.col("_span").isNotNull()).select(*group, "_v", "_span")
+
+
+def divided(inside: DataFrame, group: Sequence[str], parts: int) -> DataFrame:
+    """Spans cut into equal parts; those that hold a wanted rank."""
+    lo, hi, v = (F.col(c).cast("double") for c in ("_span.lo", "_span.hi", "_v"))
+    part = F.coalesce(F.floor(F.try_divide(v - lo, hi - lo) * parts).cast("long"), F.lit(0))
+    counted = inside.groupBy(*group, F.col("_span.lo").alias("_lo"), part.alias("_b")).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count(F.lit(1)).alias("n"), F.first("_span").alias("_span"))
+    return ranked(counted, [*group, "_lo"], "_b").select(*group, "_span._all", "lo", "hi", "n", "hits")
+
+
+def picked(inside: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The values of wanted ranks, of spans that hold few rows."""
+    counted = inside.groupBy(*group, F.col("_span.lo").alias("_lo"), "_v").agg(F.count(F.lit(1)).alias("n"), F.first("_span").alias("_span"))
+    return ranked(counted, [*group, "_lo"], "_v").select(*group, "_span._all", "_v", F.explode("hits").alias("hit"))
+
+
+def ranked(counted: DataFrame, within: Sequence[str], order: str) -> DataFrame:
+    """Counted buckets that hold a wanted rank of their span, with these ranks taken from the bucket's start."""
+    before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("_below", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    hits = F.expr("TRANSFORM(FILTER(_span.hits, r -> r.rank >= _below AND r.rank < _below + n), r -> named_struct('at', r.at, 'rank', r.rank - _below))")
+    return placed.withColumn("hits", hits).where(F.size("hits") > 0)
 
 
 def median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import SEASONS, over, pearson, season_by_month
-from wattloom.operators.quantiles import percentiles
+from wattloom.operators.quantiles import column_percentiles, percentiles
 from wattloom.operators.series import Series, attach, row_gaps, seconds_between
 
 
@@ -113,9 +113,8 @@ def monthly_residuals(df: DataFrame, keys: Sequence[str], ts: str, y_true: str,
     stats = rows.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n_on"), F.avg(F.abs("_r0")).alias("mae_before"), F.avg(F.abs("_r1")).alias("mae_after")
     )
-    first = percentiles(rows, group, "_r0", {"median_before": 0.5}).drop("n")
-    second = percentiles(rows, group, "_r1", {"median_after": 0.5}).drop("n")
-    return stats.join(first, group).join(second, group)
+    middle = column_percentiles(rows, group, {"_r0": {"median_before": 0.5}, "_r1": {"median_after": 0.5}})
+    return stats.join(middle.where("n__r0 > 0 AND n__r1 > 0").drop("n__r0", "n__r1"), group)
 
 
 def split_month_counts(df: DataFrame, keys: Sequence[str], ts: str, split: str = "split") -> DataFrame:

@@ -15,13 +15,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from wattloom.session import cut_lineage
+
 DAY = 86_400
 BLOCK_ROWS = 4_096
-SALTS = 16
+# A table with a row per key goes to all tasks up to this size; above it, keys with a larger share of rows are apart.
+MOST_BYTES, HEAVY = 16_000_000, 0.005
 
 
 @dataclass(frozen=True)
@@ -94,16 +98,49 @@ def plan_series(df: DataFrame, series: Series, chunk_rows: int = 1_000_000) -> S
     return series.renamed(chunk_s=max(1, min(length, 30 * DAY)))
 
 
-def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left", salts: int = SALTS) -> DataFrame:
+def bytes_of(df: DataFrame) -> Column:
+    """About how many bytes a row takes: fixed-width values by 16, texts by their length, arrays by 48 an element."""
+    parts: list[Column] = []
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        parts.append(F.octet_length(f.name) + 16 if kind in ("string", "binary") else F.size(f.name) * 48 + 16 if kind in ("array", "map") else F.lit(16))
+    return sum((F.coalesce(p, F.lit(16)) for p in parts), F.lit(0)).cast("long")
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], share: float, tracked: int = 4_096) -> DataFrame:
+    """Keys that hold more than `share` of the rows, with their counts `_n`.
+
+    A mergeable sketch of frequent items names the candidates, each of which is then counted exactly: the sketch
+    never misses a key above one in `tracked` * 3 / 4 of the rows. At most 1 / share keys are left.
+    """
+    of_key = F.xxhash64(*keys)
+    whole = df.where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)))
+    top = min(tracked // 4, int(2 / share) + 1)
+    seen = whole.select(of_key.alias("_h")).agg(F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(_h, {top}, {tracked})").alias("top")).first()
+    names = [r["item"] for r in seen["top"] or [] if r["count"] > share * seen["rows"]]
+    candidates = whole.where(of_key.isin(names)) if names else whole.limit(0)
+    return candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > share * seen["rows"])
+
+
+def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left", most: int = MOST_BYTES, share: float = HEAVY) -> DataFrame:
     """Join a table with one row per key to a table where one key may dominate.
 
-    The small side is copied once per salt and the large side is spread over the salts, so a hot key
-    never meets in a single task. Where the small side proves small at run time, adaptive execution
-    turns the join into a broadcast by its measured size.
+    The small side is written and measured. Up to `most` bytes it goes to every task and the large side does not
+    move. Beyond that, keys with more than `share` of the large side's rows, of which there are few, get their rows
+    that way, and all other keys meet by a plain shuffle. Rows without a key match nothing and do not move either.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    if df.isStreaming:
+        return df.join(per_key, list(keys), how)
+    held = cut_lineage(per_key)
+    size = held.agg(F.sum(bytes_of(held))).first()[0] or 0
+    if size <= most:
+        return df.join(F.broadcast(held), list(keys), how)
+    heavy = cut_lineage(heavy_keys(df, keys, share).select(*keys, F.lit(True).alias("_heavy")))
+    marked = df.join(F.broadcast(heavy), list(keys), "left")
+    stays = F.coalesce("_heavy", reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys)))
+    near = marked.where(stays).drop("_heavy").join(F.broadcast(held.join(F.broadcast(heavy), list(keys), "left_semi")), list(keys), how)
+    far = marked.where(~stays).drop("_heavy").join(held.hint("shuffle_hash"), list(keys), how)
+    return near.unionByName(far)
 
 
 def with_position(df: DataFrame, series: Series, out: str = "pos", total: str | None = None) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -137,87 +139,97 @@ def split_range_arrays(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
 def per_split_filter(df: DataFrame, ranges: DataFrame, series: Series, split: str = "split") -> DataFrame:
     """Include ranges pin rows to a split, exclude ranges expel them; split sizes are then restored.
 
-    A row excluded from all three splits is dropped. Splits above their old size hand their earliest
-    unpinned rows, and expelled rows are handed out, to the splits below their old size in the order
-    train, val, test. Rows are matched to free places by rank, which equals moving them one by one
-    wherever a moved row may enter the split it is due for. An expelled row that may not swaps places:
-    it goes to the first split that takes it, and that split's earliest free row outside all exclude
-    ranges fills the place. Rows that find no place are dropped.
+    A row excluded from all three splits is dropped. Splits above their old size first hand unpinned rows to the first
+    split below its own, as long as these may enter it; then the expelled rows are handed out the same way. Where none
+    of them may enter, one goes to another split that is not above its size, whose earliest unpinned row that may enter
+    takes the place. Rows that find no place are dropped. All choices go by time.
+
+    Moving rows one by one comes down to a few steps, each taking the earliest so many rows of one kind per key: the
+    amount follows from counts per key, the rows from their rank. Steps that move nothing anywhere are passed over.
+    Rows without a key or a time belong to no series and leave.
     """
     keys = list(series.key)
     slim = df.select(*keys, *series.order, split)
     joined = attach(slim, split_range_arrays(ranges, keys), keys)
     ts = F.col(series.ts)
-    out_of = {s: hit(ts, F.col(f"_{s}_exclude")) for s in NAMES}
     pinned = F.coalesce(*[F.when(hit(ts, F.col(f"_{s}_include")), F.lit(s)) for s in NAMES])
-    flagged = joined.withColumns({f"_no_{s}": out_of[s] for s in NAMES}).withColumn("_pin", pinned)
+    flagged = joined.withColumns({f"_no_{s}": hit(ts, F.col(f"_{s}_exclude")) for s in NAMES}).withColumn("_pin", pinned)
     flagged = flagged.drop(*[f"_{s}_{k}" for s in NAMES for k in ("include", "exclude")])
-    flagged = flagged.withColumn("_lost", F.col("_no_train") & F.col("_no_val") & F.col("_no_test"))
     start = F.coalesce("_pin", split)
-    expelled = F.lit(False)
-    for s in NAMES:
-        expelled = expelled | ((start == s) & F.col(f"_no_{s}"))
-    # Only keys, times and flags are carried; the two checkpoints keep the steps below from repeating.
-    placed = cut_lineage(flagged.withColumn("_at", F.when(F.col("_lost"), "lost").when(expelled, "none").otherwise(start)))
+    lost = F.col("_no_train") & F.col("_no_val") & F.col("_no_test")
+    expelled = reduce(lambda a, b: a | b, ((start == s) & F.col(f"_no_{s}") for s in NAMES))
+    # Only keys, times and flags are carried.
+    rows = cut_lineage(flagged.withColumn("_at", F.when(lost, "lost").when(expelled, "none").otherwise(start)))
+    steps = transport_steps()
+    nth = 0
+    while nth < len(steps):
+        amounts = cut_lineage(step_amounts(rows, keys, split, steps))
+        most = amounts.agg(*[F.max(f"_m{i}") for i in range(nth, len(steps))]).first()
+        nth = next((i for i, m in enumerate(most, nth) if m), len(steps))
+        if nth < len(steps):
+            rows = cut_lineage(moved(rows, amounts.select(*keys, F.col(f"_m{nth}").alias("_m")).where("_m > 0"), series, steps[nth]))
+            nth += 1
+    chosen = rows.where(F.col("_at").isin(*NAMES)).select(*keys, *series.order, F.col("_at").alias(split))
+    return df.drop(split).join(chosen, [*keys, *series.order])
+
+
+@dataclass(frozen=True)
+class Step:
+    """Rows that are `giving` go to split `to`; with `via`, as many expelled rows take their places there."""
+
+    giving: Column
+    to: str
+    source: str
+    via: str | None = None
+
+
+def may_enter(s: str) -> Column:
+    return ~F.col(f"_no_{s}")
 
-    counts = placed.groupBy(*keys).agg(
+
+def transport_steps() -> list[Step]:
+    """Surplus of each split to each other one, then expelled rows, directly and by way of another split."""
+    free = F.col("_pin").isNull()
+    steps = [Step((F.col("_at") == j) & free & may_enter(k), k, j) for j in NAMES for k in NAMES if j != k]
+    for k in NAMES:
+        steps.append(Step((F.col("_at") == "none") & may_enter(k), k, "none"))
+        steps += [Step((F.col("_at") == j) & free & may_enter(k), k, "none", j) for j in NAMES if j != k]
+    return steps
+
+
+def step_amounts(rows: DataFrame, keys: Sequence[str], split: str, steps: Sequence[Step]) -> DataFrame:
+    """Per key: how many rows each step would move now. Only the first split below its old size receives."""
+    counts = rows.groupBy(*keys).agg(
         *[F.count_if(F.col(split) == s).alias(f"_goal_{s}") for s in NAMES],
         *[F.count_if(F.col("_at") == s).alias(f"_have_{s}") for s in NAMES],
+        *[F.count_if((F.col("_at") == "none") & may_enter(s)).alias(f"_waits_{s}") for s in NAMES],
+        *[F.count_if(step.giving).alias(f"_n{i}") for i, step in enumerate(steps)],
     )
-    free = counts.select(
-        *keys,
-        *[F.greatest(F.col(f"_goal_{s}") - F.col(f"_have_{s}"), F.lit(0)).alias(f"_free_{s}") for s in NAMES],
-        *[F.greatest(F.col(f"_have_{s}") - F.col(f"_goal_{s}"), F.lit(0)).alias(f"_over_{s}") for s in NAMES],
-    )
-    # Movable rows: unpinned rows of a split (candidates for its surplus), then the expelled rows.
-    queue = F.when((F.col("_at") == "none"), F.lit("none")).when(F.col("_pin").isNull() & F.col("_at").isin(*NAMES), F.col("_at"))
-    waiting = placed.withColumn("_queue", queue)
-    movable = waiting.where("_queue IS NOT NULL")
-    ranked = with_position(movable, series.renamed(key=(*keys, "_queue")), out="_rank")
-    sized = attach(ranked, free, keys)
-    over = F.lit(0)
-    for s in NAMES:
-        over = F.when(F.col("_queue") == s, F.col(f"_over_{s}")).otherwise(over)
-    moving = sized.where((F.col("_queue") == "none") | (F.col("_rank") < over))
-    # Order of hand-out: surplus of train, val, test, then expelled rows; each in time order.
-    before = F.when(F.col("_queue") == "train", F.lit(0)).when(F.col("_queue") == "val", F.col("_over_train")).when(
-        F.col("_queue") == "test", F.col("_over_train") + F.col("_over_val")
-    ).otherwise(F.col("_over_train") + F.col("_over_val") + F.col("_over_test"))
-    turn = moving.withColumn("_turn", before + F.col("_rank"))
-    edge = F.lit(0)
-    due = F.lit(None).cast("string")
-    bounds = []
-    for s in NAMES:
-        bounds.append((s, edge, edge + F.col(f"_free_{s}")))
-        edge = edge + F.col(f"_free_{s}")
-    for s, low, high in reversed(bounds):
-        due = F.when((F.col("_turn") >= low) & (F.col("_turn") < high), F.lit(s)).otherwise(due)
-    settled = turn.withColumn("_due", due)
-    blocked = F.lit(False)
-    for s in NAMES:
-        blocked = blocked | ((F.col("_due") == s) & F.col(f"_no_{s}"))
-    choice = F.when(F.col("_due").isNull(), F.when(F.col("_queue") != "none", F.col("_queue"))).when(~blocked, F.col("_due")).otherwise(
-        F.when(F.col("_queue") != "none", F.col("_queue"))
-    )
-    # An expelled row due for a split that excludes it goes to another split, whose earliest free row goes there.
-    via = F.coalesce(*[F.when((F.col("_due") != s) & ~F.col(f"_no_{s}"), F.lit(s)) for s in NAMES])
-    swap = F.when((F.col("_queue") == "none") & blocked, via)
-    moved = settled.select(*keys, *series.order, choice.alias("_new"), "_due", swap.alias("_via"), F.lit(True).alias("_moved"))
-    done = placed.where(F.col("_at") != "lost").join(cut_lineage(moved), [*keys, *series.order], "left")
-    final = F.when(F.col("_moved"), F.col("_new")).when(F.col("_at") != "none", F.col("_at"))
-    done = done.withColumn("_final", final)
-    ranked_via = series.renamed(key=(*keys, "_via"))
-    wanting = with_position(done.where("_final IS NULL AND _via IS NOT NULL").select(*keys, *series.order, "_via", "_due"), ranked_via, "_k")
-    stays = F.col("_final").isNotNull() & F.col("_pin").isNull() & F.col("_moved").isNull() & ~(F.col("_no_train") | F.col("_no_val") | F.col("_no_test"))
-    giving = with_position(done.where(stays).select(*keys, *series.order, F.col("_final").alias("_via")), ranked_via, "_k")
-    donors = giving.select(*keys, "_via", "_k", *[F.col(c).alias(f"_give_{c}") for c in series.order])
-    pairs = wanting.join(donors, [*keys, "_via", "_k"])
-    swaps = pairs.select(*keys, *series.order, F.col("_via").alias("_swapped")).unionByName(
-        pairs.select(*keys, *[F.col(f"_give_{c}").alias(c) for c in series.order], F.col("_due").alias("_swapped"))
-    )
-    settled_rows = done.join(swaps, [*keys, *series.order], "left").withColumn(split, F.coalesce("_swapped", "_final"))
-    chosen = settled_rows.where(F.col(split).isNotNull()).select(*keys, *series.order, split)
-    return df.drop(split).join(chosen, [*keys, *series.order])
+    short = {s: F.col(f"_goal_{s}") - F.col(f"_have_{s}") for s in NAMES}
+
+    def amount(i: int, step: Step) -> Column:
+        first = reduce(lambda a, b: a & b, (short[s] <= 0 for s in NAMES[: NAMES.index(step.to)]), F.lit(True))
+        limits = [short[step.to], F.col(f"_n{i}")]
+        if step.via:
+            # A swap keeps the size of the other split, which must not be above its own.
+            first, limits = first & (short[step.via] >= 0), [*limits, F.col(f"_waits_{step.via}")]
+        elif step.source != "none":
+            limits.append(-short[step.source])
+        return F.when(first, F.greatest(F.least(*limits), F.lit(0))).otherwise(0)
+
+    return counts.select(*keys, *[amount(i, step).alias(f"_m{i}") for i, step in enumerate(steps)])
+
+
+def moved(rows: DataFrame, amounts: DataFrame, series: Series, step: Step) -> DataFrame:
+    """The rows after one step: the first `_m` of each kind, by time, go where the step sends them."""
+    kind = F.when(step.giving, F.lit("give"))
+    if step.via:
+        kind = kind.when((F.col("_at") == "none") & may_enter(step.via), F.lit("take"))
+    ranked = with_position(rows.withColumn("_kind", F.coalesce(kind, F.lit("stay"))), series.renamed(key=(*series.key, "_kind")), "_rank")
+    due = attach(ranked, amounts, list(series.key))
+    goes = F.coalesce(F.col("_rank") < F.col("_m"), F.lit(False))
+    place = F.when(goes & (F.col("_kind") == "give"), F.lit(step.to)).when(goes & (F.col("_kind") == "take"), F.lit(step.via)).otherwise(F.col("_at"))
+    return due.withColumn("_at", place).select(*rows.columns)
 
 
 def quality_gates(

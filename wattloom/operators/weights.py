@@ -28,7 +28,7 @@ def inverse_density(
     group = [*keys, "_bin"]
     table = binned.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("_hi") <= F.col("_lo")).alias("_flat"))
     table = cut_lineage(table.withColumn("_w", 1.0 / F.greatest(F.col("_n").cast("double"), F.lit(1e-3))))
-    counted = running_counts(table, keys, "_w", {"n": F.sum("_n")}, slices=2)
+    counted = running_counts(table, keys, "_w", {"n": F.sum("_n")})
     rank = (F.col("n_all") - 1) * F.lit(cap_quantile)
 
     def at(r: Column) -> Column:
