@@ -93,6 +93,24 @@ def test_event_windows(spark):
     assert {(r.u, r.e): (r.win_min, r.win_absmax, r.win_n) for r in out.itertuples()} == want
 
 
+@pytest.mark.parametrize("before, after", [(0, 0), (1_200, 600), (7_200, 86_400)])
+def test_dense_event_windows(spark, before, after):
+    """Windows that overlap by the hundred, events on readings, repeated events, no readings at all."""
+    bus, ev = sample(400, 5), sample(150, 6)[["u", "ts"]].rename(columns={"ts": "e"})
+    ev = pd.concat([ev, ev.head(5), bus[["u", "ts"]].rename(columns={"ts": "e"}).head(40), pd.DataFrame({"u": ["lonely"], "e": ev.e[:1].to_numpy()})])
+    frame = series_frame(spark, bus.drop(columns="i"))
+    out = event_windows(series_frame(spark, ev), frame, ["u"], "e", "ts", "x", before, after).toPandas()
+    want = {}
+    for r in ev.itertuples():
+        w = bus[(bus.u == r.u) & (bus.ts >= r.e - pd.Timedelta(seconds=before)) & (bus.ts <= r.e + pd.Timedelta(seconds=after))]
+        if len(w):
+            want[(r.u, r.e)] = (w.x.min(), w.x.abs().max(), len(w))
+    assert len(out) == len(want)
+    assert {(r.u, r.e): (r.win_min, r.win_absmax, r.win_n) for r in out.itertuples()} == want
+    assert event_windows(series_frame(spark, ev), frame.limit(0), ["u"], "e", "ts", "x", before, after).count() == 0
+    assert event_windows(series_frame(spark, ev).limit(0), frame, ["u"], "e", "ts", "x", before, after).count() == 0
+
+
 def test_attach_keeps_hot_key_rows(spark):
     big = spark.range(2_000).withColumn("k", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")))
     small = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))

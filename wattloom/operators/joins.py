@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.timeparse import floor_to, shift
-from wattloom.operators.series import Series, attach, chunk_of, events_around, seconds_between
+from wattloom.operators.series import Series, attach, events_around, seconds_between, with_position
+from wattloom.session import cut_lineage
 
 
 def nearest(rows: DataFrame, readings: DataFrame, series: Series, columns: Sequence[str], reading_ts: str) -> DataFrame:
@@ -87,24 +88,46 @@ def event_windows(
     before_s: int,
     after_s: int,
 ) -> DataFrame:
-    """Minimum and largest magnitude of `value` in [event − before, event + after] per event.
+    """Minimum and largest magnitude of `value` in [event − before, event + after] per distinct event.
 
-    Equi-join on (key, time bucket): an event visits the few buckets its window touches, so a hot
-    key is spread over its buckets. Readings are partially aggregated per event before the shuffle.
+    No reading meets an event. The edges of all windows of a key cut time into intervals; readings find their interval
+    by an as-of join and are aggregated per interval. A tree over the intervals, each level with half the nodes of the
+    one below, then answers a window from at most two nodes a level, however many readings or windows overlap.
+    Events without a reading in their window, and rows without a key, a time or a value, are left out.
     """
-    width = before_s + after_s
-    low = shift(F.col(event_ts), F.lit(-before_s * 1_000_000))
-    high = shift(F.col(event_ts), F.lit(after_s * 1_000_000))
-    spread = events.select(*keys, event_ts).withColumn(
-        "_bucket", F.explode(F.sequence(chunk_of(low, width), chunk_of(high, width)))
+    keys = list(keys)
+    spans = events.select(*keys, event_ts).distinct().withColumns(
+        {"_low": shift(F.col(event_ts), F.lit(-before_s * 1_000_000)), "_end": shift(F.col(event_ts), F.lit(after_s * 1_000_000 + 1))}
     )
-    held = readings.where(F.col(value).isNotNull()).select(
-        *keys, F.col(reading_ts).alias("_at"), F.col(value).alias("_v"), chunk_of(F.col(reading_ts), width).alias("_bucket")
-    )
-    joined = spread.join(held, [*keys, "_bucket"]).where(F.col("_at").between(low, high))
-    return joined.groupBy(*keys, event_ts).agg(
-        F.min("_v").alias("win_min"), F.max(F.abs("_v")).alias("win_absmax"), F.count(F.lit(1)).alias("win_n")
+    edges = spans.select(*keys, F.explode(F.array("_low", "_end")).alias("_edge")).distinct()
+    numbered = cut_lineage(with_position(edges, Series(tuple(keys), "_edge"), "_no"))
+    for edge, no in (("_low", "_from"), ("_end", "_to")):
+        spans = spans.join(numbered.withColumnsRenamed({"_edge": edge, "_no": no}), [*keys, edge])
+    spans = cut_lineage(spans.select(*keys, event_ts, "_from", "_to"))
+    widest = spans.agg(F.max(F.col("_to") - F.col("_from"))).first()[0] or 0
+    levels = list(range(max(1, widest.bit_length())))
+
+    held = readings.where(F.col(value).isNotNull()).select(*keys, F.col(reading_ts).alias("_at"), F.col(value).alias("_v"))
+    placed = events_around(held, numbered, Series(tuple(keys), "_at"), ("_no",), "_edge").select(*keys, F.col("prev_event._no").alias("_no"), "_v")
+    leaves = placed.where("_no IS NOT NULL").groupBy(*keys, "_no").agg(
+        F.min("_v").alias("_min"), F.max(F.abs("_v")).alias("_max"), F.count(F.lit(1)).alias("_n")
     )
+    combined = [F.min("_min").alias("_min"), F.max("_max").alias("_max"), F.sum("_n").alias("_n")]
+    raised = F.array(*(F.struct(F.lit(k).alias("_level"), F.shiftright("_no", k).alias("_node")) for k in levels))
+    nodes = leaves.select(*keys, F.inline(raised), "_min", "_max", "_n").groupBy(*keys, "_level", "_node").agg(*combined)
+    cover = F.array_compact(F.array(*(n for k in levels for n in cover_at(F.col("_from"), F.col("_to"), k))))
+    asked = spans.select(*keys, event_ts, F.inline(cover))
+    met = asked.join(nodes, [*keys, "_level", "_node"]).groupBy(*keys, event_ts).agg(*combined)
+    return met.withColumnsRenamed({"_min": "win_min", "_max": "win_absmax", "_n": "win_n"})
+
+
+def cover_at(start: Column, end: Column, level: int) -> list[Column]:
+    """Tree nodes of one level in the smallest cover of the intervals [start, end): none, one or two."""
+    left, right = F.shiftright(start + F.lit((1 << level) - 1), level), F.shiftright(end, level)
+    return [
+        F.when((left < right) & (left % 2 == 1), F.struct(F.lit(level).alias("_level"), left.alias("_node"))),
+        F.when((left < right) & (right % 2 == 1), F.struct(F.lit(level).alias("_level"), (right - 1).alias("_node"))),
+    ]
 
 
 def overlay(users: DataFrame, config: DataFrame, fields: Sequence[str], defaults: dict, key: str = "user_id") -> DataFrame:
