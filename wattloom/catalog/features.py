@@ -284,8 +284,13 @@ def label_correlations(spark: SparkSession, sf: str) -> DataFrame:
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:
     """Every family at once. Aligned rows and weather are written once, as every later step reads them."""
     rows = cut_lineage(hourly(spark, sf))
+    return feature_rows(spark, sf, rows, rows)
+
+
+def feature_rows(spark: SparkSession, sf: str, rows: DataFrame, train: DataFrame) -> DataFrame:
+    """All features of the rows, with the temperature table of the training rows."""
     weather = cut_lineage(_weather15(spark, sf))
-    tempered = with_weather(rows, weather, ["site_id"], "ts")
+    tempered = with_weather(train, weather, ["site_id"], "ts")
     lut = build_lut(tempered.select("site_id", "temp_2m", "w"), ["site_id"], "temp_2m", "w")
     return build_features(rows, SITE_HOURS, ["w", "v"], spike="d", weather=weather, place=["site_id"], lut=lut, physics=True)
 

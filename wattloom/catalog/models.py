@@ -2,90 +2,110 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.catalog.features import feature_table
+from wattloom.catalog.drifts import _report as site_drift
+from wattloom.catalog.features import feature_rows
+from wattloom.catalog.guards import _meta as guard_meta
+from wattloom.catalog.guards import spikes
 from wattloom.catalog.registry import query
 from wattloom.catalog.scores import SQL_LONG, long_scores
-from wattloom.catalog.views import SITE_HOURS, SQL_BUS, SQL_PRED, bus, pred, rounded, settled, sql_round
+from wattloom.catalog.views import SITE_HOURS, SQL_BUS, SQL_PRED, branch, bus, hourly, pred, rounded, settled, sql_round
+from wattloom.operators import drift
+from wattloom.operators.guard import scaled_threshold
 from wattloom.operators.metrics import all_metrics, metric_rows
+from wattloom.operators.reports import label_correlation, top_columns
 from wattloom.operators.splits import split_by_day
-from wattloom.plans import training
+from wattloom.plans import inference, training
 from wattloom.plans.bands import GRID, grid_points, leaf_table, leaf_union
 from wattloom.session import cut_lineage
 
-# Few, shallow trees: the point of these queries is the whole path over the whole table.
-SMALL = training.Settings(trees=4, depth=3, forest_trees=4, forest_depth=4, correction_trees=2, min_on=1, fill=1)
-INPUTS = ["w_lag1", "w_lag2", "v", "w_rm4", "w_ema_24", "hour", "sin_hour", "cos_hour", "temp_2m", "power_recent_24h_mean"]
-_LABELLED: dict[tuple[str, str], DataFrame] = {}
-_SCORED: dict[tuple[str, str], DataFrame] = {}
-_MODELS: dict[tuple[str, str], training.TwoStageModel] = {}
+LABELS = ("y", "state", "split", "season")
+TOP = 25
+# Columns that the control model does without.
+DRIFT = ("power_recent_24h_mean", "power_recent_7d_mean", "power_deviation_24h", "temp_power_residual")
 
 
-def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    """Features, power, ON state, season and split of every site hour; the input of all fits, written once."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _LABELLED:
-        _LABELLED[key] = _labelled(spark, sf)
-    return _LABELLED[key]
+@dataclass
+class Fitted:
+    rows: DataFrame
+    features: list[str]
+    model: training.TwoStageModel
+    scored: DataFrame
+
+
+_FITTED: dict[tuple[str, str], Fitted] = {}
+
 
+def labelled(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """Site hours with label, split, season and features, and the names of the chosen features.
 
-def _labelled(spark: SparkSession, sf: str) -> DataFrame:
-    rows = feature_table(spark, sf)
-    typed = rows.select("site_id", "ts", F.col("w").alias("y"), *INPUTS).withColumn("state", (F.col("y") >= 50).cast("int"))
-    split = split_by_day(training.with_season(typed, "ts"), ["site_id"], "ts", full_day_rows=20)
-    return cut_lineage(split)
+    Features come from the bus, the label `y` from the branch. Days are split first: the temperature table and the
+    choice of columns see training days alone.
+    """
+    label = branch(spark, sf, 60).select("site_id", F.col("time").alias("ts"), F.coalesce("p1", F.lit(0.0)).alias("y"))
+    split = split_by_day(hourly(spark, sf).join(label, ["site_id", "ts"]), ["site_id"], "ts", full_day_rows=20)
+    held = cut_lineage(training.with_season(split, "ts").withColumn("state", (F.col("y") >= 50).cast("int")))
+    table = feature_rows(spark, sf, held.select("site_id", "ts", "w", "v", "d_min5", "d_max5"), held.where("split = 'train'"))
+    features = [c for c in table.columns if c not in ("site_id", "ts")]
+    wide = cut_lineage(table.fillna(0.0, features).join(held.select("site_id", "ts", *LABELS), ["site_id", "ts"]))
+    chosen = top_columns(label_correlation(wide.where("split = 'train'"), features, "y"), TOP)
+    # The correction reads these three beside the chosen ones.
+    return wide.select("site_id", "ts", *LABELS, *dict.fromkeys([*chosen, "hour", "temp_2m", "power_recent_24h_mean"])), chosen
 
 
-def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Fit on the training days, score all days; kept as a written table for the other model queries."""
+def fitted(spark: SparkSession, sf: str) -> Fitted:
+    """The model of the training days and the scores of all days, fitted once for the queries of a session."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _SCORED:
-        rows = labelled(spark, sf)
-        model = training.fit(rows.where("split = 'train'"), rows.where("split = 'val'"), INPUTS, SITE_HOURS, SMALL)
-        _MODELS[key] = model
-        _SCORED[key] = cut_lineage(training.score(rows, model, SITE_HOURS, SMALL))
-    return _SCORED[key]
+    if key not in _FITTED:
+        rows, features = labelled(spark, sf)
+        model = training.fit(rows.where("split = 'train'"), rows.where("split = 'val'"), features, SITE_HOURS)
+        meta = cut_lineage(guard_meta(spark, sf))
+        readings = spikes(spark, sf)
+        thresholds = cut_lineage(scaled_threshold(meta, readings, ["site_id"], "d73"))
+        guard = inference.Guard(readings, thresholds, "event_time", "d87", minutes=60, lookahead_s=3_600)
+        decisions = cut_lineage(drift.switch_decision(site_drift(spark, sf), ["site_id"], calibrated=True))
+        _FITTED[key] = Fitted(rows, features, model, cut_lineage(inference.infer(rows, model, SITE_HOURS, guard=guard, decisions=decisions)))
+    return _FITTED[key]
 
 
 @query()
 def two_stage_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """ML-1..8, ML-16, ML-18: every track of every site hour."""
-    columns = ["y", "p_on", "state_pred", "y_raw", "y_low", "y_high", "y_calib", "y_fallback", "y_rf", "y_naive_zero", "y_naive_mean"]
-    return scored(spark, sf).select("site_id", "ts", "split", "season", "state", *columns)
+    columns = ["y", "p_on", "state_pred", "suppressed", "y_raw", "y_low", "y_high", "y_calib", "y_final", "y_fallback", "y_rf", "y_naive_zero", "y_naive_mean"]
+    return fitted(spark, sf).scored.select("site_id", "ts", "split", "season", "state", *columns)
 
 
 @query()
 def track_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """ML-18: metrics per split and track."""
-    tracks = {"main": "y_raw", "main_calib": "y_calib", "fallback": "y_fallback", "rf": "y_rf", "naive_zero": "y_naive_zero", "naive_mean": "y_naive_mean"}
-    long = training.long_tracks(scored(spark, sf), ["site_id", "ts", "split", "y", "state", "state_pred"], tracks)
+    long = training.long_tracks(fitted(spark, sf).scored, ["site_id", "ts", "split", "y", "state", "state_pred"], inference.TRACKS)
     return metric_rows(all_metrics(long, ["split", "model"], "y", "y_pred", "state", "state_pred", step_h=1.0), ["split", "model"])
 
 
 @query()
 def model_sanity(spark: SparkSession, sf: str) -> DataFrame:
     """ML-19."""
-    return training.sanity(scored(spark, sf), ["site_id"], "y", "y_calib", "state", "state_pred", min_f1=0.3)
+    return training.sanity(fitted(spark, sf).scored, ["site_id"], "y", "y_calib", "state", "state_pred")
 
 
 @query()
 def feature_importances(spark: SparkSession, sf: str) -> DataFrame:
     """TOP-4."""
-    rows = scored(spark, sf)
-    return training.importances(_MODELS[(spark.sparkContext.applicationId, sf)].classifier, INPUTS, rows)
+    done = fitted(spark, sf)
+    return training.importances(done.model.classifier, done.features, done.rows)
 
 
 @query()
 def control_model(spark: SparkSession, sf: str) -> DataFrame:
     """ML-13, ML-14, ML-17: two averaged classifiers on the features without weather and drift, calibrated on validation days."""
-    settings = training.Settings(
-        trees=2, forest_trees=2, forest_depth=3, correction_trees=1, ensemble=True, probability_calibration="isotonic", season_calibration="linear"
-    )
-    inputs = [c for c in INPUTS if c not in ("temp_2m", "power_recent_24h_mean")]
-    rows = labelled(spark, sf)
+    settings = training.Settings(ensemble=True, probability_calibration="platt", season_calibration="linear")
+    rows, features = labelled(spark, sf)
+    inputs = [c for c in features if not c.startswith(("temp", "cooling", "heating")) and c not in DRIFT]
     model = training.fit(rows.where("split = 'train'"), rows.where("split = 'val'"), inputs, SITE_HOURS, settings)
     out = training.score(rows, model, SITE_HOURS, settings)
     return out.select("site_id", "ts", "split", "p_on", "state_pred", "y_raw", "y_season")
