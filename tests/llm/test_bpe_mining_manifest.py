@@ -65,6 +65,17 @@ def test_words_equal_the_library(tokenizer):
     assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_parts_by_words(tokenizer):
+    """Parts whose inner tokens come from the word cache join to the ids of the whole."""
+    rng, to_parts = random.Random(5), bpetree.encoder(VOCABULARY)
+    for pieces in (ODD, ["a", "b ", "ing", "'s", "é", "中", "1"], ["ab", "c"]):
+        text = odd_text(rng, 9000, pieces)
+        tree = bpetree.Tree(lambda t: bpetree.encoded(tokenizer, t))
+        for part in to_parts.parts(bpetree.halves(text, 2500)):
+            tree.add(part)
+        assert tree.whole().ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_round_trip_of_awkward_rows(spark, rows, docs, tokenizer, none):
     for leaf in (100, 2000):
         got = sorted(map(tuple, bpetree.round_trip(docs, VOCABULARY, leaf).collect()), key=str)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -22,11 +23,19 @@ from wattloom.llm.wordcache import WordCache, split_words
 LEAF = 32_768
 # Characters on either side of a join that are encoded first; doubled until both sides agree.
 WINDOW = 32
+# Spans of a part's tokens are known at least this many characters from either end.
+EDGE = 512
+# Words that a worker remembers.
+MOST_WORDS = 500_000
+BLANK = re.compile("[\t-\r ]")
 
 
 @dataclass
 class Part:
-    """A stretch of text and its tokens: ids, and the characters [start, end) each of them comes from."""
+    """A stretch of text and its tokens: ids, and the characters [start, end) each of them comes from.
+
+    A token far from both ends may have an empty span, which no seam runs along.
+    """
 
     text: str
     ids: np.ndarray
@@ -131,6 +140,11 @@ class Words(WordCache):
         self.ends = np.zeros(1 + max(vocabulary.values(), default=0), bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
+    def numbers(self, distinct: list[bytes], at: np.ndarray) -> np.ndarray:
+        if len(self.index) > MOST_WORDS:
+            self.clear()
+        return super().numbers(distinct, at)
+
     def ids_of(self, new: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """Words of letters are encoded many at a time, told apart by their end marks, and with them the stems of
         words that end with a comma or a full stop, which is a run of its own; the others one by one."""
@@ -147,12 +161,13 @@ class Words(WordCache):
         runs = list(stems)
         groups = [runs[i : i + 200] for i in range(0, len(runs), 200)]
         for group, got in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
-            own = np.array(got.ids, np.int64)
+            row = got.ids  # makes a list each time it is read
+            own = np.array(row, np.int64)
             ends = np.flatnonzero(self.ends[own]) + 1
             whole = len(ends) == len(group) and ends[-1] == len(own)
             for stem, a, z in zip(group, [0, *ends[:-1].tolist()], ends.tolist(), strict=True) if whole else ():
                 for i, mark in stems[stem]:
-                    ids[i] = got.ids[a:z] + self.marks[mark] if mark else got.ids[a:z]
+                    ids[i] = row[a:z] + self.marks[mark] if mark else row[a:z]
             odd += [] if whole else [i for stem in group for i, _ in stems[stem]]
         for i, got in zip(odd, self.tokenizer.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False), strict=True):
             ids[i] = got.ids
@@ -168,19 +183,44 @@ class Encoder:
         self.tokenizer.no_truncation()
         plain = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("a b", "a", "b", "a\n\t b ")]
         # Only where white space leaves no trace may words be encoded apart.
-        self.words = Words(self.tokenizer) if plain[0] == plain[1] + plain[2] == plain[3] and self.tokenizer.get_vocab().get("a</w>") is not None else None
+        lower = self.tokenizer.encode("A", add_special_tokens=False).ids == plain[1]
+        self.words = Words(self.tokenizer) if plain[0] == plain[1] + plain[2] == plain[3] and lower and self.tokenizer.get_vocab().get("a</w>") is not None else None
 
     def short(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if self.words is None:
             return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts.fill_null("").to_pylist(), add_special_tokens=False)]
-        distinct, at, counts = split_words(texts)
+        # A-Z is put in lower case here, as fewer words are then new; not where a mark could compose with the letter, or
+        # where it could make a special token.
+        as_given = pc.match_substring_regex(texts.fill_null(""), "[\u0300-\u036f]|<\\|")
+        distinct, at, counts = split_words(pc.if_else(as_given, texts, pc.ascii_lower(texts)))
         ids, ends = self.words.gathered(self.words.numbers(distinct, at))
         raw = memoryview(ids.astype("<u4").tobytes())
         cuts = (ends[np.concatenate([[0], np.cumsum(counts)])] * 4).tolist()
         return [bytes(raw[a:z]) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+    def parts(self, texts: list[str]) -> list[Part]:
+        """Each text with its tokens; what lies between two blanks far from its ends is encoded by words."""
+        cuts = []
+        for t in texts:
+            first = BLANK.search(t, EDGE) if self.words is not None else None
+            last = max(t.rfind(c, 0, max(0, len(t) - EDGE)) for c in "\t\n\x0b\x0c\r ") if first else -1
+            cuts.append((first.start(), last) if first and first.start() < last else None)
+        between = [t[c[0] : c[1]] for t, c in zip(texts, cuts, strict=True) if c]
+        inner = iter(self.short(pa.array(between, pa.string())) if between else ())
+        got = []
+        for t, c in zip(texts, cuts, strict=True):
+            if c is None:
+                got.append(encoded(self.tokenizer, t))
+                continue
+            head, tail, ids = encoded(self.tokenizer, t[: c[0]]), encoded(self.tokenizer, t[c[1] :]), np.frombuffer(next(inner), "<u4").astype(np.int64)
+            empty = np.full(len(ids), c[0])
+            columns = (head.ids, ids, tail.ids), (head.start, empty, tail.start + c[1]), (head.end, empty, tail.end + c[1])
+            got.append(Part(t, *(np.concatenate(x) for x in columns)))
+        return got
+
+
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -200,7 +240,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
 
     def here(batches):
         to_ids = encoder(vocabulary)
-        for b in chunks(batches, 4_000_000, text):
+        for b in chunks(batches, 2_000_000, text):
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(to_ids.short(b.column(text)), pa.binary())], names=[*b.schema.names, ids])
 
     long_text = F.coalesce(F.length(text), F.lit(0)) > leaf
@@ -226,9 +266,8 @@ def in_parts(docs: DataFrame, vocabulary: str, text: str, ids: str, leaf: int) -
                 yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(at, pa.int32()), pa.array(parts, pa.string())], names=PART.names)
 
     def tokens(batches):
-        tokenizer = encoder(vocabulary).tokenizer
         for b in chunks(batches, 2_000_000):
-            got = [encoded(tokenizer, t) for t in b.column("text").to_pylist()]
+            got = encoder(vocabulary).parts(b.column("text").to_pylist())
             sides = [pa.array([pack(getattr(p, side)) for p in got], pa.binary()) for side in ("ids", "start", "end")]
             yield pa.RecordBatch.from_arrays([*b.columns, *sides], names=TOKENS.names)
 
@@ -264,7 +303,7 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "dec
         known = tokenizer.get_vocab(with_added_tokens=True)
         tokens = [tokenizer.id_to_token(i) for i in range(1 + max(known.values(), default=0))]
         table, there = pa.array(tokens, pa.string()), np.array([t is not None for t in tokens])
-        for b in chunks(batches, 4_000_000, ids):
+        for b in chunks(batches, 2_000_000, ids):
             rows = [np.frombuffer(r or b"", "<u4").astype(np.int64) for r in b.column(ids).to_pylist()]
             if tokenizer.decoder is None:
                 rows = [r[there[np.minimum(r, len(there) - 1)] & (r < len(there))] for r in rows]
