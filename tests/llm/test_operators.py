@@ -214,6 +214,15 @@ def test_one_of_each(docs, rows, none):
     assert dartminhash.one_of_each(none).count() == 0
 
 
+def test_lines_of_one_template_stay(spark):
+    """Every two of these lines differ in three of ten words: similarity 0.7, below the limit."""
+    lines = [" ".join(["alpha", f"x{i}", "beta", "gamma", f"y{i}", "delta", "eps", f"z{i}", "eta", "theta"]) for i in range(400)]
+    near = [lines[5].replace("eps", "other"), lines[7] + " more"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines + near)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in fuzzylines.dedup_lines(df).collect()}
+    assert [i for i, n in got.items() if n] == [400, 401]
+
+
 def test_lines(spark, rows):
     long = " ".join(f"word{i} other{i}" for i in range(60))
     table = [(r[0], r[1], 9) for r in rows if r[0] != 107] + [(300, f"{long}\nshort\n{long.upper()}!", 9), (301, long.replace("word30", "word31") + "\nno\nno", 9)]
