@@ -118,5 +118,11 @@ def test_weather_fallback_and_upsert(spark, tmp_path):
     merged = wx.merge_weather(stored, clim, ["place"])
     assert merged.count() == clim.count()
     assert merged.where("place = 'x'").agg({"temperature_2m": "min"}).first()[0] > 100
-    wx.save_weather(merged, str(tmp_path / "w"))
-    assert spark.read.parquet(str(tmp_path / "w")).count() == merged.count()
+    base = str(tmp_path / "w")
+    assert wx.stored_weather(spark, base) is None
+    assert [wx.save_weather(stored, base), wx.save_weather(clim, base)] == [1, 2]
+    columns = merged.columns
+    assert sorted(wx.stored_weather(spark, base).select(columns).collect()) == sorted(merged.collect())
+    sites = clim.withColumnRenamed("place", "site")
+    wx.save_weather(sites, str(tmp_path / "s"), keys=("site",))
+    assert wx.stored_weather(spark, str(tmp_path / "s")).where("site = 'y'").count() == sites.where("site = 'y'").count()

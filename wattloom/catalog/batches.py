@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from wattloom.catalog.views import as_counts, pred, settled, sql_round, table
 from wattloom.operators import joins, metrics
 from wattloom.operators.splits import quality_gates
 from wattloom.plans.batch import stage_table, user_status
+from wattloom.session import checkpoint_dir
 from wattloom.sources import config, discovery, meters, state
 
 # One config entry per customer, written as JSON; some values are out of range, some missing.
@@ -247,6 +250,37 @@ def state_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return settled(_state(spark, sf).select("user_id", "status", "success", "finished_at", "duration_s", "run_id"), 5, "duration_s")
 
 
+@query(f"SELECT user_id, status, success, finished_at, {sql_round('duration_s', 5)} AS duration_s, run_id, version FROM ({SQL_STATE}), (SELECT 2 AS version)")
+def state_two_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-24: two rounds of upserts into a stored table; each is a version behind a pointer."""
+    base = f"{checkpoint_dir(spark)}/state-{uuid.uuid4().hex}"
+    log = runs_log(spark, sf).withColumn("started_at", F.col("finished_at"))
+    edge = F.lit("1999-01-01").cast("timestamp_ntz")
+    for rows in (log.where(F.col("finished_at") < edge), log.where(F.col("finished_at") >= edge)):
+        version = state.store_state(rows, base)
+    out = state.stored_state(spark, base).select("user_id", "status", "success", "finished_at", "duration_s", "run_id", F.lit(version).alias("version"))
+    return settled(out, 5, "duration_s")
+
+
+@query(
+    f"""SELECT CASE WHEN CAST(run_id AS BIGINT) % 11 <> 0 THEN user_id END AS user_id, status, CASE WHEN CAST(run_id AS BIGINT) % 7 <> 0 THEN {sql_round('duration_s', 4)} END AS duration_s,
+               CASE WHEN CAST(run_id AS BIGINT) % 5 <> 0 THEN finished_at END AS finished_at, run_id,
+               CAST(run_id AS BIGINT) % 11 = 0 OR CAST(run_id AS BIGINT) % 7 = 0 OR CAST(run_id AS BIGINT) % 5 = 0 AS damaged FROM ({SQL_RUNS})"""
+)
+def state_damage(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-23: a state file with values of the wrong type, rows without a user, other columns in another order."""
+    path = f"{checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}"
+    number = F.col("run_id").cast("long")
+    runs_log(spark, sf).select(
+        "run_id", F.lit("x").alias("machine"),
+        F.when(number % 7 == 0, "n/a").otherwise(F.col("duration_s").cast("string")).alias("duration_s"),
+        F.when(number % 11 != 0, F.col("user_id")).alias("user_id"),
+        F.when(number % 5 == 0, "yesterday").otherwise(F.col("finished_at").cast("string")).alias("finished_at"), "status",
+    ).write.option("header", True).csv(path)
+    seen = state.inspect_state(spark, path).select("user_id", "status", "duration_s", "finished_at", "run_id", "damaged")
+    return settled(seen, 4, "duration_s")
+
+
 @query(f"SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT user_id FROM ({SQL_STATE}) WHERE status IN ('ok', 'soft_skip'))")
 def resume_users(spark: SparkSession, sf: str) -> DataFrame:
     """JOI-12."""

@@ -108,6 +108,15 @@ def expert_summary(df: DataFrame, season: str = "season", label: str = "y", stat
     return wide.withColumn("status", F.when(F.col("n_on") >= MIN_EXPERT_ROWS, "trained").otherwise("fallback"))
 
 
+# A boosting round passes over all partitions several times; small ones cost more to schedule than to read.
+ROWS_PER_TASK = 50_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """The rows in as many partitions as their number calls for, at most as many as they have."""
+    return df.coalesce(max(1, -(-df.count() // ROWS_PER_TASK)))
+
+
 def fit(
     train: DataFrame, val: DataFrame, features: Sequence[str], series: Series, settings: Settings = Settings(), weight: str | None = None,
 ) -> TwoStageModel:
@@ -115,6 +124,7 @@ def fit(
 
     Give it materialised tables (see `session.cut_lineage`): tree fits read them many times.
     """
+    train = sized(train)
     prepare = assemble(train, features)
     weights = {"weightCol": weight} if weight else {}
     ready = prepare.transform(train)

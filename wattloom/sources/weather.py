@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import month_mean_temp
 from wattloom.operators.resample import hourly_to_quarter
-from wattloom.session import cut_lineage
 from wattloom.sources.meters import first_per_key
+from wattloom.sources.versions import read_version, upsert_version
 
 COLUMNS = ("temperature_2m", "apparent_temperature", "relative_humidity_2m")
 MIN_COVERAGE = 0.5
@@ -71,7 +71,15 @@ def merge_weather(stored: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
     return first_per_key(both, [*keys, "time"], ["_age"]).drop("_age")
 
 
-def save_weather(merged: DataFrame, path: str) -> None:
-    """Replace only the touched place-years of the stored table."""
-    dated = cut_lineage(merged.withColumn("year", F.year("time")))
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("place", "year").parquet(path)
+def save_weather(new: DataFrame, path: str, keys: Sequence[str] = ("place",)) -> int:
+    """Add new hours to the stored table, whose hours keep their values, as its next version; partitioned by the keys and year.
+
+    Replaced as a whole behind a pointer: a reader sees the old hours or all of the new ones.
+    """
+    dated = new.withColumn("year", F.year("time"))
+    return upsert_version(dated, path, [*keys, "time"], [], keep="old", partition_by=[*keys, "year"])
+
+
+def stored_weather(spark: SparkSession, path: str) -> DataFrame | None:
+    held = read_version(spark, path)
+    return None if held is None else held.drop("year")
