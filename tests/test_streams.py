@@ -2,7 +2,7 @@ import pandas as pd
 import pytest
 from helpers import series_frame
 
-from wattloom.streaming.jobs import drain, stream_bins, stream_daily_counts, stream_guard, stream_running_stats
+from wattloom.streaming.jobs import drain, drain_bins, drain_late, stream_bins, stream_daily_counts, stream_guard, stream_running_stats
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +54,26 @@ def test_running_stats_merge_days(two_days):
     assert out.n_seen.tolist() == [288]
     assert out["mean"].tolist() == pytest.approx([first.mean()])
     assert out["std"].tolist() == pytest.approx([first.std()])
+
+
+def test_idle_source_closes_its_last_bins(two_days):
+    stream, pdf = two_days
+    out = drain_bins(stream(), ["u"], "ts", ["w"], ["w"]).toPandas().sort_values("ts").reset_index(drop=True)
+    want = pdf.set_index("ts").w.resample("15min").agg(["mean", "max"])
+    assert out.u.eq("a").all() and out.ts.tolist() == want.index.tolist()
+    assert out.w.tolist() == pytest.approx(want["mean"].tolist())
+    assert out.w_max5.tolist() == want["max"].tolist()
+
+
+def test_late_readings_are_kept_apart(spark, tmp_path):
+    """Three batches; the second holds readings from before the watermark that the first one set."""
+    times = [["10:00", "10:20", "12:00"], ["11:10", "11:16", "11:31", "12:05", "10:01"], ["11:45", "13:00"]]
+    for i, batch in enumerate(times):
+        pdf = pd.DataFrame({"u": "a", "ts": pd.to_datetime([f"2026-01-01 {t}" for t in batch]), "w": 1.0})
+        df = series_frame(spark, pdf)
+        df.coalesce(1).write.parquet(f"{tmp_path}/{i}")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("latestFirst", False).option("recursiveFileLookup", True).parquet(str(tmp_path))
+    late = drain_late(stream, "ts").toPandas().sort_values("ts")
+    # 12:00 less 30 minutes: bins that end by 11:30 are over, the one of 11:31 is not. Nothing of the third batch is late.
+    assert late.ts.dt.strftime("%H:%M").tolist() == ["10:01", "11:10", "11:16"]
+    assert late.batch.nunique() == 1

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wattloom.catalog.registry import query
 from wattloom.catalog.views import SQL_BUS, rounded
 from wattloom.session import configure
-from wattloom.streaming.jobs import drain, read_events_stream, stream_bins, stream_daily_counts, stream_guard, stream_running_stats
+from wattloom.streaming.jobs import drain, drain_bins, read_events_stream, stream_daily_counts, stream_guard, stream_running_stats
 
 # The watermark stays behind the newest reading, so windows that end after it are not written.
 SQL_MARK = "(SELECT date_trunc('millisecond', MAX(ts)) FROM events)"
@@ -24,12 +24,13 @@ def _readings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT event_type AS site_id, time_bucket(INTERVAL 15 MINUTE, ts) AS ts, ROUND(AVG(value), 6) AS d73,
+    """SELECT event_type AS site_id, time_bucket(INTERVAL 15 MINUTE, ts) AS ts, ROUND(AVG(value), 6) AS d73,
                MAX(value) AS d73_max5, MIN(value) AS d73_min5, MAX(ABS(value)) AS d73_absmax5
-        FROM events GROUP BY 1, 2 HAVING time_bucket(INTERVAL 15 MINUTE, MIN(ts)) + INTERVAL 15 MINUTE <= {SQL_MARK} - INTERVAL 30 MINUTE"""
+        FROM events GROUP BY 1, 2"""
 )
 def stream_bins_site(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(drain(stream_bins(_readings(spark, sf), ["site_id"], "ts", ["d73"], ["d73"])), 6, "d73")
+    """STR-1: every bin, the last ones closed by a beat."""
+    return rounded(drain_bins(_readings(spark, sf), ["site_id"], "ts", ["d73"], ["d73"]), 6, "d73")
 
 
 @query("SELECT user_id, CAST(ts AS DATE) AS date, COUNT(*) AS n_raw FROM events GROUP BY 1, 2")
@@ -56,11 +57,12 @@ def stream_guard_steps(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH days AS (SELECT event_type AS key, CAST(ts AS DATE) AS day, COUNT(*) AS n, SUM(value) AS s1, SUM(value * value) AS s2
                  FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= {SQL_MARK} - INTERVAL 1 HOUR GROUP BY 1, 2)
         SELECT key, day, CAST(SUM(n) OVER w AS BIGINT) AS n_seen, ROUND(SUM(s1) OVER w / SUM(n) OVER w, 6) AS mean,
-               ROUND(SQRT((SUM(s2) OVER w - (SUM(s1) OVER w) * (SUM(s1) OVER w) / SUM(n) OVER w) / (SUM(n) OVER w - 1)), 5) AS std
+               ROUND(SQRT((SUM(s2) OVER w - (SUM(s1) OVER w) * (SUM(s1) OVER w) / SUM(n) OVER w) / (SUM(n) OVER w - 1)), 5) AS std,
+               ROUND(list_reduce(list(s1 / n) OVER w, lambda e, x: 0.99 * e + 0.01 * x), 5) AS mean_ema
         FROM days WINDOW w AS (PARTITION BY key ORDER BY day)"""
 )
 def stream_running_stats_site(spark: SparkSession, sf: str) -> DataFrame:
     stats = drain(stream_running_stats(_readings(spark, sf), "site_id", "ts", "d73"))
-    return rounded(rounded(stats.drop("mean_ema"), 6, "mean"), 5, "std")
+    return rounded(rounded(stats, 6, "mean"), 5, "std", "mean_ema")
 
 

@@ -6,20 +6,41 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from wattloom.functions.timeparse import floor_to, shift
 from wattloom.session import checkpoint_dir
 
 
-def stream_bins(readings: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], spikes: Sequence[str] = (), minutes: int = 15, delay: str = "30 minutes") -> DataFrame:
-    """Tumbling bins in append mode: a bin is written once the watermark has passed its end."""
+def with_beats(readings: DataFrame, beats: DataFrame, ts: str) -> DataFrame:
+    """The readings and, beside them, rows of a time alone, marked `_beat`: a beat moves the watermark of an idle source."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in readings.schema.fields if f.name != ts]
+    times = beats.select(F.col("at").cast(readings.schema[ts].dataType).alias(ts), *nulls, F.lit(True).alias("_beat"))
+    return readings.withColumn("_beat", F.lit(False)).unionByName(times)
+
+
+def stream_bins(
+    readings: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], spikes: Sequence[str] = (), minutes: int = 15,
+    delay: str = "30 minutes", beats: DataFrame | None = None,
+) -> DataFrame:
+    """Tumbling bins in append mode: a bin is written once the watermark has passed its end.
+
+    The last bins of a source that falls silent stay open, until a row of the stream `beats` (see `close_bins`) carries a
+    later time. Beats open no bin.
+    """
+    if beats is not None:
+        readings = with_beats(readings, beats, ts)
     aggs = [F.avg(c).alias(c) for c in columns]
     for c in spikes:
         aggs += [F.max(c).alias(f"{c}_max5"), F.min(c).alias(f"{c}_min5"), F.max(F.abs(c)).alias(f"{c}_absmax5")]
     marked = readings.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    binned = marked.groupBy(*keys, F.window(ts, f"{minutes} minutes").alias("_win")).agg(*aggs)
+    only_beats = [F.min("_beat").alias("_beat")] if beats is not None else []
+    binned = marked.groupBy(*keys, F.window(ts, f"{minutes} minutes").alias("_win")).agg(*aggs, *only_beats)
+    if beats is not None:
+        binned = binned.where(~F.col("_beat")).drop("_beat")
     names = [c for c in binned.columns if c not in (*keys, "_win")]
     return binned.select(*keys, F.col("_win.start").cast("timestamp_ntz").alias("ts"), *names)
 
@@ -141,14 +162,66 @@ STATE_STORE = (
 )
 
 
-def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
+BEATS = "at TIMESTAMP_NTZ"
+MARKS = "number BIGINT, seen TIMESTAMP_NTZ"
+
+
+def beat_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The beats written to a folder, which is made if it is not there."""
+    spark.createDataFrame([], BEATS).write.mode("append").parquet(folder)
+    return spark.readStream.schema(BEATS).parquet(folder)
+
+
+def close_bins(spark: SparkSession, folder: str, after: Column) -> None:
+    """Write a beat: once read, all bins that end before `after` less the delay are closed. The caller decides that a source
+    is idle; readings older than that count as late from then on."""
+    spark.range(1).select(after.cast("timestamp_ntz").alias("at")).write.mode("append").parquet(folder)
+
+
+def drain_bins(readings: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], spikes: Sequence[str] = (), minutes: int = 15, delay: str = "30 minutes") -> DataFrame:
+    """All bins of the available input, the last ones too: the stream is drained, told that its source is idle, and drained again."""
+    spark = readings.sparkSession
+    base = f"{checkpoint_dir(spark)}/bins-{uuid.uuid4().hex}"
+    stream = stream_bins(readings, keys, ts, columns, spikes, minutes, delay, beat_stream(spark, f"{base}/beats"))
+    drain(stream, base=base)
+    close_bins(spark, f"{base}/beats", F.lit("9999-01-01"))
+    return drain(stream, base=base)
+
+
+def drain_late(readings: DataFrame, ts: str, minutes: int = 15, delay_s: int = 1_800) -> DataFrame:
+    """The readings that came too late for their bin, with the number of their batch: the side table of `stream_bins`.
+
+    A reading is late if its bin had ended by the watermark of its batch: the latest time of the batches before, less the
+    delay. The windowed aggregate itself goes by the watermark of one batch earlier, so it may still count a reading that is
+    named here. The latest time of each batch is a row of a small table; a batch that is run again writes the same rows.
+    """
+    spark = readings.sparkSession
+    base = f"{checkpoint_dir(spark)}/late-{uuid.uuid4().hex}"
+
+    def save(batch: DataFrame, number: int) -> None:
+        here = batch.sparkSession
+        marks = here.read.option("recursiveFileLookup", True).schema(MARKS).parquet(f"{base}/marks")
+        mark = marks.where(F.col("number") < number).agg(F.max("seen")).first()[0]
+        end = shift(floor_to(F.col(ts), minutes), F.lit(minutes * 60_000_000))
+        late = batch.where(F.lit(False) if mark is None else end <= shift(F.lit(mark).cast("timestamp_ntz"), F.lit(-delay_s * 1_000_000)))
+        late.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{base}/late/_batch={number}")
+        batch.agg(F.lit(number).cast("long").alias("number"), F.max(F.col(ts).cast("timestamp_ntz")).alias("seen")).write.mode("overwrite").parquet(f"{base}/marks/n{number}")
+
+    spark.createDataFrame([], MARKS).write.parquet(f"{base}/marks/none")
+    readings.writeStream.option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).foreachBatch(save).start().awaitTermination()
+    schema = StructType([*readings.schema.fields, StructField("batch", IntegerType())])
+    return spark.read.option("recursiveFileLookup", True).schema(schema).parquet(f"{base}/late")
+
+
+def drain(stream: DataFrame, mode: str = "append", base: str | None = None) -> DataFrame:
     """Run a stream over all available input into a table in the shared folder and read it back.
 
-    Update-mode rows carry their batch number (`_batch`), the later one replaces the earlier.
+    Update-mode rows carry their batch number (`_batch`), the later one replaces the earlier. With the `base` of an earlier
+    call the stream goes on where that one ended.
     """
     spark = stream.sparkSession
     spark.conf.set(*STATE_STORE)
-    base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    base = base or f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     out, progress = f"{base}/out", f"{base}/progress"
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", progress).trigger(availableNow=True)
     if mode == "append":
