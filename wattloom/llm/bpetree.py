@@ -26,7 +26,7 @@ WINDOW = 32
 # Spans of a part's tokens are known at least this many characters from either end.
 EDGE = 512
 # Words that a worker remembers.
-MOST_WORDS = 500_000
+MOST_WORDS = 300_000
 BLANK = re.compile("[\t-\r ]")
 
 
