@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattloom.catalog.registry import query
 from wattloom.catalog.scores import SQL_REG, SQL_TRACKS, tracks
-from wattloom.catalog.views import as_counts, pred, settled, sql_round, table
+from wattloom.catalog.views import SQL_PRED, as_counts, pred, settled, sql_round, table
 from wattloom.operators import joins, metrics
 from wattloom.operators.splits import quality_gates
 from wattloom.plans.batch import stage_table, user_status
-from wattloom.session import checkpoint_dir
+from wattloom.session import checkpoint_dir, cut_lineage
 from wattloom.sources import config, discovery, meters, state
 
 # One config entry per customer, written as JSON; some values are out of range, some missing.
@@ -250,6 +250,24 @@ def state_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return settled(_state(spark, sf).select("user_id", "status", "success", "finished_at", "duration_s", "run_id"), 5, "duration_s")
 
 
+@query(
+    f"""SELECT site_id, event_id, strftime(time, '%Y/%-m/%-d %-H:%M:%S') AS time, {sql_round('y_pred', 3)} AS y_pred,
+               row_number() OVER (ORDER BY site_id, time, event_id) AS place FROM ({SQL_PRED})"""
+)
+def report_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-22, TOP-5: a report sorted by ranges into files, read back file by file; the place counts from the first file's start."""
+    path = f"{checkpoint_dir(spark)}/report-{uuid.uuid4().hex}"
+    rows = settled(pred(spark, sf).select("site_id", "event_id", "time", "y_pred"), 3, "y_pred")
+    meters.write_report(rows, path, ["time"], short=True, order=["site_id", "time", "event_id"])
+    kinds = "site_id STRING, event_id BIGINT, time STRING, y_pred DOUBLE"
+    held = spark.read.schema(kinds).option("header", True).csv(path).select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"))
+    held = cut_lineage(held)
+    files = held.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("file", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return held.join(F.broadcast(starts), "file").select("site_id", "event_id", "time", "y_pred", (F.col("start") + F.col("at") - F.col("first") + 1).alias("place"))
+
+
 @query(f"SELECT user_id, status, success, finished_at, {sql_round('duration_s', 5)} AS duration_s, run_id, version FROM ({SQL_STATE}), (SELECT 2 AS version)")
 def state_two_rounds(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-24: two rounds of upserts into a stored table; each is a version behind a pointer."""

@@ -10,7 +10,7 @@ from wattloom.catalog.registry import query
 from wattloom.catalog.views import SITE_HOURS, SQL_DAY, SQL_HOURLY, day, hourly, rounded, settled, sql_round, table
 from wattloom.functions import scalars
 from wattloom.operators import windows as win
-from wattloom.operators.reports import label_correlation
+from wattloom.operators.reports import label_correlation, top_columns
 from wattloom.operators.series import over_rows, with_position
 from wattloom.plans.features import build_features
 from wattloom.operators.drift import build_lut
@@ -281,6 +281,21 @@ def label_correlations(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(label_correlation(hourly(spark, sf), ["v", "d_min5", "d_max5"], "w", ["site_id"]), 6, "abs_corr")
 
 
+TOP_SOURCES = ("v", "d_min5", "d_max5", "w_next", "w_half")
+
+
+@query(
+    f"""WITH h AS (SELECT *, w * v AS w_next, CASE WHEN hour(ts) < 12 THEN w ELSE v END AS w_half FROM ({SQL_HOURLY})),
+        c AS ({" UNION ALL ".join(f"SELECT '{c}' AS column_name, ABS(CORR({c}, w)) AS r FROM h" for c in TOP_SOURCES)})
+        SELECT column_name AS "column", row_number() OVER (ORDER BY r DESC, column_name) AS place FROM c QUALIFY place <= 3"""
+)
+def top_label_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """TOP-1: the three columns that follow the label closest, in order."""
+    rows = hourly(spark, sf).withColumns({"w_next": F.col("w") * F.col("v"), "w_half": F.when(F.hour("ts") < 12, F.col("w")).otherwise(F.col("v"))})
+    names = top_columns(label_correlation(rows, TOP_SOURCES, "w"), 3)
+    return spark.createDataFrame([(c, i) for i, c in enumerate(names, 1)], '"column" STRING, place BIGINT'.replace('"', "`"))
+
+
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:
     """Every family at once. Aligned rows and weather are written once, as every later step reads them."""
     rows = cut_lineage(hourly(spark, sf))

@@ -135,12 +135,31 @@ def linear_season_calibration(spark: SparkSession, sf: str) -> DataFrame:
     return settled(out.select("user_id", "ts", "y_calib"), 5, "y_calib")
 
 
-@query()
+# The isotonic fit by its min-max formula: the largest over all starts up to a point of the smallest mean that reaches to it
+# or beyond. Between two points of the fit the map is a straight line, beyond its ends it is constant.
+SQL_ISOTONIC = f"""WITH r AS ({SQL_LONG}),
+  p AS (SELECT season, y_pred AS x, COUNT(*) AS w, SUM(y_true) AS s FROM r WHERE state_true = 1 AND y_pred > 0 AND ts < '1999-01-01' GROUP BY 1, 2),
+  i AS (SELECT *, row_number() OVER o AS i, SUM(w) OVER o AS cw, SUM(s) OVER o AS cs FROM p WINDOW o AS (PARTITION BY season ORDER BY x)),
+  m AS (SELECT a.season, a.i AS j, b.i AS k, (b.cs - a.cs + a.s) / (b.cw - a.cw + a.w) AS mean FROM i a JOIN i b ON a.season = b.season AND a.i <= b.i),
+  n AS (SELECT season, j, k, MIN(mean) OVER (PARTITION BY season, j ORDER BY k DESC) AS least FROM m),
+  f AS (SELECT n.season, i.x, MAX(least) AS y FROM n JOIN i ON i.season = n.season AND i.i = n.k GROUP BY 1, 2),
+  g AS (SELECT *, lead(x) OVER (PARTITION BY season ORDER BY x) AS x2, lead(y) OVER (PARTITION BY season ORDER BY x) AS y2 FROM f),
+  c AS (SELECT season, arg_min(y, x) AS y_lo FROM f GROUP BY 1),
+  t AS (SELECT season, SUM(w) AS n FROM p GROUP BY 1),
+  q AS (SELECT r.user_id, r.ts, r.season, r.y_pred, r.state_pred, g.x, g.y, g.x2, g.y2 FROM r ASOF LEFT JOIN g ON r.season = g.season AND r.y_pred >= g.x)
+"""
+
+
+@query(
+    SQL_ISOTONIC
+    + f"""SELECT user_id, ts, q.season, {sql_round('y_pred', 5)} AS y_raw, {sql_round("CASE WHEN state_pred = 1 AND t.n >= 30 THEN GREATEST(CASE WHEN x IS NULL THEN y_lo WHEN x2 IS NULL THEN y ELSE y + (y2 - y) * (y_pred - x) / (x2 - x) END, 0) ELSE y_pred END", 5)} AS y_season
+        FROM q LEFT JOIN c USING (season) LEFT JOIN t USING (season)"""
+)
 def isotonic_season_calibration(spark: SparkSession, sf: str) -> DataFrame:
-    """ML-10, monotone form."""
+    """ML-10, monotone form: a map per season from the older years' ON rows."""
     rows = long_scores(spark, sf).select("user_id", "ts", F.col("y_true").alias("y"), F.col("y_pred").alias("y_raw"), F.col("state_true").alias("state"), "state_pred", "season")
     maps = training.fit_season_maps(rows.where(F.col("ts") < F.lit("1999-01-01").cast("timestamp_ntz")), "isotonic")
-    return training.season_mapped(rows, maps).select("user_id", "ts", "season", "y_raw", "y_season")
+    return settled(training.season_mapped(rows, maps).select("user_id", "ts", "season", "y_raw", "y_season"), 5, "y_raw", "y_season")
 
 
 @query(
