@@ -81,14 +81,18 @@ def rolling_ranges(spark: SparkSession, sf: str) -> DataFrame:
     return shown(spark, sf, lambda w: win.ranges(w, COLS), 11)
 
 
-SQL_EMA = f"""WITH RECURSIVE n AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1 AS pos FROM ({SQL_HOURLY})),
-  e(site_id, pos, y, z) AS (SELECT site_id, pos, w, w FROM n WHERE pos = 0
-    UNION ALL SELECT e.site_id, n.pos, e.y * {0.5 ** 0.5!r}::DOUBLE + n.w * {1 - 0.5 ** 0.5!r}::DOUBLE, e.z * {0.5 ** (1 / 24)!r}::DOUBLE + n.w * {1 - 0.5 ** (1 / 24)!r}::DOUBLE
+def sql_ema(c: str, digits: int | None = None) -> str:
+    """Exponential means of a column with half-lives of 2 and 24 rows, and their ratio."""
+    shown = {f"{c}_ema_2": "y", f"{c}_ema_24": "z", f"{c}_ratio_ema": "y / (z + 1.0)"}
+    picked = ", ".join(f"ROUND({e}, {digits}) AS {name}" if digits else f"{e} AS {name}" for name, e in shown.items())
+    return f"""WITH RECURSIVE n AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1 AS pos FROM ({SQL_HOURLY})),
+  e(site_id, pos, y, z) AS (SELECT site_id, pos, {c}, {c} FROM n WHERE pos = 0
+    UNION ALL SELECT e.site_id, n.pos, e.y * {0.5 ** 0.5!r}::DOUBLE + n.{c} * {1 - 0.5 ** 0.5!r}::DOUBLE, e.z * {0.5 ** (1 / 24)!r}::DOUBLE + n.{c} * {1 - 0.5 ** (1 / 24)!r}::DOUBLE
               FROM e JOIN n ON n.site_id = e.site_id AND n.pos = e.pos + 1)
-  SELECT n.site_id, n.ts, ROUND(y, 6) AS w_ema_2, ROUND(z, 6) AS w_ema_24, ROUND(y / (z + 1.0), 6) AS w_ratio_ema FROM n JOIN e USING (site_id, pos)"""
+  SELECT n.site_id, n.ts, {picked} FROM n JOIN e USING (site_id, pos)"""
 
 
-@query(SQL_EMA)
+@query(sql_ema("w", 6))
 def ema_scan(spark: SparkSession, sf: str) -> DataFrame:
     """WIN-8."""
     out = win.ema_family(hourly(spark, sf), SITE_HOURS, ["w"])
@@ -322,11 +326,3 @@ def feature_table_sums(spark: SparkSession, sf: str) -> DataFrame:
         F.sum("power_recent_7d_mean").alias("sum_week"), F.sum("is_evening").cast("bigint").alias("n_evening"),
     )
     return rounded(out, 4, "sum_w", "sum_recent", "sum_week")
-
-
-@query()
-def feature_table_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """SCL-15: all rows and columns of the feature table."""
-    return feature_table(spark, sf)
-
-
