@@ -46,3 +46,11 @@ def test_unfinished_folder_is_no_model(spark, rows, tmp_path):
     with pytest.raises(Exception, match="about"):
         store.load_model(spark, str(tmp_path))
     assert rows.where(F.col("season").isNull()).count() == 0
+
+
+def test_settings_follow_the_number_of_rows(spark):
+    got = {n: training.adapted(training.Settings(), n, spark) for n in (100, 1000, 2000, 9000)}
+    assert {n: (s.trees, s.depth, s.rate, s.sample, s.min_leaf) for n, s in got.items()} == {
+        100: (100, 2, 0.08, 0.9, 8), 1000: (200, 3, 0.06, 0.85, 5), 2000: (300, 3, 0.05, 0.8, 3), 9000: (300, 3, 0.05, 0.8, 2),
+    }
+    assert got[100].forest_trees == training.Settings().forest_trees

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wattloom.catalog.registry import query
 from wattloom.catalog.views import SITE_QUARTERS, SQL_BRANCH, SQL_BUS, SQL_PRED, as_counts, branch, bus, pred, rounded, site_events, user_events
 from wattloom.operators.resample import raw_daily_counts
+from wattloom.operators.series import attach
 from wattloom.operators.segments import daily_summary, filter_short_runs, off_centres, on_edges, on_periods, post_filter
 
 THRESHOLD = 50
@@ -67,6 +68,18 @@ def on_periods_by_day(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(_periods(spark, sf))
 
 
+# Every site with an ON threshold of its own, five above its mean.
+SQL_OWN = f"(SELECT b.*, th FROM ({SQL_BUS}) b JOIN (SELECT site_id, ROUND(AVG(d73)) + 5 AS th FROM ({SQL_BUS}) GROUP BY 1) USING (site_id))"
+
+
+@query((_sql_periods(True) + SQL_PERIOD_COLUMNS).replace(f"d73 >= {THRESHOLD}", "d73 >= th").replace(f"({SQL_BUS})", SQL_OWN, 1))
+def on_periods_own_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    """FIL-6, SEG-2 with a threshold per site."""
+    rows = bus(spark, sf)
+    own = rows.groupBy("site_id").agg((F.round(F.avg("d73")) + 5).alias("on_w"))
+    return _shown(on_periods(attach(rows, own, ["site_id"]), site_events(spark, sf), "d73", "on_w"))
+
+
 @query((_sql_periods(True) + SQL_PERIOD_COLUMNS.replace("FROM periods", "FROM periods WHERE state = 0")).replace("site_id", "user_id").replace("event_type AS user_id, user_id,", "event_type AS site_id, user_id,"))
 def off_days(spark: SparkSession, sf: str) -> DataFrame:
     """SEG-3 per user, whose sparse days often have no ON sample."""

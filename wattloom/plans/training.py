@@ -7,14 +7,14 @@ through features, thresholds and the correction steps. Loops below run over the
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.functions.scalars import SEASONS, season_by_month
@@ -22,6 +22,7 @@ from wattloom.operators.metrics import best_threshold, threshold_curve
 from wattloom.operators.quantiles import percentiles
 from wattloom.operators.segments import filter_short_runs
 from wattloom.operators.series import Series
+from wattloom.operators.weights import small_data_settings
 from wattloom.plans.bands import LeafBands, banded, fit_leaf_bands
 from wattloom.session import cut_lineage
 
@@ -44,6 +45,9 @@ class Settings:
     band_trees: int = 50
     band_depth: int = 5
     seed: int = 42
+    # Fewest rows of a leaf of the boosters; `adapt` sets it, and trees, depth, rate and sample, by the number of training rows.
+    min_leaf: int = 1
+    adapt: bool = False
     min_on: int = 1
     fill: int = 3
     beta: float = 0.5
@@ -82,14 +86,14 @@ def assemble(df: DataFrame, features: Sequence[str]) -> PipelineModel:
 def _classifier(settings: Settings, **options):
     return GBTClassifier(
         featuresCol="features", labelCol="state", maxIter=settings.trees, maxDepth=settings.depth, stepSize=settings.rate,
-        subsamplingRate=settings.sample, seed=settings.seed, checkpointInterval=10, **options,
+        subsamplingRate=settings.sample, minInstancesPerNode=settings.min_leaf, seed=settings.seed, checkpointInterval=25, **options,
     )
 
 
 def _regressor(settings: Settings, label: str, trees: int | None = None, inputs: str = "features", out: str = "_power", **options):
     return GBTRegressor(
         featuresCol=inputs, labelCol=label, maxIter=trees or settings.trees, maxDepth=settings.depth, stepSize=settings.rate,
-        subsamplingRate=settings.sample, seed=settings.seed, lossType="absolute", predictionCol=out, checkpointInterval=10, **options,
+        subsamplingRate=settings.sample, minInstancesPerNode=settings.min_leaf, seed=settings.seed, lossType="absolute", predictionCol=out, checkpointInterval=25, **options,
     )
 
 
@@ -117,6 +121,12 @@ def sized(df: DataFrame) -> DataFrame:
     return df.coalesce(max(1, -(-df.count() // ROWS_PER_TASK)))
 
 
+def adapted(settings: Settings, rows: int, spark: SparkSession) -> Settings:
+    """Booster settings for so many training rows: fewer, shallower and larger-leaved trees for little data."""
+    own = spark.range(1).select(small_data_settings(F.lit(rows)).alias("s")).first()["s"]
+    return replace(settings, **own.asDict())
+
+
 def fit(
     train: DataFrame, val: DataFrame, features: Sequence[str], series: Series, settings: Settings = Settings(), weight: str | None = None,
 ) -> TwoStageModel:
@@ -125,6 +135,8 @@ def fit(
     Give it materialised tables (see `session.cut_lineage`): tree fits read them many times.
     """
     train = sized(train)
+    if settings.adapt:
+        settings = adapted(settings, train.count(), train.sparkSession)
     prepare = assemble(train, features)
     weights = {"weightCol": weight} if weight else {}
     ready = prepare.transform(train)
