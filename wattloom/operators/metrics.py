@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wattloom.functions.scalars import over, pearson
 from wattloom.operators.quantiles import auc
 
+# Names and order of the reported metrics.
 CLASSIFICATION = ("Accuracy", "Precision", "Recall", "F1", "AUC", "TN", "FP", "FN", "TP")
 REGRESSION = ("MAE_W", "RMSE_W", "SAE", "NDE", "kWh_true", "kWh_pred", "kWh_err", "n_samples")
 
