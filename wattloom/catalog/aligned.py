@@ -199,23 +199,23 @@ def nearest_reading(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH d AS (SELECT site_id, CAST(event_time AS DATE) AS date, MAX(d74) AS top FROM ({SQL_BUS}) WHERE dayofmonth(event_time) % 3 = 0 GROUP BY 1, 2)
+    f"""WITH d AS (SELECT site_id, CAST(event_time AS DATE) AS date, MAX(d74) AS top FROM ({SQL_BUS}) GROUP BY 1, 2 HAVING COUNT(*) >= 66)
         SELECT e.event_id, d.top FROM ({SQL_BUS}) e ASOF LEFT JOIN d ON e.site_id = d.site_id AND CAST(e.event_time AS DATE) >= d.date"""
 )
 def daily_value_as_of(spark: SparkSession, sf: str) -> DataFrame:
-    """JOI-3: every row gets the latest known daily value, NULL before the first."""
+    """JOI-3: every row gets the value of the latest busy day, NULL before the first."""
     rows = bus(spark, sf)
-    daily = rows.where(F.dayofmonth("event_time") % 3 == 0).groupBy("site_id", F.to_date("event_time").alias("date")).agg(F.max("d74").alias("top"))
+    daily = rows.groupBy("site_id", F.to_date("event_time").alias("date")).agg(F.max("d74").alias("top"), F.count(F.lit(1)).alias("n")).where("n >= 66").drop("n")
     return joins.daily_as_of(rows, rows, daily, ["site_id"], "event_time", ["top"]).select("event_id", "top")
 
 
 @query(
-    f"""WITH s AS (SELECT site_id, time_bucket(INTERVAL 15 MINUTE, time) AS b, MAX(p_on) AS p FROM ({SQL_PRED}) WHERE user_id % 2 = 0 GROUP BY 1, 2)
+    f"""WITH s AS (SELECT site_id, time_bucket(INTERVAL 15 MINUTE, time) AS b, MAX(p_on) AS p FROM ({SQL_PRED}) GROUP BY 1, 2)
         SELECT e.event_id, s.p AS p_step FROM ({SQL_BUS}) e LEFT JOIN s ON s.site_id = e.site_id AND s.b = time_bucket(INTERVAL 15 MINUTE, e.event_time)"""
 )
 def step_probability(spark: SparkSession, sf: str) -> DataFrame:
     """JOI-8: the probability of the step a reading falls into."""
-    steps = pred(spark, sf).where("user_id % 2 = 0").groupBy("site_id", floor_to(F.col("time"), 15).alias("step")).agg(F.max("p_on").alias("p_step"))
+    steps = pred(spark, sf).groupBy("site_id", floor_to(F.col("time"), 15).alias("step")).agg(F.max("p_on").alias("p_step"))
     return joins.on_bin(bus(spark, sf), steps, ["site_id"], "event_time", "step").select("event_id", "p_step")
 
 

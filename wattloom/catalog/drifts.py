@@ -307,13 +307,12 @@ def split_two_short(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH g AS (SELECT user_id, COUNT(*) AS n_rows, CAST(SUM(state_true) AS BIGINT) AS n_on, COUNT(*) FILTER (WHERE split = 'train') AS n_train, COUNT(*) FILTER (WHERE split = 'val') AS n_val,
-                     COUNT(*) FILTER (WHERE split = 'test') AS n_test FROM ({SQL_PRED}) WHERE user_id % 10 <> 1 OR dayofmonth(time) <= 24 GROUP BY 1)
+                     COUNT(*) FILTER (WHERE split = 'test') AS n_test FROM ({SQL_PRED}) GROUP BY 1)
         SELECT *, CASE WHEN n_rows < 60 THEN 'aligned_too_few' WHEN n_on = 0 OR n_on = n_rows THEN 'single_class_label' WHEN n_val = 0 OR n_test = 0 THEN 'split_empty_val_test' END AS skip_reason,
                CASE WHEN n_rows < 60 THEN NULL WHEN n_on = 0 THEN 'all_off' WHEN n_on = n_rows THEN 'all_on' END AS detail FROM g"""
 )
 def quality_gates(spark: SparkSession, sf: str) -> DataFrame:
     """FIL-7..9 with 60 rows, as users of these tables have 49 to 86."""
-    rows = pred(spark, sf).where("user_id % 10 <> 1 OR dayofmonth(time) <= 24")
-    return splits.quality_gates(rows, ["user_id"], "state_true", "split", min_rows=60)
+    return splits.quality_gates(pred(spark, sf), ["user_id"], "state_true", "split", min_rows=60)
 
 
