@@ -62,14 +62,22 @@ def fitted(spark: SparkSession, sf: str) -> Fitted:
     """The model of the training days and the scores of all days, fitted once for the queries of a session."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _FITTED:
-        rows, features = labelled(spark, sf)
-        model = training.fit(rows.where("split = 'train'"), rows.where("split = 'val'"), features, SITE_HOURS)
-        meta = cut_lineage(guard_meta(spark, sf))
-        readings = spikes(spark, sf)
-        thresholds = cut_lineage(scaled_threshold(meta, readings, ["site_id"], "d73"))
-        guard = inference.Guard(readings, thresholds, "event_time", "d87", minutes=60, lookahead_s=3_600)
-        decisions = cut_lineage(drift.switch_decision(site_drift(spark, sf), ["site_id"], calibrated=True))
-        _FITTED[key] = Fitted(rows, features, model, cut_lineage(inference.infer(rows, model, SITE_HOURS, guard=guard, decisions=decisions)))
+
+        def learned() -> tuple[DataFrame, list[str], training.TwoStageModel]:
+            rows, features = labelled(spark, sf)
+            return rows, features, training.fit(rows.where("split = 'train'"), rows.where("split = 'val'"), features, SITE_HOURS)
+
+        def guarded() -> inference.Guard:
+            readings = spikes(spark, sf)
+            thresholds = cut_lineage(scaled_threshold(cut_lineage(guard_meta(spark, sf)), readings, ["site_id"], "d73"))
+            return inference.Guard(readings, thresholds, "event_time", "d87", minutes=60, lookahead_s=3_600)
+
+        def decided() -> DataFrame:
+            return cut_lineage(drift.switch_decision(site_drift(spark, sf), ["site_id"], calibrated=True))
+
+        done = training.at_once({"model": learned, "guard": guarded, "decisions": decided})
+        rows, features, model = done["model"]
+        _FITTED[key] = Fitted(rows, features, model, cut_lineage(inference.infer(rows, model, SITE_HOURS, guard=done["guard"], decisions=done["decisions"])))
     return _FITTED[key]
 
 

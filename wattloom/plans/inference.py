@@ -11,6 +11,7 @@ from wattloom.operators.drift import blend
 from wattloom.operators.guard import LOOKAHEAD_S, MAX_ON_HOURS, guard_mask, startups, suppress
 from wattloom.operators.series import Series
 from wattloom.plans.training import Settings, TwoStageModel, baselines, corrected, score_base, season_mapped
+from wattloom.session import cut_lineage
 
 GUARDED = ("state_pred", "p_on", "y_raw", "y_low", "y_high")
 BASELINES = ("y_fallback", "y_rf", "y_naive_mean")
@@ -49,6 +50,8 @@ def infer(
     if guard is None:
         scored = scored.withColumn("suppressed", F.lit(False))
     else:
+        # The guard reads the scores several times; each time would run all trees again.
+        scored = cut_lineage(scored)
         starts = startups(guard.bus, scored, guard.thresholds, keys, guard.bus_ts, guard.spike, series.ts, minutes=guard.minutes)
         masked = guard_mask(scored, starts, series, guard.max_on_h, guard.lookahead_s)
         scored = suppress(masked, list(GUARDED)).drop("last_startup", "since_h")

@@ -6,9 +6,11 @@ through features, thresholds and the correction steps. Loops below run over the
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -68,7 +70,7 @@ class TwoStageModel:
     threshold: float
     experts: dict[str, Transformer]
     fallback: Transformer
-    bands: LeafBands
+    bands: LeafBands | None
     forest: Transformer | None
     naive_mean: float
     correction: Transformer | None = None
@@ -127,6 +129,14 @@ def adapted(settings: Settings, rows: int, spark: SparkSession) -> Settings:
     return replace(settings, **own.asDict())
 
 
+def at_once(jobs: Mapping[str, Callable]) -> dict:
+    """Results of functions that do not need each other, run side by side: a boosting round is many short jobs, and those of
+    one model leave most of the cluster idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
 def fit(
     train: DataFrame, val: DataFrame, features: Sequence[str], series: Series, settings: Settings = Settings(), weight: str | None = None,
 ) -> TwoStageModel:
@@ -140,36 +150,41 @@ def fit(
     prepare = assemble(train, features)
     weights = {"weightCol": weight} if weight else {}
     ready = prepare.transform(train)
-    classifier = _classifier(settings, **weights).fit(ready)
-    second = None
-    if settings.ensemble:
-        second = RandomForestClassifier(
-            featuresCol="features", labelCol="state", numTrees=settings.forest_trees, maxDepth=settings.forest_depth,
-            seed=settings.seed,
-        ).fit(ready)
     on = ready.where("state = 1")
-    fallback = _regressor(settings, "y", **weights).fit(on)
     summary = {r["season"]: r for r in expert_summary(train).collect()}
-    experts = {
-        s: _regressor(settings, "y", **weights).fit(on.where(F.col("season") == s))
-        for s in SEASONS
-        if summary[s]["status"] == "trained"
+    own = [s for s in SEASONS if summary[s]["status"] == "trained"]
+    forest_settings = {"featuresCol": "features", "numTrees": settings.forest_trees, "maxDepth": settings.forest_depth, "seed": settings.seed}
+    jobs: dict[str, Callable] = {
+        "classifier": lambda: _classifier(settings, **weights).fit(ready),
+        "fallback": lambda: _regressor(settings, "y", **weights).fit(on),
+        "forest": lambda: RandomForestRegressor(labelCol="y", predictionCol="_power", **forest_settings).fit(ready),
     }
+    if settings.ensemble:
+        jobs["second"] = lambda: RandomForestClassifier(labelCol="state", **forest_settings).fit(ready)
+    for s in own:
+        jobs[f"expert {s}"] = lambda s=s: _regressor(settings, "y", **weights).fit(on.where(F.col("season") == s))
+    done = at_once(jobs)
+    experts = {s: done[f"expert {s}"] for s in own}
+    fallback = done["fallback"]
     trained_means = [summary[s]["y_mean"] for s in experts]
     naive = sum(trained_means) / len(trained_means) if trained_means else NAIVE_MEAN_W
-    residuals = route(on, experts, fallback).withColumns({"_res": F.col("y") - F.col("_power"), "_season_id": season_id()})
-    bands = fit_leaf_bands(cut_lineage(residuals.select(*BAND_INPUTS, "_res")), "_res", BAND_INPUTS, settings.band_trees, settings.band_depth, seed=settings.seed)
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol="y", numTrees=settings.forest_trees, maxDepth=settings.forest_depth, seed=settings.seed, predictionCol="_power",
-    ).fit(ready)
-    model = TwoStageModel(list(features), prepare, classifier, second, None, 0.5, experts, fallback, bands, forest, float(naive))
-
-    checked = stage_one(val, model)
-    if settings.probability_calibration != "none":
-        model.probability = fit_probability(checked, settings.probability_calibration)
-        checked = stage_one(val, model)
-    model.threshold = choose_threshold(checked, series, settings)
-    scored = score_base(val, model, series, settings)
+    model = TwoStageModel(list(features), prepare, done["classifier"], done.get("second"), None, 0.5, experts, fallback, None, done["forest"], float(naive))
+
+    def fit_bands() -> LeafBands:
+        residuals = route(on, experts, fallback).withColumns({"_res": F.col("y") - F.col("_power"), "_season_id": season_id()})
+        return fit_leaf_bands(cut_lineage(residuals.select(*BAND_INPUTS, "_res")), "_res", BAND_INPUTS, settings.band_trees, settings.band_depth, seed=settings.seed)
+
+    def fit_threshold() -> float:
+        # Scores are written before they are used: each use would run all trees again.
+        checked = cut_lineage(stage_one(val, model))
+        if settings.probability_calibration != "none":
+            model.probability = fit_probability(checked, settings.probability_calibration)
+            checked = cut_lineage(calibrated_probability(checked, model.probability))
+        return choose_threshold(checked, series, settings)
+
+    done = at_once({"bands": fit_bands, "threshold": fit_threshold})
+    model.bands, model.threshold = done["bands"], done["threshold"]
+    scored = cut_lineage(score_base(val, model, series, settings))
     fit_correction(model, scored, settings)
     if settings.season_calibration != "none":
         model.season_maps = fit_season_maps(scored, settings.season_calibration)

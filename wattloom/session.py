@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,9 +60,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+_FOLDER = threading.Lock()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of any executor."""
     context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
+    with _FOLDER:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(checkpoint_dir(df.sparkSession))
     return df.checkpoint(eager=True)
