@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -59,6 +61,19 @@ class Net:
         back = slope[:, None] * c * (1 - h * h)
         return [x.T @ back, back.sum(0), h.T @ slope, np.array([slope.sum()])]
 
+    def flat(self) -> np.ndarray:
+        """Weights, moments and steps as one array."""
+        return np.concatenate([*map(np.ravel, self.weights), *(x.ravel() for pair in self.moments for x in pair), [float(self.steps)]])
+
+    @classmethod
+    def of(cls, flat: list[float], width: int, hidden: int) -> Net:
+        net = cls(width, hidden, np.random.default_rng(0))
+        places = [*net.weights, *(x for pair in net.moments for x in pair)]
+        for place, part in zip(places, np.split(np.array(flat[:-1]), np.cumsum([x.size for x in places])[:-1]), strict=True):
+            place[...] = part.reshape(place.shape)
+        net.steps = round(flat[-1])
+        return net
+
     def move(self, grads: list[np.ndarray], rate: float, decay: float) -> None:
         self.steps += 1
         for w, g, (m, v) in zip(self.weights, grads, self.moments, strict=True):
@@ -68,14 +83,17 @@ class Net:
             w -= rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.99**self.steps)) + 1e-8)
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 16, epochs: int = 30, size: int = 1024, rate: float = 0.01, decay: float = 1e-4, seed: int = 0) -> Net:
-    """Minimise prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) with the logistic loss.
+def fit(
+    positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 16, epochs: int = 30, size: int = 1024, rate: float = 0.01, decay: float = 1e-4,
+    seed: int | list[int] = 0, net: Net | None = None,
+) -> Net:
+    """Minimise prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) with the logistic loss; a given net is trained on.
 
     Where the second part of a batch falls below zero, its gradient is turned round, so the net gives up
     what it has overfitted instead of driving the estimate further below zero.
     """
     rng = np.random.default_rng(seed)
-    net = Net(positive.shape[1], hidden, rng)
+    net = net or Net(positive.shape[1], hidden, rng)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     steps = max(1, len(unlabelled) // size)
     for _ in range(epochs):
@@ -93,53 +111,109 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int
     return net
 
 
-def sampled(ids: DataFrame, most: int) -> DataFrame:
-    """About `most` of the ids, chosen by their hash; all of them if there are no more."""
-    n = ids.count()
-    if n <= most:
-        return ids
-    return ids.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 20)) < F.lit(int(most / n * (1 << 20))))
-
-
-def measured(docs: DataFrame, ids: DataFrame) -> np.ndarray:
-    """Features of the documents with these ids, whose number is bounded by sampled()."""
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id and features, in single precision, of every row."""
 
     def run(batches):
         for b in chunks(batches):
             yield batch(pa.schema([("doc_id", pa.int64()), ("features", pa.list_(pa.float32()))]), b.column("doc_id"), [np.asarray(features(t), np.float32) for t in b.column("text").to_pylist()])
 
-    got = rows.mapInArrow(run, "doc_id bigint, features array<float>").toPandas().sort_values("doc_id", kind="stable")
-    return np.array(got["features"].tolist(), np.float64).reshape(len(got), len(FEATURES))
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, features array<float>")
+
+
+def dealt(rows: DataFrame, groups: int) -> DataFrame:
+    """All rows in `groups` groups by their hash: at, n, mean, spread and the features as bytes, in the order of the ids."""
+    schema = pa.schema([("at", pa.int64()), ("n", pa.int64()), ("mean", pa.list_(pa.float64())), ("spread", pa.list_(pa.float64())), ("data", pa.binary())])
 
+    def run(t: pa.Table) -> pa.Table:
+        x = t.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1).astype(np.float64)
+        x = x[np.lexsort((*x.T[::-1], t.column("doc_id").to_numpy()))]
+        return pa.Table.from_batches([batch(schema, [t.column("at")[0].as_py()], [len(x)], [x.mean(0)], [x.std(0)], [x.astype(np.float32).tobytes()])], schema)
 
-def classifier(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2, most_rows: int = 40_000, prior: float | None = None, seed: int = 0):
-    """A function from features to the log odds of label 1.
+    at = F.pmod(F.xxhash64("doc_id", "features"), F.lit(groups)).alias("at")
+    return staged(rows.select(at, "doc_id", "features").groupBy("at").applyInArrow(run, "at bigint, n bigint, mean array<double>, spread array<double>, data binary"))
 
-    Trusted positives are rows with label 1 that are not held out, at most about `most_rows`; unlabelled rows
-    are rows without a label, at most about `most_rows` (labelled rows too if all are labelled). The class prior is
+
+def overall(groups: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of the features over the rows of all groups."""
+    got = groups.select("at", "n", "mean", "spread").orderBy("at").collect()
+    n, means, spreads = np.array([g.n for g in got], float)[:, None], np.array([g["mean"] for g in got]), np.array([g.spread for g in got])
+    if len(got) == 1:
+        return means[0], spreads[0]
+    mean = (n * means).sum(0) / n.sum()
+    return mean, np.sqrt((n * (spreads**2 + (means - mean) ** 2)).sum(0) / n.sum())
+
+
+def blocks_of(positive: DataFrame, unlabelled: DataFrame) -> tuple[DataFrame, int]:
+    """block, p and u: each group of either kind is in one block at least, and their number."""
+    ats = [sorted(x.at for x in side.select("at").collect()) for side in (positive, unlabelled)]
+    n = max(map(len, ats))
+    pairs = positive.sparkSession.createDataFrame([(i, *(side[i % len(side)] for side in ats)) for i in range(n)], "block bigint, p_at bigint, u_at bigint")
+    side = lambda df, c: df.select(F.col("at").alias(f"{c}_at"), F.col("data").alias(c))
+    return staged(F.broadcast(pairs).join(side(positive, "p"), "p_at").repartition(n, "block").join(side(unlabelled, "u"), "u_at").repartition(n, "block").select("block", "p", "u")), n
+
+
+def trained(blocks: DataFrame, n: int, mean: np.ndarray, spread: np.ndarray, prior: float, seed: int, epochs: int = 30, rounds: int = 10) -> Net:
+    """A net that every row of the blocks has taught: in each round every block trains the net on, then the nets are averaged.
+
+    A single block needs no rounds.
+    """
+    width = len(mean)
+    net = None if n == 1 else Net(width, 16, np.random.default_rng(seed))
+    for r in range(1 if n == 1 else rounds):
+
+        def run(batches, net=net, r=r):
+            for b in batches:
+                for block, *sides in zip(*[b.column(c).to_pylist() for c in ("block", "p", "u")], strict=True):
+                    p, u = ((np.frombuffer(x, np.float32).reshape(-1, width).astype(np.float64) - mean) / spread for x in sides)
+                    got = fit(p, u, prior, seed=seed) if net is None else fit(p, u, prior, epochs=epochs // rounds, seed=[seed, r, block], net=pickle.loads(pickle.dumps(net)))
+                    yield pa.RecordBatch.from_pydict({"state": [got.flat()]})
+
+        states = blocks.mapInArrow(run, "state array<double>")
+        if n > 1:
+            # A sum of decimals does not depend on the order of the blocks.
+            value = F.posexplode("state").alias("at", "x")
+            states = states.select(value).groupBy("at").agg((F.sum(F.col("x").cast("decimal(38,20)")).cast("double") / n).alias("x")).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "x"))), lambda s: s.x).alias("state"))
+        net = Net.of(states.first().state, width, 16)
+    return net
+
+
+def classifier(measures: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2, block_rows: int = 40_000, prior: float | None = None, seed: int = 0):
+    """A function from features to the log odds of label 1, learned from all rows of `measures` (see measured()) that are not held out.
+
+    Trusted positives are rows with label 1; unlabelled rows are rows without a label (labelled rows too if all are
+    labelled). Counts, mean, spread and net come from all of them, in blocks of about `block_rows` rows of either kind. The class prior is
     a parameter, or the share of label 1 among the labelled learning rows. An id with different labels counts as 0. With
     no positive at all the odds are those of the prior. Rows with a null id are not learned from.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rest = remainder("doc_id", modulus)
-    learn = docs.where((rest != held) & (rest >= 0)).select("doc_id").distinct()
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    table = staged(learn.join(marked, "doc_id", "left"))
-    shares = table.where("quality IS NOT NULL").agg(F.avg(F.col("quality").cast("double")).alias("share"), F.count("*").alias("n")).first()
+    table = staged(learning(measures, modulus, held).join(marked, "doc_id", "left"))
+    shares = table.where("quality IS NOT NULL").select("doc_id", "quality").distinct().agg(F.avg(F.col("quality").cast("double")).alias("share"), F.count("*").alias("n")).first()
     prior = shares.share if prior is None and shares.n else prior
     prior = min(max(0.5 if prior is None else prior, 0.02), 0.98)
-    positive = measured(docs, sampled(table.where("quality = 1").select("doc_id"), most_rows))
-    unlabelled = measured(docs, sampled(table.where("quality IS NULL").select("doc_id"), most_rows))
-    if not len(unlabelled):
-        unlabelled = measured(docs, sampled(table.select("doc_id"), most_rows))
-    if not len(positive):
+    positive, unlabelled = table.where("quality = 1"), table.where("quality IS NULL")
+    n_positive, n_unlabelled = positive.count(), unlabelled.count()
+    if not n_positive:
         return lambda x: np.full(len(x), np.log(prior / (1 - prior)))
-    mean, spread = unlabelled.mean(0), unlabelled.std(0) + 1e-3
-    net = fit((positive - mean) / spread, (unlabelled - mean) / spread, prior, seed=seed)
+    if not n_unlabelled:
+        unlabelled, n_unlabelled = table, table.count()
+    positive, unlabelled = (dealt(side.select("doc_id", "features"), -(-k // block_rows)) for side, k in ((positive, n_positive), (unlabelled, n_unlabelled)))
+    mean, spread = overall(unlabelled)
+    spread = spread + 1e-3
+    net = trained(*blocks_of(positive, unlabelled), mean, spread, prior, seed)
     return lambda x: net.odds(np.clip((x - mean) / spread, -8, 8))
 
 
+def learning(docs: DataFrame, modulus: int, held: int) -> DataFrame:
+    """Rows with an id that are not held out."""
+    rest = remainder("doc_id", modulus)
+    return docs.where((rest != held) & (rest >= 0))
+
+
+def probability(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
 def scored(docs: DataFrame, odds, name: str = "_score") -> DataFrame:
     """All columns of `docs` and a last column, the probability of label 1."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
@@ -148,8 +222,7 @@ def scored(docs: DataFrame, odds, name: str = "_score") -> DataFrame:
         for b in chunks(batches):
             x = np.array([features(t) for t in b.column("text").to_pylist()], np.float64)
             # Features as the learner saw them, in single precision.
-            got = 1 / (1 + np.exp(-np.clip(odds(x.astype(np.float32).astype(np.float64)), -40, 40)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=[*b.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(probability(odds(x.astype(np.float32).astype(np.float64))))], names=[*b.schema.names, name])
 
     return docs.mapInArrow(run, f"{kinds}, {name} double")
 
@@ -160,11 +233,22 @@ def quality_scores(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: i
     See classifier() for what is learned. An empty or null text scores like the features of a text without
     words. Null ids get a score; repeated rows are scored alike. Other columns are not read.
     """
-    got = scored(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), classifier(docs, labels, modulus, held, **options))
+    # Every text is measured once, to learn from and to be scored.
+    measures = staged(measured(docs))
+    odds = classifier(measures, labels, modulus, held, **options)
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x = b.column("features").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(probability(odds(x)))], names=["doc_id", "_score"])
+
+    got = measures.mapInArrow(run, "doc_id bigint, _score double")
     return got.select("doc_id", (remainder("doc_id", modulus) == held).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, modulus: int = 4, held: int = 2, **options) -> DataFrame:
     """The rows, with all their columns, whose score reaches the threshold; a row that scores below it goes."""
     name = free("_score", docs.columns)
-    return scored(docs, classifier(docs, labels, **options), name).where(F.col(name) >= threshold).select(*[f"`{c}`" for c in docs.columns])
+    measures = staged(measured(learning(docs, modulus, held)))
+    return scored(docs, classifier(measures, labels, modulus, held, **options), name).where(F.col(name) >= threshold).select(*[f"`{c}`" for c in docs.columns])
