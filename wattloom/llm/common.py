@@ -18,11 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, **options) -> DataFrame:
     """Write to the shared folder and read again: the lineage ends here and survives lost executors."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return spark.read.schema(df.schema).parquet(path)
 
 

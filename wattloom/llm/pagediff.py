@@ -6,8 +6,10 @@ import re
 from bisect import bisect_left
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,32 +146,62 @@ def main_lines(lines: list[tuple[str, bool]], partner: list[int] | None, mirror:
     not the same template. Without a partner that tells, a page that marks a main element keeps just that.
     """
     if partner:
-        shared = common([xxhash.xxh3_64_intdigest(t) - (1 << 63) for t, _ in lines], partner)
+        shared = common(hashed(lines).tolist(), partner)
         if len(shared) < mirror * len(lines):
             return [t for i, (t, inside) in enumerate(lines) if inside or i not in shared]
     marked = any(inside for _, inside in lines)
     return [t for t, inside in lines if inside or not marked]
 
 
-LINES = "array<struct<line:string,inside:boolean>>"
+def joined_lines(lines: list[tuple[str, bool]]) -> str:
+    """Lines, which hold no line break, as one text; each begins with whether it is inside."""
+    return "\n".join(("1" if inside else "0") + line for line, inside in lines)
+
+
+def split_lines(text: str) -> list[tuple[str, bool]]:
+    return [(x[1:], x[0] == "1") for x in text.split("\n")] if text else []
+
+
+def hashed(lines: list[tuple[str, bool]]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(t) - (1 << 63) for t, _ in lines], np.int64)
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, row, host, path, lines and the hashes of the lines."""
+    """page_id, url, host, path and lines (see joined_lines)."""
     host = F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://)?([^/?#]+)", 1))
     path = F.regexp_replace(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://)?[^/?#]+([^?#]*)", 1), r"(?:/index)?(?:\.[a-zA-Z]{3,5})?/*$", "")
     kinds = [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string())]
-    line = pa.list_(pa.struct([("line", pa.string()), ("inside", pa.bool_())]))
-    schema = pa.schema([*kinds, ("lines", line), ("hashes", pa.list_(pa.int64()))])
+    schema = pa.schema([*kinds, ("lines", pa.string())])
 
     def run(batches):
         for b in chunks(batches, text="html"):
-            got = [lines_of(t) for t in b.column("html").to_pylist()]
-            hashes = [[xxhash.xxh3_64_intdigest(t) - (1 << 63) for t, _ in g] for g in got]
-            yield batch(schema, *[b.column(k) for k, _ in kinds], [[{"line": t, "inside": x} for t, x in g] for g in got], hashes)
+            yield batch(schema, *[b.column(k) for k, _ in kinds], [joined_lines(lines_of(t)) for t in b.column("html").to_pylist()])
 
     read = pages.select(F.col("page_id").cast("bigint"), "url", host.alias("host"), path.alias("path"), "html")
-    return read.mapInArrow(run, f"page_id bigint, url string, host string, path string, lines {LINES}, hashes array<bigint>")
+    return read.mapInArrow(run, "page_id bigint, url string, host string, path string, lines string")
+
+
+def line_hashes(rows: DataFrame) -> DataFrame:
+    """row, and the hashes of its lines as bytes."""
+    schema = pa.schema([("row", pa.int64()), ("hashes", pa.binary())])
+
+    def run(batches):
+        for b in batches:
+            yield batch(schema, b.column("row"), [hashed(split_lines(t)).tobytes() for t in b.column("lines").to_pylist()])
+
+    return rows.select("row", "lines").mapInArrow(run, "row bigint, hashes binary")
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """row, page_id, url and the compressed lines, for the way through a shuffle."""
+    schema = pa.schema([("row", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("lines", pa.binary())])
+
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=3, write_checksum=False, write_content_size=True)
+        for b in batches:
+            yield batch(schema, *[b.column(c) for c in ("row", "page_id", "url")], [press.compress(t.encode()) for t in b.column("lines").to_pylist()])
+
+    return rows.select("row", "page_id", "url", "lines").mapInArrow(run, "row bigint, page_id bigint, url string, lines binary")
 
 
 def nearest(keys: DataFrame) -> DataFrame:
@@ -206,21 +238,24 @@ def main_text(pages: DataFrame, mirror: float = 0.8) -> DataFrame:
     url, hosts with one path and repeated rows are allowed: such a page is left undifferenced; null html gives
     an empty text. Other columns are not read.
     """
-    rows = staged(parsed(pages).withColumn("row", F.monotonically_increasing_id()))
+    # Text lies better compressed in files than in a shuffle; hashes of lines do not compress and are made where they are asked for.
+    rows = staged(parsed(pages).withColumn("row", F.monotonically_increasing_id()), compression="zstd")
     asks = F.coalesce(F.col("host") != "", F.lit(False))
     bare = rows.where(asks)
     keys = rows.where("host <> ''").groupBy("host", "path").agg(F.min("row").alias("row"))
     near = small(staged(bare.select("row", "host", "path").join(nearest(keys), ["host", "path"]).select("row", "partner")), 16)
-    lines = rows.select(F.col("row").alias("partner"), F.col("hashes").alias("other"))
+    other = line_hashes(rows).select(F.col("row").alias("partner"), F.col("hashes").alias("other"))
     # Pages that ask for no partner stay out of the join.
-    paired = bare.join(lines.join(near, "partner").select("row", "other"), "row", "left").select("page_id", "url", "lines", "other")
-    paired = paired.unionByName(rows.where(~asks).select("page_id", "url", "lines", F.lit(None).cast("array<bigint>").alias("other")))
+    paired = packed(bare).join(other.join(near, "partner").select("row", "other"), "row", "left").select("page_id", "url", "lines", "other")
+    paired = paired.unionByName(packed(rows.where(~asks)).select("page_id", "url", "lines", F.lit(None).cast("binary").alias("other")))
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches):
+        press = zstandard.ZstdDecompressor()
         for b in batches:
-            own = [[(x["line"], x["inside"]) for x in g] for g in b.column("lines").to_pylist()]
-            texts = [" ".join(main_lines(g, o, mirror)) for g, o in zip(own, b.column("other").to_pylist(), strict=True)]
+            own = [split_lines(press.decompress(x).decode()) for x in b.column("lines").to_pylist()]
+            others = [None if x is None else np.frombuffer(x, np.int64).tolist() for x in b.column("other").to_pylist()]
+            texts = [" ".join(main_lines(g, o, mirror)) for g, o in zip(own, others, strict=True)]
             yield batch(schema, b.column("page_id"), b.column("url"), texts, list(map(len, texts)))
 
     return paired.mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
