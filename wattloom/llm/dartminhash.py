@@ -129,10 +129,20 @@ def estimated(pairs: DataFrame, one: DataFrame, least: float) -> DataFrame:
     return sides.select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, one: DataFrame, similarity: float) -> DataFrame:
-    """Pairs whose weighted Jaccard similarity over all shingles reaches the threshold, from the whole texts."""
-    pairs = staged(pairs)
-    asked = small(staged(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), 8)
+def near_enough(x: tuple, y: tuple, similarity: float) -> bool:
+    """Whether the weighted Jaccard similarity of two (shingles, weights) reaches the threshold."""
+    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
+    both = int(np.minimum(x[1][i], y[1][j]).sum())
+    return both >= similarity * (int(x[1].sum()) + int(y[1].sum()) - both)
+
+
+def opened(keys: bytes, weights: bytes) -> tuple:
+    return unpack_sorted(keys), unpack(weights).astype(np.int64)
+
+
+def shingled(asked: DataFrame, docs: DataFrame, one: DataFrame) -> DataFrame:
+    """doc_id, keys and weights: all shingles of the whole texts of the asked ids."""
+    asked = small(staged(asked.distinct()), 8)
     shingles = pa.schema([("doc_id", pa.int64()), ("content", pa.int64()), ("keys", pa.binary()), ("weights", pa.binary())])
 
     def emit(batches):
@@ -149,42 +159,75 @@ def verified(pairs: DataFrame, docs: DataFrame, one: DataFrame, similarity: floa
     read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(asked, "doc_id", "left_semi")
     # A repeated id can stand for several texts; the one that was signed is compared.
     sets = read.mapInArrow(emit, "doc_id bigint, content bigint, keys binary, weights binary").dropDuplicates(["doc_id", "content"])
-    sets = staged(sets.join(one.select(F.col("rep").alias("doc_id"), "content"), ["doc_id", "content"], "left_semi").select("doc_id", "keys", "weights"))
+    return staged(sets.join(one.select(F.col("rep").alias("doc_id"), "content"), ["doc_id", "content"], "left_semi").select("doc_id", "keys", "weights"))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, one: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose weighted Jaccard similarity over all shingles reaches the threshold, from the whole texts."""
+    pairs = staged(pairs)
+    sets = shingled(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, one)
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("keys").alias(f"{c}_keys"), F.col("weights").alias(f"{c}_weights"))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         for t in batches:
-            near = []
-            for ak, aw, bk, bw in zip(*[t.column(c).to_pylist() for c in ("a_keys", "a_weights", "b_keys", "b_weights")], strict=True):
-                x, y, u, v = unpack_sorted(ak), unpack_sorted(bk), unpack(aw).astype(np.int64), unpack(bw).astype(np.int64)
-                _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                both = int(np.minimum(u[i], v[j]).sum())
-                near.append(both >= similarity * (int(u.sum()) + int(v.sum()) - both))
+            near = [near_enough(opened(ak, aw), opened(bk, bw), similarity) for ak, aw, bk, bw in zip(*[t.column(c).to_pylist() for c in ("a_keys", "a_weights", "b_keys", "b_weights")], strict=True)]
             yield batch(schema, *[t.column(c).filter(pa.array(near, pa.bool_())) for c in ("a", "b")])
 
     return staged(pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_keys", "a_weights", "b_keys", "b_weights").mapInArrow(run, "a bigint, b bigint"))
 
 
-def in_blocks(crowded: DataFrame, least: float, block: int) -> DataFrame:
-    """Pairs of different components with similar signatures within crowded buckets, compared block by block."""
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    dealt = crowded.withColumn("mine", F.pmod(F.xxhash64("rep"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "rep", "component", "signature")
+# Whole texts of a block, as packed shingles.
+BLOCK_BYTES = 8_000_000
+
+
+def in_blocks(crowded: DataFrame, docs: DataFrame, one: DataFrame, similarity: float, least: float, block: int) -> DataFrame:
+    """Links that join the components of crowded buckets (key, rep, component) as all their similar pairs would.
+
+    Pairs are never rows: a task holds two blocks of a bucket with their signatures and shingles, compares the pairs of
+    different components by signature, then by whole text, and joins components as it goes, so that it gives fewer links
+    than it has members. Buckets that share members are one where that makes fewer pairs, so near copies that meet in many
+    buckets meet once; elsewhere a pair is compared in the first bucket that it shares.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    crowded = staged(crowded.select("key", "rep", "component"))
+    sizes = staged(crowded.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").cast("double").alias("n")))
+    joined = components(crowded.join(sizes, "key").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+    area = sizes.join(joined.withColumnRenamed("node", "hub"), "hub").select("key", F.col("component").alias("area"), "n")
+    pays = joined.groupBy(F.col("component").alias("area")).agg(F.count("*").cast("double").alias("all")).join(area.groupBy("area").agg(F.sum(F.col("n") * F.col("n")).alias("apart")), "area").select("area", (F.col("all") * F.col("all") <= F.col("apart")).alias("whole"))
+    place = F.when(F.col("whole"), F.col("area")).otherwise(F.col("key"))
+    member = crowded.join(area.join(pays, "area").select("key", "whole", place.alias("place")), "key").select("whole", "place", F.when(~F.col("whole"), F.col("key")).alias("key"), "rep", "component").distinct()
+    sets = shingled(crowded.select(F.col("rep").alias("doc_id")), docs, one).join(one.select(F.col("rep").alias("doc_id"), "signature", F.col("keys").alias("buckets")), "doc_id")
+    full = staged(member.join(sets.withColumnRenamed("doc_id", "rep").withColumnRenamed("keys", "shingles"), "rep"))
+    # The place of a merged area and a bucket's key can be the same number.
+    here = ["whole", "place"]
+    blocks = full.groupBy(*here).agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum(F.octet_length("shingles") + F.octet_length("weights")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    dealt = full.join(blocks, here).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(*here, "key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "rep", "component", "signature", "buckets", "shingles", "weights")
 
     def run(t: pa.Table) -> pa.Table:
         rep, group, mine = (t.column(c).to_numpy() for c in ("rep", "component", "mine"))
         sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(len(rep), -1)
+        buckets = t.column("buckets").combine_chunks().flatten().to_numpy().reshape(len(rep), -1)
+        keys, weights, key = t.column("shingles"), t.column("weights"), t.column("key")[0].as_py()
         p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
+        _, group = np.unique(group, return_inverse=True)
+        held: dict[int, tuple] = {}
         found = []
+        open_at = lambda i: held[i] if i in held else held.setdefault(i, opened(keys[i].as_py(), weights[i].as_py()))
         for i in np.flatnonzero(mine == p).tolist():
             others = np.flatnonzero((mine == q) & (group != group[i]) & (rep > rep[i] if p == q else True))
-            near = others[(sig[others] == sig[i]).mean(1) >= least]
-            found += [(min(rep[i], r), max(rep[i], r)) for r in rep[near]]
+            others = others[(sig[others] == sig[i]).mean(1) >= least]
+            if key is not None and len(others):
+                shared = buckets[others] == buckets[i]
+                others = others[buckets[i][shared.argmax(1)] == key]
+            for j in others.tolist():
+                if group[i] != group[j] and near_enough(open_at(i), open_at(j), similarity):
+                    found.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                    group[group == group[j]] = group[i]
         return pa.Table.from_batches([batch(schema, *zip(*found, strict=True))] if found else [], schema)
 
-    return dealt.groupBy("key", "p", "q").applyInArrow(run, "a bigint, b bigint").distinct()
+    return staged(dealt.groupBy(*here, "p", "q").applyInArrow(run, "a bigint, b bigint").distinct())
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, crowd: int = 64, block: int = 1000) -> DataFrame:
@@ -194,8 +237,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, crowd: int = 64, b
     `similarity` or more. Equal texts are one from the start. A band key (ROWS coordinates, BANDS bands;
     a pair at 0.8 is missed by all bands with probability 5e-6) brings candidates together. First every
     member meets the smallest id of its bucket, which joins most groups with few pairs; buckets that still
-    hold several groups are then compared pair by pair between groups: in a join if small, block by block on
-    signatures if crowded. Signatures must agree on about four standard deviations less than the similarity
+    hold several groups are then compared pair by pair between groups: in a join if small, inside of tasks, block by
+    block, if crowded. Signatures must agree on about four standard deviations less than the similarity
     before whole texts are compared. Texts without a word are in no group. A null id gives a null class
     and is kept; rows with equal ids are one document. Other columns are not read.
     """
@@ -218,8 +261,10 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, crowd: int = 64, b
     few, many = rest.where(F.col("n") <= crowd), rest.where(F.col("n") > crowd)
     other = few.select("key", F.col("rep").alias("b"), F.col("component").alias("second"))
     across = few.select("key", F.col("rep").alias("a"), F.col("component").alias("first")).join(other, "key").where("a < b AND first <> second").select("a", "b").distinct()
-    near = estimated(across, one, least).unionByName(in_blocks(many.join(one.select("rep", "signature"), "rep"), least, block)).distinct()
-    label = components(links.unionByName(verified(near, docs, one, similarity)))
+    links = links.unionByName(verified(estimated(across, one, least), docs, one, similarity))
+    if many.limit(1).count():
+        links = links.unionByName(in_blocks(many, docs, one, similarity, least, block))
+    label = components(links)
     classes = member.join(label.withColumnRenamed("node", "rep"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
     every = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).join(classes, "doc_id", "left")
     return every.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
