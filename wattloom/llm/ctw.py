@@ -361,7 +361,8 @@ def language_scores(docs: DataFrame, modulus: int = 10, held: int = 0, slice_byt
                     keys, logs = keys[order], logs[order].astype(np.float64)
                     seen = {w: n for r in held for w, n in zip(r[5].split(), unpack(r[6]).tolist(), strict=True)}
                     held = []
-                for part in unpacked(row[3]):
+                # The keys of a few texts are put in order within the processor's cache.
+                for part in unpacked(row[3], 250):
                     yield scored(part, keys, logs, seen)
 
     def scored(b: pa.RecordBatch, keys: np.ndarray, logs: np.ndarray, seen: dict) -> pa.RecordBatch:
