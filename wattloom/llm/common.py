@@ -69,22 +69,35 @@ def chunks(batches, size: int = 8_000_000, text: str = "text"):
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(a, b) links to (node, component), the component being the smallest node that can be reached.
 
-    Rounds of neighbour minimum and pointer jumping; each round is staged, nothing but one count
-    reaches the driver. Minima are combined before the shuffle, so a hub with most links is no hot task.
+    Each round every node takes its smallest neighbour, chains of these are cut short, and the links are read between what
+    is left, so that links inside of a group are met once. All is staged, nothing but one count reaches the driver. Minima
+    are combined before the shuffle, so a hub with most links is no hot task.
     """
-    both = staged(links.select("a", "b").where("a <> b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a <> b")).distinct())
-    label = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")))
+    between = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    links = staged(links.select(*between("a", "b")).where("a <> b").distinct())
+    label = None
     for _ in range(most_rounds):
-        near = both.join(label.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        step = label.join(near, "node", "left").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        jump = label.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        moved = staged(step.join(jump, "component", "left").select("node", "old", F.least("component", "further").alias("component")))
-        label = moved.select("node", "component")
-        if moved.where("component <> old").limit(1).count() == 0:
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        step = shortened(staged(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component"))), most_rounds)
+        label = step if label is None else staged(label.join(small(step.select(F.col("node").alias("component"), F.col("component").alias("further")), 16), "component", "left").select("node", F.coalesce("further", "component").alias("component")))
+        side = lambda c, to: small(step.select(F.col("node").alias(c), F.col("component").alias(to)), 16)  # noqa: B023, E731
+        links = staged(links.join(side("a", "x"), "a").join(side("b", "y"), "b").where("x <> y").select(*between("x", "y")).distinct())
+        if links.limit(1).count() == 0:
             return label
     raise RuntimeError(f"groups still grow after {most_rounds} rounds")
 
 
+def shortened(step: DataFrame, most_rounds: int) -> DataFrame:
+    """(node, component) with the end of the chain that each node begins; each round halves the chains."""
+    for _ in range(most_rounds):
+        further = step.select(F.col("node").alias("component"), F.col("component").alias("end"))
+        moved = staged(step.join(small(further, 16), "component").select("node", F.col("component").alias("old"), F.col("end").alias("component")))
+        step = moved.select("node", "component")
+        if moved.where("component <> old").limit(1).count() == 0:
+            return step
+    raise RuntimeError(f"chains are longer than 2^{most_rounds}")
+
+
 # A table is only broadcast after its rows have been counted and found to take less than this.
 MOST_BROADCAST = 32_000_000
 

@@ -230,7 +230,7 @@ def in_blocks(crowded: DataFrame, docs: DataFrame, one: DataFrame, similarity: f
     return staged(dealt.groupBy(*here, "p", "q").applyInArrow(run, "a bigint, b bigint").distinct())
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, crowd: int = 64, block: int = 1000) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, crowd: int = 8, block: int = 1000) -> DataFrame:
     """doc_id, class_id (smallest id of the group) and kept (doc_id = class_id), one row for each row with an id.
 
     Weighted sets of runs of five words; groups are connected by pairs of a weighted Jaccard similarity of
